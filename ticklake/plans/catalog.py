@@ -22,6 +22,16 @@ QUERIES = {
     "book_expectation": q.book_expectation,
     "book_expectation_rows": q.book_expectation_rows,
     "level2_bar_mean": q.level2_bar_mean,
+    "asof_backward": q.asof_backward,
+    "asof_forward": q.asof_forward,
+    "asof_nearest": q.asof_nearest,
+    "asof_unmatched": q.asof_unmatched,
+    "match_quality": q.match_quality,
+    "append_new": q.append_new,
+    "features_inner": q.features_inner,
+    "keep_last": q.keep_last,
+    "only_new": q.only_new,
+    "time_gap": q.time_gap,
 }
 
 FLAGSHIP = "bars_ohlc"

@@ -170,3 +170,100 @@ SELECT symbol, {bucket('1 hour', 'datetime')} + INTERVAL '1 hour' AS datetime,
        {", ".join(f"{r6(f'avg({c})')} AS {c}" for c in L2)}
 FROM snap GROUP BY 1, 2
 """
+
+ASOF_SIDES = """l AS (SELECT user_id % 8 AS symbol, date_trunc('second', ts) AS ts, event_id, value
+      FROM events WHERE event_type IN ('purchase', 'signup')),
+r AS (SELECT user_id % 8 AS symbol, date_trunc('second', ts) AS ts, event_id, value
+      FROM events WHERE event_type IN ('view', 'click'))"""
+ASOF_TOL = "INTERVAL '30 minutes'"
+ASOF_RANK = {
+    "backward": ("r.ts <= l.ts AND r.ts >= l.ts - " + ASOF_TOL, "r.ts DESC, r.event_id DESC"),
+    "forward": ("r.ts >= l.ts AND r.ts <= l.ts + " + ASOF_TOL, "r.ts ASC, r.event_id ASC"),
+    "nearest": (f"r.ts >= l.ts - {ASOF_TOL} AND r.ts <= l.ts + {ASOF_TOL}",
+                "abs(epoch_us(r.ts) - epoch_us(l.ts)), r.ts, "
+                "CASE WHEN r.ts <= l.ts THEN -r.event_id ELSE r.event_id END"),
+}
+for _d, (_cond, _ord) in ASOF_RANK.items():
+    SQL[f"asof_{_d}"] = f"""
+WITH {ASOF_SIDES},
+c AS (SELECT l.symbol, l.ts, l.event_id, l.value, r.ts AS r_ts, r.event_id AS r_event_id, r.value AS r_value,
+             row_number() OVER (PARTITION BY l.event_id ORDER BY {_ord}) AS rn
+      FROM l JOIN r ON l.symbol = r.symbol AND {_cond})
+SELECT symbol, ts, event_id, value, r_ts, r_event_id, r_value FROM c WHERE rn = 1
+"""
+
+SQL["asof_unmatched"] = f"""
+WITH {ASOF_SIDES}
+SELECT * FROM l WHERE NOT EXISTS (
+  SELECT 1 FROM r WHERE r.symbol = l.symbol AND r.ts >= l.ts - {ASOF_TOL} AND r.ts <= l.ts + {ASOF_TOL})
+"""
+
+SQL["match_quality"] = f"""
+WITH {ASOF_SIDES},
+m AS (SELECT l.symbol, l.event_id,
+             EXISTS (SELECT 1 FROM r WHERE r.symbol = l.symbol AND {ASOF_RANK['backward'][0]}) AS hit
+      FROM l)
+SELECT symbol, count(*) AS n_left, count(*) FILTER (WHERE hit) AS n_merged,
+       count(*) FILTER (WHERE NOT hit) AS n_not_merged
+FROM m GROUP BY symbol
+"""
+
+HOURLY = f"""{TICKS},
+hourly AS (
+  SELECT symbol, {bucket('1 hour')} + INTERVAL '1 hour' AS datetime,
+         arg_min(price, (ts, seq)) AS open, max(price) AS high, min(price) AS low,
+         arg_max(price, (ts, seq)) AS close, sum(vol) AS vol, count(*) AS n
+  FROM ticks GROUP BY symbol, datetime)"""
+
+
+def hourly_where(name: str, cond: str) -> str:
+    return f"""{name} AS (
+  SELECT symbol, {bucket('1 hour')} + INTERVAL '1 hour' AS datetime,
+         arg_min(price, (ts, seq)) AS open, max(price) AS high, min(price) AS low,
+         arg_max(price, (ts, seq)) AS close, sum(vol) AS vol, count(*) AS n
+  FROM ticks WHERE {cond} GROUP BY symbol, datetime)"""
+
+
+SQL["append_new"] = f"""
+WITH {TICKS},
+{hourly_where('h', "ts < TIMESTAMP '2024-01-16 00:00:00'")},
+{hourly_where('s', "ts >= TIMESTAMP '2024-01-14 00:00:00'")}
+SELECT *, 'history' AS src FROM h
+UNION ALL
+SELECT *, 'live' AS src FROM s WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.symbol = s.symbol AND h.datetime = s.datetime)
+"""
+
+SQL["features_inner"] = f"""
+WITH {HOURLY}, {SNAPSHOTS},
+l2 AS (SELECT symbol, {bucket('1 hour', 'datetime')} + INTERVAL '1 hour' AS datetime,
+              {", ".join(f"avg({c}) AS {c}" for c in L2)}
+       FROM snap GROUP BY 1, 2)
+SELECT hourly.*, {", ".join(f"{r6('l2.' + c)} AS {c}" for c in L2)}
+FROM hourly JOIN l2 USING (symbol, datetime)
+"""
+
+SQL["keep_last"] = f"""
+WITH {HOURLY}
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) AS rn FROM hourly)
+WHERE rn <= 100
+"""
+
+SQL["only_new"] = f"""
+WITH {HOURLY},
+{hourly_where('p', "ts < TIMESTAMP '2024-01-20 00:00:00'")},
+m AS (SELECT symbol, max(datetime) AS hwm FROM p GROUP BY symbol)
+SELECT hourly.* FROM hourly LEFT JOIN m USING (symbol) WHERE m.hwm IS NULL OR hourly.datetime > m.hwm
+"""
+
+SQL["time_gap"] = f"""
+WITH {TICKS},
+h AS (SELECT symbol, max(ts) AS history_max FROM ticks WHERE ts < TIMESTAMP '2024-01-15 12:00:00' GROUP BY symbol),
+s AS (SELECT symbol, min(ts) AS stream_min FROM ticks WHERE ts >= TIMESTAMP '2024-01-15 12:00:00' GROUP BY symbol),
+j AS (SELECT coalesce(h.symbol, s.symbol) AS symbol, history_max, stream_min,
+             greatest(0.0, (epoch_us(stream_min) - epoch_us(history_max)) / 1e6) AS gap_seconds
+      FROM h FULL OUTER JOIN s ON h.symbol = s.symbol)
+SELECT symbol, history_max, stream_min, {r6('gap_seconds')} AS gap_seconds,
+       coalesce(gap_seconds < 60.0, false) AS is_good
+FROM j
+"""

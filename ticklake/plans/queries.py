@@ -148,3 +148,102 @@ def book_expectation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def level2_bar_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_all(book.stage_level2(_book_msgs(spark, sf_dir), BAR), set(schemas.L2_COLS))
+
+
+# ---------------------------------------------------------------- as-of
+
+ASOF_TOLERANCE = "30 minutes"
+ASOF_CHUNK = "1 day"
+
+
+def _asof(spark, sf_dir, direction, how="inner"):
+    from ticklake.operators.asof import asof_join
+    left = derive.asof_side(spark, sf_dir, "left")
+    right = derive.asof_side(spark, sf_dir, "right")
+    return asof_join(left, right, on="symbol", direction=direction, tolerance=ASOF_TOLERANCE,
+                     right_order=["event_id"], right_prefix="r_", how=how, chunk=ASOF_CHUNK)
+
+
+def asof_backward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asof(spark, sf_dir, "backward")
+
+
+def asof_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asof(spark, sf_dir, "forward")
+
+
+def asof_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asof(spark, sf_dir, "nearest")
+
+
+def asof_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.operators.asof import unmatched
+    left = derive.asof_side(spark, sf_dir, "left")
+    right = derive.asof_side(spark, sf_dir, "right")
+    return unmatched(left, right, on="symbol", direction="nearest", tolerance=ASOF_TOLERANCE,
+                     right_order=["event_id"], right_prefix="r_", chunk=ASOF_CHUNK)
+
+
+def match_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.operators.asof import match_quality as mq
+    left = derive.asof_side(spark, sf_dir, "left")
+    right = derive.asof_side(spark, sf_dir, "right")
+    return mq(left, right, on="symbol", direction="backward", tolerance=ASOF_TOLERANCE,
+              right_order=["event_id"], right_prefix="r_", chunk=ASOF_CHUNK)
+
+
+# ---------------------------------------------------------------- increments
+
+HISTORY_END = "2024-01-16 00:00:00"
+STREAM_START = "2024-01-14 00:00:00"
+PRODUCED_END = "2024-01-20 00:00:00"
+GAP_SPLIT = "2024-01-15 12:00:00"
+KEEP_LAST_N = 100
+
+
+def _hourly(spark, sf_dir, where=None):
+    t = derive.ticks(spark, sf_dir)
+    if where is not None:
+        t = t.where(where)
+    return bars.ohlc_bars(t, BAR, seq=["seq"]).withColumnRenamed("close_time", "datetime").drop("open_time")
+
+
+def append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly bars of the history files (before 01-16) stitched with bars of
+    the live feed (from 01-14): overlapping hours keep the history row."""
+    from ticklake.operators.increment import append_new as an
+    hist = _hourly(spark, sf_dir, F.col("ts") < F.lit(HISTORY_END)).withColumn("src", F.lit("history"))
+    live = _hourly(spark, sf_dir, F.col("ts") >= F.lit(STREAM_START)).withColumn("src", F.lit("live"))
+    return an(hist, live, ["symbol", "datetime"])
+
+
+def features_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candle bars inner-joined with level2 bars on (symbol, bar time); both
+    sides come out of aggregations hash-partitioned on the same keys, so the
+    join reuses that partitioning."""
+    candles = _hourly(spark, sf_dir)
+    l2 = book.stage_level2(_book_msgs(spark, sf_dir), BAR)
+    j = candles.join(l2, ["symbol", "datetime"], "inner")
+    return _round_all(j, set(schemas.L2_COLS))
+
+
+def keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.operators.increment import keep_last as kl
+    return kl(_hourly(spark, sf_dir), KEEP_LAST_N, ts="datetime", chunk="1 day")
+
+
+def only_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars newer than what the sink already holds (per-symbol high-water
+    mark of the bars produced before 01-20)."""
+    from ticklake.operators.increment import last_produced, only_new as on
+    produced = _hourly(spark, sf_dir, F.col("ts") < F.lit(PRODUCED_END))
+    return on(_hourly(spark, sf_dir), last_produced(produced))
+
+
+def time_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.operators.increment import time_gap as tg
+    t = derive.ticks(spark, sf_dir)
+    hist = t.where(F.col("ts") < F.lit(GAP_SPLIT))
+    live = t.where(F.col("ts") >= F.lit(GAP_SPLIT))
+    out = tg(hist, live, ts="ts", max_gap="1 minute")
+    return out.withColumn("gap_seconds", r6("gap_seconds"))
