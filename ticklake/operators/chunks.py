@@ -54,3 +54,19 @@ def chunks_reaching(us: Column, chunk_us: int, back_us: int, ahead_us: int) -> C
     lo = chunk_of(us - F.lit(back_us), chunk_us)
     hi = chunk_of(us + F.lit(ahead_us), chunk_us)
     return F.sequence(lo, hi)
+
+
+def with_chunk(df: DataFrame, ts: str, chunk_us: int) -> DataFrame:
+    return df.withColumn("_c", chunk_of(ts_micros(df, ts), chunk_us))
+
+
+def with_halo(df: DataFrame, ts: str, chunk_us: int, halo_us: int) -> DataFrame:
+    """Rows tagged with their chunk ``_c``; rows within ``halo_us`` before the
+    end of a chunk are also copied into the following chunk(s) with
+    ``_halo=True``, so a window over ``(symbol, _c)`` sees ``halo_us`` of
+    history before its first own row.  Drop ``_halo`` rows after the window."""
+    us = ts_micros(df, ts)
+    own = chunk_of(us, chunk_us)
+    reach = F.sequence(own, chunk_of(us + F.lit(halo_us), chunk_us))
+    return (df.withColumn("_c", F.explode(reach))
+            .withColumn("_halo", F.col("_c") != own))

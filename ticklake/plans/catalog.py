@@ -32,6 +32,7 @@ QUERIES = {
     "keep_last": q.keep_last,
     "only_new": q.only_new,
     "time_gap": q.time_gap,
+    "fill_grid": q.fill_grid,
 }
 
 FLAGSHIP = "bars_ohlc"

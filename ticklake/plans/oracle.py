@@ -267,3 +267,32 @@ SELECT symbol, history_max, stream_min, {r6('gap_seconds')} AS gap_seconds,
        coalesce(gap_seconds < 60.0, false) AS is_good
 FROM j
 """
+
+
+def fill_cte(step: str = "1 hour", src: str = "ticks", cols=("price", "vol"), name: str = "filled") -> str:
+    """Resample last (left label) + reindex + linear fill by position, as SQL."""
+    lc = ", ".join(f"arg_max({c}, (ts, seq)) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in cols)
+    prev = ", ".join(
+        f"last_value(CASE WHEN {c} IS NOT NULL THEN {{'t': epoch_us(datetime), 'v': {c}}} END IGNORE NULLS) "
+        f"OVER (PARTITION BY symbol ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p_{c}, "
+        f"first_value(CASE WHEN {c} IS NOT NULL THEN {{'t': epoch_us(datetime), 'v': {c}}} END IGNORE NULLS) "
+        f"OVER (PARTITION BY symbol ORDER BY datetime ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS n_{c}"
+        for c in cols)
+    interp = ", ".join(
+        f"CASE WHEN p_{c} IS NULL THEN NULL WHEN n_{c} IS NULL OR p_{c}.t = epoch_us(datetime) THEN p_{c}.v "
+        f"ELSE p_{c}.v + (n_{c}.v - p_{c}.v) * ((epoch_us(datetime) - p_{c}.t) / (n_{c}.t - p_{c}.t)) END AS {c}"
+        for c in cols)
+    return f"""res AS (
+  SELECT symbol, time_bucket(INTERVAL '{step}', ts) AS datetime, {lc} FROM {src} GROUP BY 1, 2),
+bnd AS (SELECT symbol, min(datetime) AS lo, max(datetime) AS hi FROM res GROUP BY symbol),
+g AS (SELECT symbol, unnest(generate_series(lo, hi, INTERVAL '{step}')) AS datetime FROM bnd),
+gj AS (SELECT g.symbol, g.datetime, {", ".join("res." + c for c in cols)}
+       FROM g LEFT JOIN res ON g.symbol = res.symbol AND g.datetime = res.datetime),
+pn AS (SELECT symbol, datetime, {prev} FROM gj),
+{name} AS (SELECT symbol, datetime, {interp} FROM pn)"""
+
+
+SQL["fill_grid"] = f"""
+WITH {TICKS}, {fill_cte()}
+SELECT symbol, datetime, {r6('price')} AS price, {r6('vol')} AS vol FROM filled
+"""

@@ -247,3 +247,11 @@ def time_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     live = t.where(F.col("ts") >= F.lit(GAP_SPLIT))
     out = tg(hist, live, ts="ts", max_gap="1 minute")
     return out.withColumn("gap_seconds", r6("gap_seconds"))
+
+
+# ---------------------------------------------------------------- grid fill
+
+def fill_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.operators.timegrid import fill_grid as fg
+    out = fg(derive.ticks(spark, sf_dir), BAR, seq=["seq"], cols=["price", "vol"], chunk="1 day")
+    return _round_all(out, {"price", "vol"})
