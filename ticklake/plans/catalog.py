@@ -33,8 +33,18 @@ QUERIES = {
     "only_new": q.only_new,
     "time_gap": q.time_gap,
     "fill_grid": q.fill_grid,
+    "rolling_candles": q.rolling_candles,
+    "cci": q.cci,
+    "ichimoku": q.ichimoku,
+    "rsi": q.rsi,
+    "adx": q.adx,
+    "stochastic": q.stochastic,
+    "macd": q.macd,
+    "bollinger": q.bollinger,
+    "level2_features": q.level2_features,
+    "features": q.features,
 }
 
-FLAGSHIP = "bars_ohlc"
+FLAGSHIP = "features"
 
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

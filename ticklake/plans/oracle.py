@@ -296,3 +296,187 @@ SQL["fill_grid"] = f"""
 WITH {TICKS}, {fill_cte()}
 SELECT symbol, datetime, {r6('price')} AS price, {r6('vol')} AS vol FROM filled
 """
+
+
+# -- indicators ------------------------------------------------------------------
+
+WIN = "PARTITION BY symbol ORDER BY datetime"
+
+
+def fr(n: int) -> str:
+    return f"({WIN} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+
+
+def dbl(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+class Chain:
+    """CTE chain: every stage selects the previous one plus new columns
+    (window functions cannot nest, so dependent windows get new stages)."""
+
+    def __init__(self, src: str):
+        self.ctes: list[str] = []
+        self.cur = src
+        self.n = 0
+
+    def add(self, *exprs: str) -> None:
+        self.n += 1
+        name = f"s{self.n}"
+        self.ctes.append(f"{name} AS (SELECT *, {', '.join(exprs)} FROM {self.cur})")
+        self.cur = name
+
+
+def ewm_list(x: str, name: str, k: int) -> str:
+    return f"list({x}) FILTER (WHERE {x} IS NOT NULL) OVER {fr(k)} AS {name}"
+
+
+def ewm_of(lst: str, alpha: float, n: int, name: str) -> str:
+    b = dbl(1.0 - alpha)
+    num = f"list_sum(list_transform({lst}, lambda v, j: v * pow({b}, len({lst}) - j)))"
+    den = f"list_sum(list_transform({lst}, lambda v, j: pow({b}, len({lst}) - j)))"
+    return f"CASE WHEN len({lst}) >= {n} THEN {num} / {den} END AS {name}"
+
+
+def rolling_candle_sql(ch: Chain, p: int, sfx: str) -> None:
+    ok = f"count(*) OVER {fr(p)} = {p}"
+    ch.add(f"CASE WHEN {ok} THEN lag(open, {p - 1}) OVER ({WIN}) END AS open{sfx}",
+           f"CASE WHEN {ok} THEN max(high) OVER {fr(p)} END AS high{sfx}",
+           f"CASE WHEN {ok} THEN min(low) OVER {fr(p)} END AS low{sfx}",
+           f"CASE WHEN {ok} THEN close END AS close{sfx}",
+           f"CASE WHEN {ok} THEN sum(vol) OVER {fr(p)} END AS vol{sfx}")
+
+
+def indicators_sql(ch: Chain, params: dict, sfx: str, src: str) -> list[str]:
+    h, lo, c = f"high{src}", f"low{src}", f"close{src}"
+    out: list[str] = []
+    if "cca" in params:
+        n = params["cca"]["window"]
+        ch.add(f"({h} + {lo} + {c}) / 3 AS _tp{sfx}")
+        ch.add(f"list(_tp{sfx}) FILTER (WHERE _tp{sfx} IS NOT NULL) OVER {fr(n)} AS _tpl{sfx}",
+               f"avg(_tp{sfx}) OVER {fr(n)} AS _tpm{sfx}")
+        ch.add(f"list_sum(list_transform(_tpl{sfx}, lambda v: abs(v - _tpm{sfx}))) / len(_tpl{sfx}) AS _mad{sfx}")
+        ch.add(f"CASE WHEN len(_tpl{sfx}) = {n} AND _mad{sfx} <> 0 THEN (_tp{sfx} - _tpm{sfx}) / "
+               f"({dbl(0.015)} * _mad{sfx}) END AS cci{sfx}")
+        out.append(f"cci{sfx}")
+    if "ichimoku" in params:
+        p = params["ichimoku"]
+
+        def mid(n):
+            return (f"CASE WHEN count({h}) OVER {fr(n)} = {n} THEN "
+                    f"(max({h}) OVER {fr(n)} + min({lo}) OVER {fr(n)}) / 2 END")
+        ch.add(f"{mid(p['window1'])} AS ichimoku_conv{sfx}", f"{mid(p['window2'])} AS ichimoku_base{sfx}",
+               f"{mid(p['window3'])} AS ichimoku_b{sfx}")
+        ch.add(f"(ichimoku_conv{sfx} + ichimoku_base{sfx}) / 2 AS ichimoku_a{sfx}")
+        out += [f"ichimoku_conv{sfx}", f"ichimoku_base{sfx}", f"ichimoku_b{sfx}", f"ichimoku_a{sfx}"]
+    if "rsi" in params:
+        n = params["rsi"]["window"]
+        ch.add(f"{c} - lag({c}) OVER ({WIN}) AS _d{sfx}")
+        ch.add(f"CASE WHEN _d{sfx} IS NOT NULL THEN greatest(_d{sfx}, 0.0) END AS _gain{sfx}",
+               f"CASE WHEN _d{sfx} IS NOT NULL THEN greatest(-_d{sfx}, 0.0) END AS _loss{sfx}")
+        ch.add(ewm_list(f"_gain{sfx}", f"_gl{sfx}", 4 * n), ewm_list(f"_loss{sfx}", f"_ll{sfx}", 4 * n))
+        ch.add(ewm_of(f"_gl{sfx}", 1.0 / n, n, f"_eg{sfx}"), ewm_of(f"_ll{sfx}", 1.0 / n, n, f"_el{sfx}"))
+        ch.add(f"CASE WHEN _el{sfx} = 0 THEN 100.0 ELSE 100 - 100 / (1 + _eg{sfx} / _el{sfx}) END AS rsi{sfx}")
+        out.append(f"rsi{sfx}")
+    if "adx" in params:
+        n = params["adx"]["window"]
+        a = 1.0 / n
+        ch.add(f"lag({c}) OVER ({WIN}) AS _pc{sfx}", f"lag({h}) OVER ({WIN}) AS _ph{sfx}",
+               f"lag({lo}) OVER ({WIN}) AS _pl{sfx}")
+        up, dn = f"({h} - _ph{sfx})", f"(_pl{sfx} - {lo})"
+        ch.add(f"CASE WHEN _pc{sfx} IS NOT NULL THEN greatest({h} - {lo}, abs({h} - _pc{sfx}), abs({lo} - _pc{sfx})) END AS _tr{sfx}",
+               f"CASE WHEN _ph{sfx} IS NOT NULL THEN CASE WHEN {up} > {dn} AND {up} > 0 THEN {up} ELSE 0.0 END END AS _pdm{sfx}",
+               f"CASE WHEN _pl{sfx} IS NOT NULL THEN CASE WHEN {dn} > {up} AND {dn} > 0 THEN {dn} ELSE 0.0 END END AS _mdm{sfx}")
+        ch.add(ewm_list(f"_tr{sfx}", f"_trl{sfx}", 4 * n), ewm_list(f"_pdm{sfx}", f"_pdl{sfx}", 4 * n),
+               ewm_list(f"_mdm{sfx}", f"_mdl{sfx}", 4 * n))
+        ch.add(ewm_of(f"_trl{sfx}", a, n, f"_atr{sfx}"), ewm_of(f"_pdl{sfx}", a, n, f"_pe{sfx}"),
+               ewm_of(f"_mdl{sfx}", a, n, f"_me{sfx}"))
+        ch.add(f"CASE WHEN _atr{sfx} = 0 THEN 0.0 ELSE 100 * _pe{sfx} / _atr{sfx} END AS adx_pos{sfx}",
+               f"CASE WHEN _atr{sfx} = 0 THEN 0.0 ELSE 100 * _me{sfx} / _atr{sfx} END AS adx_neg{sfx}")
+        ch.add(f"CASE WHEN adx_pos{sfx} + adx_neg{sfx} = 0 THEN 0.0 ELSE "
+               f"100 * abs(adx_pos{sfx} - adx_neg{sfx}) / (adx_pos{sfx} + adx_neg{sfx}) END AS _dx{sfx}")
+        ch.add(ewm_list(f"_dx{sfx}", f"_dxl{sfx}", 4 * n))
+        ch.add(ewm_of(f"_dxl{sfx}", a, n, f"adx{sfx}"))
+        out += [f"adx_pos{sfx}", f"adx_neg{sfx}", f"adx{sfx}"]
+    if "stoch" in params:
+        n, s = params["stoch"]["window"], params["stoch"]["smooth_window"]
+        hh, ll = f"max({h}) OVER {fr(n)}", f"min({lo}) OVER {fr(n)}"
+        ch.add(f"CASE WHEN count({c}) OVER {fr(n)} = {n} AND {hh} <> {ll} THEN 100 * ({c} - {ll}) / ({hh} - {ll}) "
+               f"END AS stoch{sfx}")
+        ch.add(f"CASE WHEN count(stoch{sfx}) OVER {fr(s)} = {s} THEN avg(stoch{sfx}) OVER {fr(s)} END AS stoch_signal{sfx}")
+        out += [f"stoch{sfx}", f"stoch_signal{sfx}"]
+    if "macd" in params:
+        m = params["macd"]
+        slow, fast, sign = m.get("slow", 26), m.get("fast", 12), m.get("sign", 9)
+        ch.add(ewm_list(c, f"_fl{sfx}", 4 * fast), ewm_list(c, f"_sl{sfx}", 4 * slow))
+        ch.add(ewm_of(f"_fl{sfx}", 2.0 / (fast + 1), fast, f"_ef{sfx}"),
+               ewm_of(f"_sl{sfx}", 2.0 / (slow + 1), slow, f"_es{sfx}"))
+        ch.add(f"_ef{sfx} - _es{sfx} AS macd{sfx}")
+        ch.add(ewm_list(f"macd{sfx}", f"_ml{sfx}", 4 * sign))
+        ch.add(ewm_of(f"_ml{sfx}", 2.0 / (sign + 1), sign, f"macd_signal{sfx}"))
+        ch.add(f"macd{sfx} - macd_signal{sfx} AS macd_diff{sfx}")
+        out += [f"macd{sfx}", f"macd_signal{sfx}", f"macd_diff{sfx}"]
+    if "bb" in params:
+        n, dev = params["bb"]["window"], params["bb"]["window_dev"]
+        ok = f"count({c}) OVER {fr(n)} = {n}"
+        mavg, sd = f"avg({c}) OVER {fr(n)}", f"stddev_pop({c}) OVER {fr(n)}"
+        ch.add(f"CASE WHEN {ok} THEN {mavg} END AS bb_mavg{sfx}",
+               f"CASE WHEN {ok} THEN {mavg} + {dev} * {sd} END AS bb_hband{sfx}",
+               f"CASE WHEN {ok} THEN {mavg} - {dev} * {sd} END AS bb_lband{sfx}")
+        out += [f"bb_mavg{sfx}", f"bb_hband{sfx}", f"bb_lband{sfx}"]
+    return out
+
+
+def level2_sql(ch: Chain, p: int, sfx: str) -> list[str]:
+    ch.add(*[f"CASE WHEN count({c}) OVER {fr(p)} = {p} THEN avg({c}) OVER {fr(p)} END AS {c}{sfx}" for c in L2])
+    ch.add(f"l2_ask_min{sfx} - l2_bid_max{sfx} AS l2_spread{sfx}",
+           f"CASE WHEN l2_bid_vol{sfx} + l2_ask_vol{sfx} <> 0 THEN (l2_bid_vol{sfx} - l2_ask_vol{sfx}) / "
+           f"(l2_bid_vol{sfx} + l2_ask_vol{sfx}) END AS l2_imbalance{sfx}")
+    return [f"{c}{sfx}" for c in L2] + [f"l2_spread{sfx}", f"l2_imbalance{sfx}"]
+
+
+CANDLE = ("open", "high", "low", "close", "vol")
+OHLC_SRC = f"""{TICKS},
+ob AS (SELECT symbol, bts AS ts, 0 AS seq, open, high, low, close, vol FROM (
+         SELECT symbol, {bucket('1 hour')} AS bts,
+                arg_min(price, (ts, seq)) AS open, max(price) AS high, min(price) AS low,
+                arg_max(price, (ts, seq)) AS close, sum(vol) AS vol
+         FROM ticks GROUP BY symbol, bts)),
+{fill_cte('1 hour', 'ob', CANDLE, 'filled')}"""
+
+L2_SRC = f"""{SNAPSHOTS},
+lb AS (SELECT symbol, {bucket('1 hour', 'datetime')} + INTERVAL '1 hour' AS ts, 0 AS seq,
+              {", ".join(f"avg({c}) AS {c}" for c in L2)}
+       FROM snap GROUP BY 1, 2),
+{fill_cte('1 hour', 'lb', L2, 'filled')}"""
+
+DEFAULTS = {
+    "cca": {"window": 20}, "ichimoku": {"window1": 9, "window2": 26, "window3": 52}, "adx": {"window": 14},
+    "rsi": {"window": 14}, "stoch": {"window": 14, "smooth_window": 3}, "macd": {"slow": 26, "fast": 12, "sign": 9},
+    "bb": {"window": 20, "window_dev": 2},
+}
+
+
+def _finish(src: str, ch: Chain, cols: list[str], keep: list[str] | None = None) -> str:
+    sel = ", ".join([*(keep or []), *[f"{r6(c)} AS {c}" for c in cols]])
+    return f"WITH {src},\n" + ",\n".join(ch.ctes) + f"\nSELECT symbol, datetime, {sel} FROM {ch.cur}"
+
+
+def indicator_query(key: str) -> str:
+    ch = Chain("filled")
+    ch.add("1 AS _one")
+    cols = indicators_sql(ch, {key: DEFAULTS[key]}, "_1hour", "")
+    return _finish(OHLC_SRC, ch, cols)
+
+
+for _q, _k in [("cci", "cca"), ("ichimoku", "ichimoku"), ("rsi", "rsi"), ("adx", "adx"), ("stochastic", "stoch"),
+               ("macd", "macd"), ("bollinger", "bb")]:
+    SQL[_q] = indicator_query(_k)
+
+_ch = Chain("filled")
+rolling_candle_sql(_ch, 3, "_3hours")
+SQL["rolling_candles"] = _finish(OHLC_SRC, _ch, [*CANDLE, *[f"{c}_3hours" for c in CANDLE]])
+
+_ch = Chain("filled")
+_l2c = level2_sql(_ch, 1, "_1hour") + level2_sql(_ch, 3, "_3hours")
+SQL["level2_features"] = _finish(L2_SRC, _ch, [*L2, *_l2c])

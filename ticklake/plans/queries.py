@@ -255,3 +255,94 @@ def fill_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticklake.operators.timegrid import fill_grid as fg
     out = fg(derive.ticks(spark, sf_dir), BAR, seq=["seq"], cols=["price", "vol"], chunk="1 day")
     return _round_all(out, {"price", "vol"})
+
+
+# ---------------------------------------------------------------- indicators and features
+
+IND_CHUNK = "10 days"
+
+
+def filled_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly OHLC bars of the ticks on a regular hourly grid (left label)."""
+    from ticklake.operators.timegrid import fill_grid as fg
+    b = bars.ohlc_bars(derive.ticks(spark, sf_dir), BAR, seq=["seq"]).drop("n", "close_time")
+    return fg(b, BAR, ts="open_time", cols=["open", "high", "low", "close", "vol"], chunk=IND_CHUNK)
+
+
+def _feature_cols(df: DataFrame) -> set:
+    return {c for c in df.columns if c not in ("symbol", "datetime")}
+
+
+def rolling_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.operators.indicators import rolling_candles as rc
+    out = rc(filled_candles(spark, sf_dir), ["3 hours"], BAR, chunk=IND_CHUNK)
+    return _round_all(out, _feature_cols(out))
+
+
+def _indicator(spark, sf_dir, key):
+    from ticklake.operators.indicators import DEFAULT_PARAMS, candle_indicators
+    f = filled_candles(spark, sf_dir)
+    out = candle_indicators(f, [BAR], BAR, {key: DEFAULT_PARAMS[key]}, chunk=IND_CHUNK)
+    out = out.drop("open", "high", "low", "close", "vol")
+    return _round_all(out, _feature_cols(out))
+
+
+def cci(spark, sf_dir):
+    return _indicator(spark, sf_dir, "cca")
+
+
+def ichimoku(spark, sf_dir):
+    return _indicator(spark, sf_dir, "ichimoku")
+
+
+def rsi(spark, sf_dir):
+    return _indicator(spark, sf_dir, "rsi")
+
+
+def adx(spark, sf_dir):
+    return _indicator(spark, sf_dir, "adx")
+
+
+def stochastic(spark, sf_dir):
+    return _indicator(spark, sf_dir, "stoch")
+
+
+def macd(spark, sf_dir):
+    return _indicator(spark, sf_dir, "macd")
+
+
+def bollinger(spark, sf_dir):
+    return _indicator(spark, sf_dir, "bb")
+
+
+def filled_level2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.operators.timegrid import fill_grid as fg
+    l2 = book.stage_level2(_book_msgs(spark, sf_dir), BAR)
+    return fg(l2, BAR, ts="datetime", cols=list(schemas.L2_COLS), chunk=IND_CHUNK)
+
+
+def level2_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.operators.indicators import level2_features as lf
+    out = lf(filled_level2(spark, sf_dir), ["1 hour", "3 hours"], BAR, chunk=IND_CHUNK)
+    return _round_all(out, _feature_cols(out))
+
+
+FEATURE_PARAMS = {
+    "cca": {"window": 5}, "ichimoku": {"window1": 3, "window2": 5, "window3": 9}, "adx": {"window": 5},
+    "rsi": {"window": 5}, "stoch": {"window": 5, "smooth_window": 3}, "macd": {"slow": 8, "fast": 4, "sign": 3},
+    "bb": {"window": 5, "window_dev": 2},
+}
+
+
+def features(spark: SparkSession, sf_dir: str, step: str = BAR, periods=("1 hour", "3 hours"),
+             chunk: str = IND_CHUNK) -> DataFrame:
+    """The feature job on the derived market data: hourly candles and level2
+    bars, as-of merged (59 s), gridded, indicators for two periods, level2
+    features, cleaned."""
+    from ticklake.plans.features import features as fj
+    t = derive.ticks(spark, sf_dir)
+    candles = bars.ohlc_bars(t, step, seq=["seq"])
+    l2 = book.stage_level2(_book_msgs(spark, sf_dir), step)
+    out = fj(candles, l2, step=step, candle_periods=list(periods), level2_periods=list(periods),
+             params=FEATURE_PARAMS, tolerance="59 seconds", chunk=chunk)
+    return _round_all(out, _feature_cols(out))
