@@ -480,3 +480,38 @@ SQL["rolling_candles"] = _finish(OHLC_SRC, _ch, [*CANDLE, *[f"{c}_3hours" for c
 _ch = Chain("filled")
 _l2c = level2_sql(_ch, 1, "_1hour") + level2_sql(_ch, 3, "_3hours")
 SQL["level2_features"] = _finish(L2_SRC, _ch, [*L2, *_l2c])
+
+FEATURE_PARAMS = {
+    "cca": {"window": 5}, "ichimoku": {"window1": 3, "window2": 5, "window3": 9}, "adx": {"window": 5},
+    "rsi": {"window": 5}, "stoch": {"window": 5, "smooth_window": 3}, "macd": {"slow": 8, "fast": 4, "sign": 3},
+    "bb": {"window": 5, "window_dev": 2},
+}
+
+
+def features_query(periods=((1, "_1hour"), (3, "_3hours"))) -> str:
+    src = f"""{HOURLY}, {SNAPSHOTS},
+l2b AS (SELECT symbol, {bucket('1 hour', 'datetime')} + INTERVAL '1 hour' AS datetime,
+               {", ".join(f"avg({c}) AS {c}" for c in L2)}
+        FROM snap GROUP BY 1, 2),
+mc AS (SELECT c.symbol, c.datetime AS close_time, l.datetime AS l2dt, {", ".join("c." + x for x in CANDLE)},
+              {", ".join("l." + x for x in L2)},
+              row_number() OVER (PARTITION BY c.symbol, c.datetime
+                                 ORDER BY abs(epoch_us(l.datetime) - epoch_us(c.datetime)), l.datetime) AS rn
+       FROM hourly c JOIN l2b l ON c.symbol = l.symbol
+        AND l.datetime BETWEEN c.datetime - INTERVAL '59 seconds' AND c.datetime + INTERVAL '59 seconds'),
+merged AS (SELECT symbol, greatest(l2dt, close_time) AS ts, 0 AS seq, {", ".join(CANDLE)}, {", ".join(L2)}
+           FROM mc WHERE rn = 1),
+{fill_cte('1 hour', 'merged', (*CANDLE, *L2), 'filled')}"""
+    ch = Chain("filled")
+    feats: list[str] = []
+    for p, sfx in periods:
+        rolling_candle_sql(ch, p, f"_rc{sfx}")
+        feats += indicators_sql(ch, FEATURE_PARAMS, sfx, f"_rc{sfx}")
+    for p, sfx in periods:
+        feats += level2_sql(ch, p, sfx)
+    cond = " AND ".join(f"{c} IS NOT NULL AND isfinite({c})" for c in feats)
+    sel = ", ".join(f"{r6(c)} AS {c}" for c in feats)
+    return f"WITH {src},\n" + ",\n".join(ch.ctes) + f"\nSELECT symbol, datetime, {sel} FROM {ch.cur} WHERE {cond}"
+
+
+SQL["features"] = features_query()
