@@ -130,8 +130,15 @@ def lookback_rows(params: Mapping) -> int:
 
 def add_indicators(df: DataFrame, w: WindowSpec, params: Mapping, sfx: str, src: str = "") -> DataFrame:
     """Indicator columns (suffix ``sfx``) from candle columns
-    ``open{src} high{src} low{src} close{src}``."""
+    ``open{src} high{src} low{src} close{src}``.
+
+    Columns are added level by level with one ``withColumns`` per level (a
+    level only reads columns of earlier levels), which keeps the analysed
+    plan small; window expressions sharing the partitioning and order run in
+    the same Window operator.
+    """
     h, lo, c = F.col(f"high{src}"), F.col(f"low{src}"), F.col(f"close{src}")
+    levels: list[dict[str, Column]] = [{} for _ in range(5)]
     tmp: list[str] = []
 
     if "cca" in params:
@@ -140,7 +147,7 @@ def add_indicators(df: DataFrame, w: WindowSpec, params: Mapping, sfx: str, src:
         lst = F.collect_list(tp).over(frame(w, n))
         mean = F.avg(tp).over(frame(w, n))
         mad = F.aggregate(F.transform(lst, lambda v: F.abs(v - mean)), F.lit(0.0), lambda a, b: a + b) / F.size(lst)
-        df = df.withColumn(f"cci{sfx}", F.when((F.size(lst) == n) & (mad != 0), (tp - mean) / (0.015 * mad)))
+        levels[0][f"cci{sfx}"] = F.when((F.size(lst) == n) & (mad != 0), (tp - mean) / (0.015 * mad))
 
     if "ichimoku" in params:
         n1, n2, n3 = (_p(params, "ichimoku", k) for k in ("window1", "window2", "window3"))
@@ -148,72 +155,72 @@ def add_indicators(df: DataFrame, w: WindowSpec, params: Mapping, sfx: str, src:
         def mid(n):
             f = frame(w, n)
             return F.when(F.count(h).over(f) == n, (F.max(h).over(f) + F.min(lo).over(f)) / 2)
-        df = (df.withColumn(f"ichimoku_conv{sfx}", mid(n1)).withColumn(f"ichimoku_base{sfx}", mid(n2))
-              .withColumn(f"ichimoku_b{sfx}", mid(n3)))
-        df = df.withColumn(f"ichimoku_a{sfx}", (F.col(f"ichimoku_conv{sfx}") + F.col(f"ichimoku_base{sfx}")) / 2)
+        levels[0].update({f"ichimoku_conv{sfx}": mid(n1), f"ichimoku_base{sfx}": mid(n2), f"ichimoku_b{sfx}": mid(n3)})
+        levels[1][f"ichimoku_a{sfx}"] = (F.col(f"ichimoku_conv{sfx}") + F.col(f"ichimoku_base{sfx}")) / 2
 
     if "rsi" in params:
         n = _p(params, "rsi", "window")
         d = c - F.lag(c, 1).over(w)
-        df = (df.withColumn(f"_gain{sfx}", F.when(d.isNotNull(), F.greatest(d, F.lit(0.0))))
-              .withColumn(f"_loss{sfx}", F.when(d.isNotNull(), F.greatest(-d, F.lit(0.0)))))
+        levels[0][f"_gain{sfx}"] = F.when(d.isNotNull(), F.greatest(d, F.lit(0.0)))
+        levels[0][f"_loss{sfx}"] = F.when(d.isNotNull(), F.greatest(-d, F.lit(0.0)))
         tmp += [f"_gain{sfx}", f"_loss{sfx}"]
         eg = ewm(F.col(f"_gain{sfx}"), w, 1.0 / n, n)
         el = ewm(F.col(f"_loss{sfx}"), w, 1.0 / n, n)
-        df = df.withColumn(f"rsi{sfx}", F.when(el == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + eg / el)))
+        levels[1][f"rsi{sfx}"] = F.when(el == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + eg / el))
 
     if "adx" in params:
         n = _p(params, "adx", "window")
         pc, ph, pl = F.lag(c, 1).over(w), F.lag(h, 1).over(w), F.lag(lo, 1).over(w)
         up, dn = h - ph, pl - lo
-        df = (df.withColumn(f"_tr{sfx}", F.when(pc.isNotNull(),
-                                                 F.greatest(h - lo, F.abs(h - pc), F.abs(lo - pc))))
-              .withColumn(f"_pdm{sfx}", F.when(ph.isNotNull(), F.when((up > dn) & (up > 0), up).otherwise(F.lit(0.0))))
-              .withColumn(f"_mdm{sfx}", F.when(pl.isNotNull(), F.when((dn > up) & (dn > 0), dn).otherwise(F.lit(0.0)))))
+        levels[0][f"_tr{sfx}"] = F.when(pc.isNotNull(), F.greatest(h - lo, F.abs(h - pc), F.abs(lo - pc)))
+        levels[0][f"_pdm{sfx}"] = F.when(ph.isNotNull(), F.when((up > dn) & (up > 0), up).otherwise(F.lit(0.0)))
+        levels[0][f"_mdm{sfx}"] = F.when(pl.isNotNull(), F.when((dn > up) & (dn > 0), dn).otherwise(F.lit(0.0)))
         a = 1.0 / n
-        atr = ewm(F.col(f"_tr{sfx}"), w, a, n)
-        df = (df.withColumn(f"_atr{sfx}", atr)
-              .withColumn(f"_pe{sfx}", ewm(F.col(f"_pdm{sfx}"), w, a, n))
-              .withColumn(f"_me{sfx}", ewm(F.col(f"_mdm{sfx}"), w, a, n)))
+        levels[1][f"_atr{sfx}"] = ewm(F.col(f"_tr{sfx}"), w, a, n)
+        levels[1][f"_pe{sfx}"] = ewm(F.col(f"_pdm{sfx}"), w, a, n)
+        levels[1][f"_me{sfx}"] = ewm(F.col(f"_mdm{sfx}"), w, a, n)
         atr_c = F.col(f"_atr{sfx}")
-        df = (df.withColumn(f"adx_pos{sfx}", F.when(atr_c == 0, F.lit(0.0)).otherwise(100 * F.col(f"_pe{sfx}") / atr_c))
-              .withColumn(f"adx_neg{sfx}", F.when(atr_c == 0, F.lit(0.0)).otherwise(100 * F.col(f"_me{sfx}") / atr_c)))
-        pdi, mdi = F.col(f"adx_pos{sfx}"), F.col(f"adx_neg{sfx}")
-        df = df.withColumn(f"_dx{sfx}", F.when(pdi + mdi == 0, F.lit(0.0)).otherwise(100 * F.abs(pdi - mdi) / (pdi + mdi)))
-        df = df.withColumn(f"adx{sfx}", ewm(F.col(f"_dx{sfx}"), w, a, n))
+        pos = F.when(atr_c == 0, F.lit(0.0)).otherwise(100 * F.col(f"_pe{sfx}") / atr_c)
+        neg = F.when(atr_c == 0, F.lit(0.0)).otherwise(100 * F.col(f"_me{sfx}") / atr_c)
+        levels[2][f"adx_pos{sfx}"] = pos
+        levels[2][f"adx_neg{sfx}"] = neg
+        levels[2][f"_dx{sfx}"] = F.when(pos + neg == 0, F.lit(0.0)).otherwise(100 * F.abs(pos - neg) / (pos + neg))
+        levels[3][f"adx{sfx}"] = ewm(F.col(f"_dx{sfx}"), w, a, n)
         tmp += [f"_tr{sfx}", f"_pdm{sfx}", f"_mdm{sfx}", f"_atr{sfx}", f"_pe{sfx}", f"_me{sfx}", f"_dx{sfx}"]
 
     if "stoch" in params:
         n, s = _p(params, "stoch", "window"), _p(params, "stoch", "smooth_window")
         f = frame(w, n)
         hh, ll = F.max(h).over(f), F.min(lo).over(f)
-        df = df.withColumn(f"stoch{sfx}", F.when((F.count(c).over(f) == n) & (hh != ll), 100 * (c - ll) / (hh - ll)))
-        df = df.withColumn(f"stoch_signal{sfx}", full(F.col(f"stoch{sfx}"), w, s, F.avg))
+        levels[0][f"stoch{sfx}"] = F.when((F.count(c).over(f) == n) & (hh != ll), 100 * (c - ll) / (hh - ll))
+        levels[1][f"stoch_signal{sfx}"] = full(F.col(f"stoch{sfx}"), w, s, F.avg)
 
     if "macd" in params:
         m = params["macd"]
         slow, fast, sign = int(m.get("slow", 26)), int(m.get("fast", 12)), int(m.get("sign", 9))
-        df = df.withColumn(f"macd{sfx}", ewm(c, w, 2.0 / (fast + 1), fast) - ewm(c, w, 2.0 / (slow + 1), slow))
-        df = df.withColumn(f"macd_signal{sfx}", ewm(F.col(f"macd{sfx}"), w, 2.0 / (sign + 1), sign))
-        df = df.withColumn(f"macd_diff{sfx}", F.col(f"macd{sfx}") - F.col(f"macd_signal{sfx}"))
+        levels[0][f"macd{sfx}"] = ewm(c, w, 2.0 / (fast + 1), fast) - ewm(c, w, 2.0 / (slow + 1), slow)
+        levels[1][f"macd_signal{sfx}"] = ewm(F.col(f"macd{sfx}"), w, 2.0 / (sign + 1), sign)
+        levels[2][f"macd_diff{sfx}"] = F.col(f"macd{sfx}") - F.col(f"macd_signal{sfx}")
 
     if "bb" in params:
         n, dev = _p(params, "bb", "window"), _p(params, "bb", "window_dev")
         f = frame(w, n)
         ok = F.count(c).over(f) == n
         mavg, sd = F.avg(c).over(f), F.stddev_pop(c).over(f)
-        df = (df.withColumn(f"bb_mavg{sfx}", F.when(ok, mavg))
-              .withColumn(f"bb_hband{sfx}", F.when(ok, mavg + dev * sd))
-              .withColumn(f"bb_lband{sfx}", F.when(ok, mavg - dev * sd)))
+        levels[0].update({f"bb_mavg{sfx}": F.when(ok, mavg), f"bb_hband{sfx}": F.when(ok, mavg + dev * sd),
+                          f"bb_lband{sfx}": F.when(ok, mavg - dev * sd)})
+
+    for lvl in levels:
+        if lvl:
+            df = df.withColumns(lvl)
     return df.drop(*tmp)
 
 
 def add_level2_features(df: DataFrame, w: WindowSpec, p: int, sfx: str) -> DataFrame:
-    for c in L2_COLS:
-        df = df.withColumn(f"{c}{sfx}", full(F.col(c), w, p, F.avg))
+    df = df.withColumns({f"{c}{sfx}": full(F.col(c), w, p, F.avg) for c in L2_COLS})
     bv, av = F.col(f"l2_bid_vol{sfx}"), F.col(f"l2_ask_vol{sfx}")
-    return (df.withColumn(f"l2_spread{sfx}", F.col(f"l2_ask_min{sfx}") - F.col(f"l2_bid_max{sfx}"))
-            .withColumn(f"l2_imbalance{sfx}", F.when(bv + av != 0, (bv - av) / (bv + av))))
+    return df.withColumns({f"l2_spread{sfx}": F.col(f"l2_ask_min{sfx}") - F.col(f"l2_bid_max{sfx}"),
+                           f"l2_imbalance{sfx}": F.when(bv + av != 0, (bv - av) / (bv + av))})
 
 
 # ------------------------------------------------------------------ chunked drivers
@@ -247,9 +254,10 @@ def rolling_candles(df: DataFrame, periods: Sequence[str], step: str, *, chunk:
     the period label."""
     ps = [period_steps(p, step) for p in periods]
     h, w = chunked(df, step, max(ps), chunk, symbol=symbol, ts=ts)
+    cols = {}
     for p, lbl in zip(ps, periods):
-        for name, col in rolling_candle_cols(w, p, f"_{label(lbl)}").items():
-            h = h.withColumn(name, col)
+        cols.update(rolling_candle_cols(w, p, f"_{label(lbl)}"))
+    h = h.withColumns(cols)
     return h.where(~F.col("_halo")).drop("_c", "_halo")
 
 
@@ -262,8 +270,7 @@ def candle_indicators(df: DataFrame, periods: Sequence[str], step: str, params:
     h, w = chunked(df, step, halo, chunk, symbol=symbol, ts=ts)
     for p, lbl in zip(ps, periods):
         sfx = f"_{label(lbl)}"
-        for name, col in rolling_candle_cols(w, p, f"_rc{sfx}").items():
-            h = h.withColumn(name, col)
+        h = h.withColumns(rolling_candle_cols(w, p, f"_rc{sfx}"))
         h = add_indicators(h, w, params_for(params, lbl), sfx, src=f"_rc{sfx}")
         h = h.drop(*[f"{c}_rc{sfx}" for c in ("open", "high", "low", "close", "vol")])
     return h.where(~F.col("_halo")).drop("_c", "_halo")
@@ -283,7 +290,6 @@ def clean_features(features: DataFrame, feature_cols: Sequence[str] | None = Non
     feature are dropped."""
     cols = list(feature_cols) if feature_cols is not None else [c for c in features.columns if c not in keep]
     out = features
-    for c in cols:
-        x = F.col(c)
-        out = out.withColumn(c, F.when(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(None)).otherwise(x))
+    out = out.withColumns({c: F.when(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(None)).otherwise(F.col(c))
+                           for c in cols})
     return out.dropna(how="any", subset=cols)

@@ -77,17 +77,20 @@ def fill_grid(df: DataFrame, step: str = "1 minute", *, symbol: str = "symbol",
     # value with its position: struct(us, v) where v is not null
     pv = {c: F.when(num[c].isNotNull(), F.struct(tus.alias("t"), num[c].alias("v"))) for c in cols}
 
-    bounds = data.groupBy(symbol).agg(F.min(out_ts).alias("lo"), F.max(out_ts).alias("hi"))
-    g = grid(bounds, step, chunk, symbol=symbol, out_ts=out_ts)
-
-    # per-chunk edge values, then carried across chunks over the (small) chunk table
+    # per-chunk edge values (and time bounds), then carried across chunks over
+    # the small chunk table.  Bounds come from this summary, not from a third
+    # pass over the data: both consumers of ``data`` then need the same
+    # columns and share one shuffle (exchange reuse).
     edge = data.groupBy(symbol, "_c").agg(
+        F.min(out_ts).alias("_lo"), F.max(out_ts).alias("_hi"),
         *[F.max_by(pv[c], F.when(pv[c].isNotNull(), tus)).alias(f"_last_{c}") for c in cols],
         *[F.min_by(pv[c], F.when(pv[c].isNotNull(), tus)).alias(f"_first_{c}") for c in cols])
+    bounds = edge.groupBy(symbol).agg(F.min("_lo").alias("lo"), F.max("_hi").alias("hi"))
+    g = grid(bounds, step, chunk, symbol=symbol, out_ts=out_ts)
     # every chunk of the grid, also those without data rows (long gaps)
     all_chunks = bounds.select(symbol, F.explode(F.sequence(chunk_of(ts_micros(bounds, "lo"), chunk_us),
                                                             chunk_of(ts_micros(bounds, "hi"), chunk_us))).alias("_c"))
-    edge = all_chunks.join(edge, [symbol, "_c"], "left")
+    edge = all_chunks.join(edge.drop("_lo", "_hi"), [symbol, "_c"], "left")
     before = Window.partitionBy(symbol).orderBy(F.col("_c").asc()).rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy(symbol).orderBy(F.col("_c").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = edge.select(symbol, "_c",
@@ -103,13 +106,12 @@ def fill_grid(df: DataFrame, step: str = "1 minute", *, symbol: str = "symbol",
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     w_dn = (Window.partitionBy(symbol, "_c").orderBy(F.col(out_ts).desc(), F.col("_g").asc())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    for c in cols:
-        u = u.withColumn(f"_p_{c}", F.coalesce(F.last(f"_pv_{c}", ignorenulls=True).over(w_up), F.col(f"_cp_{c}")))
-    for c in cols:
-        u = u.withColumn(f"_n_{c}", F.coalesce(F.last(f"_pv_{c}", ignorenulls=True).over(w_dn), F.col(f"_cn_{c}")))
+    u = u.withColumns({f"_p_{c}": F.coalesce(F.last(f"_pv_{c}", ignorenulls=True).over(w_up), F.col(f"_cp_{c}"))
+                       for c in cols})
+    u = u.withColumns({f"_n_{c}": F.coalesce(F.last(f"_pv_{c}", ignorenulls=True).over(w_dn), F.col(f"_cn_{c}"))
+                       for c in cols})
     u = u.where(F.col("_g") == 1)
-    u = u.withColumn("_t_us", ts_micros(u, out_ts))
-    t = F.col("_t_us")
+    t = ts_micros(g, out_ts)
     out = []
     for c in cols:
         p, n = F.col(f"_p_{c}"), F.col(f"_n_{c}")

@@ -34,7 +34,21 @@ ASOF_SYMBOLS = 8
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Input-parallelism guard.  A scan with fewer splits than the session
+    has cores (a single-row-group file, a few unsplittable gzip files) would
+    run every narrow step up to the first shuffle -- JSON building and
+    parsing, book summaries -- in that many tasks.  Such inputs are small by
+    construction (one split each), so a round-robin repartition to the
+    default parallelism is cheap; a large input already has enough splits and
+    is left alone.  Filters and column pruning still reach the scan.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    return df.repartition(par) if n < par else df
 
 
 def _k(df: DataFrame):

@@ -26,6 +26,7 @@ from ticklake.operators.indicators import (DEFAULT_PARAMS, add_indicators, add_l
                                            lookback_rows, params_for, period_steps, rolling_candle_cols)
 from ticklake.operators.timegrid import fill_grid
 from ticklake.schemas import L2_COLS
+from ticklake.session import checkpoint_dir
 
 CANDLE = ["open", "high", "low", "close", "vol"]
 
@@ -52,8 +53,7 @@ def feature_frame(filled: DataFrame, *, step: str, candle_periods: Sequence[str]
     feats: list[str] = []
     for p, lbl in zip(cps, candle_periods):
         sfx = f"_{label(lbl)}"
-        for name, col in rolling_candle_cols(w, p, f"_rc{sfx}").items():
-            h = h.withColumn(name, col)
+        h = h.withColumns(rolling_candle_cols(w, p, f"_rc{sfx}"))
         before = set(h.columns)
         h = add_indicators(h, w, params_for(params, lbl), sfx, src=f"_rc{sfx}")
         feats += [c for c in h.columns if c not in before]
@@ -68,8 +68,14 @@ def feature_frame(filled: DataFrame, *, step: str, candle_periods: Sequence[str]
 def features(candles: DataFrame, level2: DataFrame, *, step: str = "1 minute",
              candle_periods: Sequence[str] = ("1 minute",), level2_periods: Sequence[str] = ("1 minute",),
              params: Mapping | None = None, tolerance: str = "59 seconds", chunk: str = "1 day",
-             hwm=None, symbol: str = "symbol") -> DataFrame:
+             hwm=None, symbol: str = "symbol", materialize: bool = True) -> DataFrame:
     merged = merge_inputs(candles, level2, tolerance=tolerance, chunk=chunk, symbol=symbol)
+    if materialize:
+        # lineage cut: the grid fill reads the merged bars three times (data
+        # rows, bounds, chunk edges); a reliable checkpoint in the shared
+        # checkpoint folder runs the merge once and bounds recovery work
+        checkpoint_dir(merged.sparkSession)
+        merged = merged.checkpoint(eager=True)
     filled = fill_grid(merged.select(symbol, "datetime", *CANDLE, *L2_COLS), step, ts="datetime",
                        cols=CANDLE + L2_COLS, chunk=chunk)
     f = feature_frame(filled, step=step, candle_periods=candle_periods, level2_periods=level2_periods,

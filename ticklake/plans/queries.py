@@ -262,10 +262,19 @@ def fill_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 IND_CHUNK = "10 days"
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """Stage boundary: in production the feature job reads staged tables;
+    here a reliable checkpoint in the shared checkpoint folder plays that
+    table (the grid fill reads its input twice)."""
+    from ticklake.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def filled_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly OHLC bars of the ticks on a regular hourly grid (left label)."""
     from ticklake.operators.timegrid import fill_grid as fg
-    b = bars.ohlc_bars(derive.ticks(spark, sf_dir), BAR, seq=["seq"]).drop("n", "close_time")
+    b = staged(bars.ohlc_bars(derive.ticks(spark, sf_dir), BAR, seq=["seq"]).drop("n", "close_time"))
     return fg(b, BAR, ts="open_time", cols=["open", "high", "low", "close", "vol"], chunk=IND_CHUNK)
 
 
@@ -317,7 +326,7 @@ def bollinger(spark, sf_dir):
 
 def filled_level2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticklake.operators.timegrid import fill_grid as fg
-    l2 = book.stage_level2(_book_msgs(spark, sf_dir), BAR)
+    l2 = staged(book.stage_level2(_book_msgs(spark, sf_dir), BAR))
     return fg(l2, BAR, ts="datetime", cols=list(schemas.L2_COLS), chunk=IND_CHUNK)
 
 

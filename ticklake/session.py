@@ -52,14 +52,16 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage cuts.
 
-    On a cluster the folder is whatever ``spark.checkpoint.dir`` names (a
-    shared file system).  Only when it is unset -- local tests -- do we make
-    one of our own.
+    On a cluster this is the folder named by ``spark.checkpoint.dir`` (a
+    shared file system), or whatever the job already set.  Only when nothing
+    is configured -- local tests -- do we make a scratch folder of our own.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
+    if d:
+        return d
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="ticklake-ckpt-", dir=os.environ.get("TICKLAKE_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
