@@ -88,12 +88,14 @@ def route_by_guid(df: DataFrame, subscriptions: DataFrame, guid: str = "guid", c
 
 
 def drop_control_messages(df: DataFrame, value: str = "value") -> DataFrame:
-    """Drop heartbeat/control frames (``ping``, ``op``, ``action``, error
-    status) and keep data messages (those with a channel)."""
-    keys = F.from_json(col(value), "ping long, op string, action string, status string, ch string")
+    """Keep data messages, drop control frames.  Precedence as in the feed
+    handler: a frame with ``ping``, ``op`` or ``action`` is control; else a
+    frame with a channel is data (even if it also says ``status: error``);
+    anything else (error status, unknown) is dropped."""
+    keys = F.from_json(col(value), "ping long, op string, action string, ch string")
     return (df.withColumn("_k", keys)
             .where(F.col("_k.ping").isNull() & F.col("_k.op").isNull() & F.col("_k.action").isNull()
-                   & (F.col("_k.status").isNull() | (F.col("_k.status") != "error")) & F.col("_k.ch").isNotNull())
+                   & F.col("_k.ch").isNotNull())
             .drop("_k"))
 
 
