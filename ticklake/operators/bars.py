@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.functions.time import bar_ts, col
+from ticklake.functions.time import bar_close as bar_close_col, bar_ts, col  # noqa: F401
 
 CANDLE_COLS = ("open", "high", "low", "close", "vol")
 

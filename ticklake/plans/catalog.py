@@ -31,7 +31,7 @@ QUERIES = {
     "features_inner": q.features_inner,
     "keep_last": q.keep_last,
     "only_new": q.only_new,
-    "time_gap": q.time_gap,
+    "time_gap": q.time_gap_q,
     "fill_grid": q.fill_grid,
     "rolling_candles": q.rolling_candles,
     "cci": q.cci,
@@ -43,6 +43,11 @@ QUERIES = {
     "bollinger": q.bollinger,
     "level2_features": q.level2_features,
     "features": q.features,
+    "list_daily_files": q.list_daily_files,
+    "find_updated_files": q.find_updated_files,
+    "file_counts": q.file_counts,
+    "message_rate": q.message_rate,
+    "time_lag": q.time_lag_q,
 }
 
 FLAGSHIP = "features"

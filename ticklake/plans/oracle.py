@@ -515,3 +515,52 @@ merged AS (SELECT symbol, greatest(l2dt, close_time) AS ts, 0 AS seq, {", ".join
 
 
 SQL["features"] = features_query()
+
+LISTINGS = """g AS (SELECT CAST(o_orderdate AS DATE) AS d, o_orderpriority AS p, max(o_orderdate) AS mx,
+              min(o_orderkey) AS kmin FROM orders GROUP BY 1, 2),
+src AS (SELECT strftime(d, '%Y-%m-%d') || '_' || p || '.csv.zip' AS name, d AS file_date,
+               mx + INTERVAL 1 DAY AS mtime FROM g),
+dst AS (SELECT CASE WHEN kmin % 2 = 0 THEN strftime(d, '%Y-%m-%d') || '_' || p || '.csv'
+                    ELSE strftime(d, '%Y-%m-%d') || '_' || p || '.csv.zip' END AS name, d AS file_date,
+               mx + INTERVAL 1 DAY + CASE WHEN kmin % 2 = 1 THEN INTERVAL 1 HOUR ELSE INTERVAL (-1) HOUR END AS mtime
+        FROM g WHERE kmin % 3 <> 0)"""
+
+SQL["list_daily_files"] = f"""
+WITH {LISTINGS}
+SELECT name, file_date, mtime FROM src
+WHERE file_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' AND mtime >= TIMESTAMP '1996-06-01 00:00:00'
+"""
+
+SQL["find_updated_files"] = f"""
+WITH {LISTINGS},
+s AS (SELECT * FROM src WHERE file_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'),
+t AS (SELECT * FROM dst WHERE file_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31')
+SELECT s.name, 'src/' || s.name AS path, s.file_date, s.mtime FROM s
+LEFT JOIN t e ON e.name = s.name
+LEFT JOIN t z ON z.name = regexp_replace(s.name, '\\.zip$', '')
+WHERE coalesce(e.mtime, z.mtime) IS NULL OR s.mtime > coalesce(e.mtime, z.mtime)
+"""
+
+SQL["file_counts"] = f"""
+WITH {LISTINGS},
+a AS (SELECT 'src' AS dir, name, file_date FROM src UNION ALL SELECT 'dst', name, file_date FROM dst)
+SELECT dir, CASE WHEN name LIKE '%.csv.zip' THEN 'csv.zip' WHEN name LIKE '%.csv' THEN 'csv' ELSE 'other' END AS kind,
+       count(*) AS n_files, min(file_date) AS first_date, max(file_date) AS last_date
+FROM a GROUP BY 1, 2
+"""
+
+SQL["message_rate"] = f"""
+WITH f AS (
+  SELECT 'raw.htx.' || lower('market.' || event_type || '.' ||
+         CASE event_id % 3 WHEN 0 THEN 'kline.1min' WHEN 1 THEN 'depth.step0' ELSE 'bbo' END) AS topic,
+         {MS_TS} AS ts
+  FROM events WHERE event_type <> 'error')
+SELECT topic, time_bucket(INTERVAL '1 hour', ts) AS window_start, count(*) AS n,
+       {r6('count(*) / 3600.0')} AS per_sec, {r6('count(*) * 60.0 / 3600.0')} AS per_min
+FROM f GROUP BY 1, 2
+"""
+
+SQL["time_lag"] = f"""
+WITH {TICKS}, l AS (SELECT symbol, (epoch_us({bucket('1 hour')} + INTERVAL '1 hour') - epoch_us(ts)) / 1e6 AS lag FROM ticks)
+SELECT symbol, {r6('max(lag)')} AS max_lag_s, {r6('avg(lag)')} AS avg_lag_s, count(*) AS n FROM l GROUP BY symbol
+"""

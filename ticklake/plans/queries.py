@@ -240,7 +240,7 @@ def only_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return on(_hourly(spark, sf_dir), last_produced(produced))
 
 
-def time_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+def time_gap_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticklake.operators.increment import time_gap as tg
     t = derive.ticks(spark, sf_dir)
     hist = t.where(F.col("ts") < F.lit(GAP_SPLIT))
@@ -355,3 +355,44 @@ def features(spark: SparkSession, sf_dir: str, step: str = BAR, periods=("1 hour
     out = fj(candles, l2, step=step, candle_periods=list(periods), level2_periods=list(periods),
              params=FEATURE_PARAMS, tolerance="59 seconds", chunk=chunk)
     return _round_all(out, _feature_cols(out))
+
+
+# ---------------------------------------------------------------- files and metrics
+
+def _listings(spark, sf_dir):
+    from ticklake.sources.files import listing
+    src, dst = derive.file_listings(spark, sf_dir)
+    return listing(src), listing(dst)
+
+
+def list_daily_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.sources.files import daily_files
+    src, _ = _listings(spark, sf_dir)
+    return daily_files(src, "1996-01-01", "1996-12-31", modified_after="1996-06-01").select("name", "file_date", "mtime")
+
+
+def find_updated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.sources.files import find_updated_files as fu
+    src, dst = _listings(spark, sf_dir)
+    return fu(src, dst, "1996-01-01", "1999-12-31")
+
+
+def file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.operators.metrics import file_counts as fc
+    src, dst = _listings(spark, sf_dir)
+    return fc(src.unionByName(dst))
+
+
+def message_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.operators.metrics import message_rate as mr
+    frames = parse.route_by_channel(parse.drop_control_messages(derive.raw_frames(spark, sf_dir)))
+    ts = ntz_from_millis(F.get_json_object("value", "$.ts").cast("long"))
+    out = mr(frames.withColumn("ts", ts), topic="topic", ts="ts", every=BAR)
+    return _round_all(out, {"per_sec", "per_min"})
+
+
+def time_lag_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each hourly bar's close trails the ticks it contains."""
+    from ticklake.operators.metrics import time_lag as tl
+    t = derive.ticks(spark, sf_dir).withColumn("close_time", bars.bar_close_col("ts", BAR))
+    return _round_all(tl(t, event_ts="ts", ingest_ts="close_time", by="symbol"), {"max_lag_s", "avg_lag_s"})
