@@ -78,6 +78,10 @@ def features(candles: DataFrame, level2: DataFrame, *, step: str = "1 minute",
         merged = merged.checkpoint(eager=True)
     filled = fill_grid(merged.select(symbol, "datetime", *CANDLE, *L2_COLS), step, ts="datetime",
                        cols=CANDLE + L2_COLS, chunk=chunk)
+    if materialize:
+        # stage boundary: the indicator window pass reads a materialized grid
+        # (the fill's plan has several branches over its input)
+        filled = filled.checkpoint(eager=True)
     f = feature_frame(filled, step=step, candle_periods=candle_periods, level2_periods=level2_periods,
                       params=params, chunk=chunk, symbol=symbol)
     from ticklake.operators.indicators import clean_features

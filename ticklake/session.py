@@ -23,6 +23,10 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # the indicator plans derive ~100 columns through stacked windows;
+    # constraint propagation over them grows combinatorially (minutes of
+    # optimizer time for a small join on top) and infers nothing useful
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 

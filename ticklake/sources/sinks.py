@@ -55,7 +55,7 @@ def archive_partitions(df: DataFrame, zone: str = "UTC", clock=None) -> DataFram
 
 
 def archive_raw(stream: DataFrame, path: str, checkpoint: str, *, zone: str = "Europe/Moscow",
-                every: str = "1 hour", max_records_per_file: int | None = None):
+                every: str = "1 hour", max_records_per_file: int | None = None, trigger: dict | None = None):
     """Continuously archive raw messages as gzip JSON lines under
     ``year=/month=/day=``; one file set per trigger (hourly rotation by
     default; ``every="1 minute", max_records_per_file=100`` for the fast
@@ -63,7 +63,7 @@ def archive_raw(stream: DataFrame, path: str, checkpoint: str, *, zone: str = "E
     out = archive_partitions(stream, zone)
     w = (out.writeStream.format("json").option("compression", "gzip").option("path", path)
          .option("checkpointLocation", checkpoint).partitionBy("year", "month", "day")
-         .trigger(processingTime=every).outputMode("append"))
+         .trigger(**(trigger or {"processingTime": every})).outputMode("append"))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     return w.start()
