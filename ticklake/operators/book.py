@@ -60,8 +60,8 @@ def book_summary(df: DataFrame, *, symbol: str = "symbol", ts: str = "datetime",
                      F.when(a["n"] > 0, 1).alias("ask_n"))
 
 
-def _expectation_from_sums(g: DataFrame, symbol: str, ts: str) -> DataFrame:
-    return g.select(symbol, ts,
+def _expectation_from_sums(g: DataFrame, symbol: str, ts: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    return g.select(symbol, ts, *carry,
                     F.col("bid_max").alias("l2_bid_max"),
                     (F.col("bid_pv") / F.col("bid_v")).alias("l2_bid_expect"),
                     F.col("bid_v").alias("l2_bid_vol"),
@@ -84,24 +84,27 @@ def book_expectation(df: DataFrame, *, symbol: str = "symbol", ts: str = "dateti
     return _expectation_from_sums(g, symbol, ts)
 
 
-def book_expectation_rows(rows: DataFrame, *, symbol: str = "symbol", ts: str = "datetime") -> DataFrame:
-    """Snapshot expectation from exploded level rows (files already in row form)."""
+def book_expectation_rows(rows: DataFrame, *, symbol: str = "symbol", ts: str = "datetime",
+                          carry: tuple[str, ...] = ()) -> DataFrame:
+    """Snapshot expectation from exploded level rows (files already in row
+    form); ``carry`` columns are kept per snapshot (max)."""
     g = (rows.groupBy(symbol, ts)
          .agg(F.max("bid").alias("bid_max"), F.sum(F.col("bid") * F.col("bid_vol")).alias("bid_pv"),
               F.sum("bid_vol").alias("bid_v"),
               F.min("ask").alias("ask_min"), F.sum(F.col("ask") * F.col("ask_vol")).alias("ask_pv"),
-              F.sum("ask_vol").alias("ask_v")))
-    return _expectation_from_sums(g, symbol, ts)
+              F.sum("ask_vol").alias("ask_v"), *[F.max(c).alias(c) for c in carry]))
+    return _expectation_from_sums(g, symbol, ts, carry)
 
 
 def level2_bars(expect: DataFrame, step: str = "1 minute", *, symbol: str = "symbol", ts: str = "datetime",
-                lateness: str | None = None) -> DataFrame:
+                lateness: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Right-closed, right-labelled bar means of the snapshot expectation."""
     df = expect.withColumn("_bar_ts", bar_ts(ts, "right"))
     if df.isStreaming:
         df = df.withWatermark("_bar_ts", lateness or "10 seconds")
-    out = df.groupBy(col(symbol), F.window("_bar_ts", step).alias("_w")).agg(*[F.avg(c).alias(c) for c in L2_COLS])
-    return out.select(symbol, F.col("_w.end").alias("datetime"), *L2_COLS)
+    out = df.groupBy(col(symbol), F.window("_bar_ts", step).alias("_w")).agg(
+        *[F.avg(c).alias(c) for c in L2_COLS], *[F.max(c).alias(c) for c in carry])
+    return out.select(symbol, F.col("_w.end").alias("datetime"), *L2_COLS, *carry)
 
 
 def stage_level2(msgs: DataFrame, step: str = "1 minute", **kw) -> DataFrame:
