@@ -129,7 +129,7 @@ def test_stream_asof_equals_batch(spark, tmp_dir):
     spark.createDataFrame([("X", t0 + timedelta(days=1), *[0.0] * 6)], ls).write.mode("append").parquet(ldir)
     c = spark.readStream.schema(cs).parquet(cdir)
     l2 = spark.readStream.schema(ls).parquet(ldir)
-    q = run_memory(asof_join_stream(c, l2, tolerance="59 seconds", watermark="2 minutes"), "st_asof")
+    q = run_memory(asof_join_stream(c, l2, tolerance="59 seconds", watermark="2 minutes", chunk="10 minutes"), "st_asof")
     q.processAllAvailable()
     got = {r.close_time.replace(tzinfo=None): r.l2_bid_max for r in spark.table("st_asof").collect()
            if r.close_time < t0 + timedelta(days=1)}

@@ -15,21 +15,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.operators.chunks import parse_duration_us
+from ticklake.operators.chunks import chunk_of, chunks_reaching, parse_duration_us
 from ticklake.schemas import L2_COLS
 
 CANDLE = ["open", "high", "low", "close", "vol"]
 
 
 def asof_join_stream(candles: DataFrame, level2: DataFrame, *, tolerance: str = "59 seconds",
-                     watermark: str = "2 minutes", symbol: str = "symbol") -> DataFrame:
+                     watermark: str = "2 minutes", symbol: str = "symbol", chunk: str = "1 hour") -> DataFrame:
     """``candles``: ``symbol, close_time (timestamp), open..vol``;
-    ``level2``: ``symbol, datetime (timestamp), l2_*``."""
+    ``level2``: ``symbol, datetime (timestamp), l2_*``.
+
+    The join key is ``(symbol, time chunk)``, not the symbol alone: a level2
+    row is copied into each chunk holding candles within the tolerance of it
+    (exact), so the join state of a hot symbol is spread over its chunks.
+    """
     tol = F.expr(f"INTERVAL {tolerance}")
-    c = candles.withWatermark("close_time", watermark).alias("c")
+    tol_us, chunk_us = parse_duration_us(tolerance), parse_duration_us(chunk)
+    c = (candles.withWatermark("close_time", watermark)
+         .withColumn("_c", chunk_of(F.unix_micros("close_time"), chunk_us)).alias("c"))
     l2 = (level2.withWatermark("datetime", watermark)
-          .select(F.col(symbol).alias("_l_sym"), F.col("datetime").alias("_l_dt"), *L2_COLS).alias("l"))
-    j = c.join(l2, (F.col(f"c.{symbol}") == F.col("_l_sym"))
+          .select(F.col(symbol).alias("_l_sym"), F.col("datetime").alias("_l_dt"), *L2_COLS,
+                  F.explode(chunks_reaching(F.unix_micros("datetime"), chunk_us, tol_us, tol_us)).alias("_l_c"))
+          .alias("l"))
+    j = c.join(l2, (F.col(f"c.{symbol}") == F.col("_l_sym")) & (F.col("c._c") == F.col("_l_c"))
                & (F.col("_l_dt") >= F.col("c.close_time") - tol)
                & (F.col("_l_dt") <= F.col("c.close_time") + tol), "inner")
     j = j.select(F.col(f"c.{symbol}").alias(symbol), "c.close_time", *[F.col(f"c.{x}") for x in CANDLE],
@@ -39,6 +48,5 @@ def asof_join_stream(candles: DataFrame, level2: DataFrame, *, tolerance: str =
     out = (j.groupBy(symbol, "close_time")
            .agg(best.alias("_m"), *[F.first(x).alias(x) for x in CANDLE]))
     l2_dt = F.timestamp_micros(F.col("_m._l_us"))
-    assert parse_duration_us(tolerance) > 0
     return out.select(symbol, "close_time", *CANDLE, *[F.col(f"_m.{x}").alias(x) for x in L2_COLS],
                       F.greatest(l2_dt, F.col("close_time")).alias("datetime"))
