@@ -53,7 +53,8 @@ def to_messages(df: DataFrame, key: str | None = "symbol", topic: str | None = N
     """Rows -> Kafka records: JSON value of all columns (timestamps as
     ISO strings), optional key and per-row ``topic`` column."""
     cols = [c for c in df.columns if c != "topic"]
-    out = [F.to_json(F.struct(*cols), {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}).alias("value")]
+    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    out = [F.to_json(F.struct(*cols), {"timestampFormat": fmt, "timestampNTZFormat": fmt}).alias("value")]
     if key:
         out.append(F.col(key).cast("string").alias("key"))
     if topic is None and "topic" in df.columns:
