@@ -69,6 +69,9 @@ def features(candles: DataFrame, level2: DataFrame, *, step: str = "1 minute",
              candle_periods: Sequence[str] = ("1 minute",), level2_periods: Sequence[str] = ("1 minute",),
              params: Mapping | None = None, tolerance: str = "59 seconds", chunk: str = "1 day",
              hwm=None, symbol: str = "symbol", materialize: bool = True) -> DataFrame:
+    # the feature plan derives ~100 columns through stacked windows; the
+    # optimizer's constraint propagation over it grows combinatorially
+    candles.sparkSession.conf.set("spark.sql.constraintPropagation.enabled", "false")
     merged = merge_inputs(candles, level2, tolerance=tolerance, chunk=chunk, symbol=symbol)
     if materialize:
         # lineage cut: the grid fill reads the merged bars three times (data

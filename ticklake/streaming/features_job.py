@@ -70,6 +70,7 @@ class FeatureJob:
 
     def process(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
         batch = batch.select("symbol", F.col("datetime").cast("timestamp_ntz").alias("datetime"), *CANDLE, *L2_COLS)
         stored = _read(spark, self.store)
         if stored is not None:
