@@ -63,3 +63,10 @@ def test_observe_and_per_file(spark, tmp_dir):
     t = spark.createDataFrame([("a", dt(2025, 1, 1, 0, 0, 10), dt(2025, 1, 1, 0, 1))],
                               "topic string, e timestamp_ntz, i timestamp_ntz")
     assert time_lag(t, event_ts="e", ingest_ts="i").collect()[0].max_lag_s == 50.0
+
+
+def test_offsets_fallback_to_beginning():
+    j = json.loads(kafka.offsets_json("t", 3, {0: 15, 2: 7}))
+    assert j == {"t": {"0": 15, "1": -2, "2": 7}}
+    o = kafka.reader_options("b", "t", offsets_by_partition={"t": {0: 15, 1: -2}})
+    assert json.loads(o["startingOffsets"])["t"]["1"] == -2

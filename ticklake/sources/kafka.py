@@ -89,3 +89,21 @@ def publish_raw(df: DataFrame, ch: str = "ch", ts_ms: str = "ts") -> DataFrame:
     from ticklake.functions.time import ntz_from_millis
     return (df.withColumn("datetime", F.date_format(ntz_from_millis(ts_ms), "yyyy-MM-dd HH:mm:ss.SSS"))
             .withColumn("topic", topic_name(F.lower(F.col(ch)))))
+
+
+def offsets_json(topic: str, partitions: int, first_offsets: Mapping[int, int]) -> str:
+    """``startingOffsets`` JSON: each partition's first offset at or after the
+    start time; partitions without such a message start at the beginning
+    (-2), unlike ``startingTimestamp`` whose fallback is error or latest."""
+    return json.dumps({topic: {str(p): int(first_offsets.get(p, -2)) for p in range(partitions)}})
+
+
+def offsets_for_time(spark: SparkSession, servers: str, topic: str, start_time_ms: int, partitions: int) -> str:
+    """Per-partition starting offsets for a point in time.  A batch read from
+    ``start_time_ms`` (only records at or after it) gives each partition's
+    first offset -- one row per partition reaches the driver."""
+    recent = (spark.read.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+              .option("startingTimestamp", str(int(start_time_ms)))
+              .option("startingOffsetsByTimestampStrategy", "latest").option("endingOffsets", "latest").load())
+    firsts = recent.groupBy("partition").agg(F.min("offset").alias("offset")).collect()
+    return offsets_json(topic, partitions, {r.partition: r.offset for r in firsts})
