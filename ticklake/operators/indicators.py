@@ -69,21 +69,19 @@ def full(x: Column, w: WindowSpec, n: int, agg) -> Column:
     return F.when(F.count(x).over(f) == n, agg(x).over(f))
 
 
-def _wsum(lst: Column, beta: float, with_values: bool) -> Column:
-    m = F.size(lst)
-    if with_values:
-        terms = F.transform(lst, lambda v, j: v * F.pow(F.lit(beta), (m - 1 - j).cast("double")))
-    else:
-        terms = F.transform(lst, lambda v, j: F.pow(F.lit(beta), (m - 1 - j).cast("double")))
-    return F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
-
-
 def ewm(x: Column, w: WindowSpec, alpha: float, window: int, lookback: int | None = None) -> Column:
-    """Finite-look-back exponentially weighted mean (see module doc)."""
+    """Finite-look-back exponentially weighted mean (see module doc).
+
+    The weighted sums are evaluated by Horner's scheme over the frame's list
+    (oldest first): ``acc * beta + x`` gives ``sum beta^(m-1-j) x_j`` and
+    ``acc * beta + 1`` the sum of the weights -- one pass, no powers.
+    """
     k = lookback or EWM_SPAN * window
     lst = F.collect_list(x).over(frame(w, k))
-    beta = 1.0 - alpha
-    return F.when(F.size(lst) >= window, _wsum(lst, beta, True) / _wsum(lst, beta, False))
+    b = F.lit(1.0 - alpha)
+    num = F.aggregate(lst, F.lit(0.0), lambda acc, v: acc * b + v)
+    den = F.aggregate(lst, F.lit(0.0), lambda acc, v: acc * b + F.lit(1.0))
+    return F.when(F.size(lst) >= window, num / den)
 
 
 # ------------------------------------------------------------------ rolling candles

@@ -43,6 +43,7 @@ QUERIES = {
     "bollinger": q.bollinger,
     "level2_features": q.level2_features,
     "features": q.features,
+    "features_1min": q.features_1min,
     "list_daily_files": q.list_daily_files,
     "find_updated_files": q.find_updated_files,
     "file_counts": q.file_counts,

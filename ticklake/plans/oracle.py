@@ -332,9 +332,10 @@ def ewm_list(x: str, name: str, k: int) -> str:
 
 
 def ewm_of(lst: str, alpha: float, n: int, name: str) -> str:
+    """Weighted sums by Horner's scheme, as ``indicators.ewm``."""
     b = dbl(1.0 - alpha)
-    num = f"list_sum(list_transform({lst}, lambda v, j: v * pow({b}, len({lst}) - j)))"
-    den = f"list_sum(list_transform({lst}, lambda v, j: pow({b}, len({lst}) - j)))"
+    num = f"list_reduce({lst}, lambda acc, v: acc * {b} + v, 0.0::DOUBLE)"
+    den = f"list_reduce({lst}, lambda acc, v: acc * {b} + 1.0::DOUBLE, 0.0::DOUBLE)"
     return f"CASE WHEN len({lst}) >= {n} THEN {num} / {den} END AS {name}"
 
 
@@ -488,9 +489,15 @@ FEATURE_PARAMS = {
 }
 
 
-def features_query(periods=((1, "_1hour"), (3, "_3hours"))) -> str:
-    src = f"""{HOURLY}, {SNAPSHOTS},
-l2b AS (SELECT symbol, {bucket('1 hour', 'datetime')} + INTERVAL '1 hour' AS datetime,
+def features_query(periods=((1, "_1hour"), (3, "_3hours")), step: str = "1 hour") -> str:
+    bars = f"""{TICKS},
+hourly AS (
+  SELECT symbol, {bucket(step)} + INTERVAL '{step}' AS datetime,
+         arg_min(price, (ts, seq)) AS open, max(price) AS high, min(price) AS low,
+         arg_max(price, (ts, seq)) AS close, sum(vol) AS vol, count(*) AS n
+  FROM ticks GROUP BY symbol, datetime)"""
+    src = f"""{bars}, {SNAPSHOTS},
+l2b AS (SELECT symbol, {bucket(step, 'datetime')} + INTERVAL '{step}' AS datetime,
                {", ".join(f"avg({c}) AS {c}" for c in L2)}
         FROM snap GROUP BY 1, 2),
 mc AS (SELECT c.symbol, c.datetime AS close_time, l.datetime AS l2dt, {", ".join("c." + x for x in CANDLE)},
@@ -501,7 +508,7 @@ mc AS (SELECT c.symbol, c.datetime AS close_time, l.datetime AS l2dt, {", ".join
         AND l.datetime BETWEEN c.datetime - INTERVAL '59 seconds' AND c.datetime + INTERVAL '59 seconds'),
 merged AS (SELECT symbol, greatest(l2dt, close_time) AS ts, 0 AS seq, {", ".join(CANDLE)}, {", ".join(L2)}
            FROM mc WHERE rn = 1),
-{fill_cte('1 hour', 'merged', (*CANDLE, *L2), 'filled')}"""
+{fill_cte(step, 'merged', (*CANDLE, *L2), 'filled')}"""
     ch = Chain("filled")
     feats: list[str] = []
     for p, sfx in periods:
@@ -515,6 +522,7 @@ merged AS (SELECT symbol, greatest(l2dt, close_time) AS ts, 0 AS seq, {", ".join
 
 
 SQL["features"] = features_query()
+SQL["features_1min"] = features_query(((1, "_1minute"), (5, "_5minutes")), step="1 minute")
 
 LISTINGS = """g AS (SELECT CAST(o_orderdate AS DATE) AS d, o_orderpriority AS p, max(o_orderdate) AS mx,
               min(o_orderkey) AS kmin FROM orders GROUP BY 1, 2),

@@ -396,3 +396,10 @@ def time_lag_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticklake.operators.metrics import time_lag as tl
     t = derive.ticks(spark, sf_dir).withColumn("close_time", bars.bar_close_col("ts", BAR))
     return _round_all(tl(t, event_ts="ts", ingest_ts="close_time", by="symbol"), {"max_lag_s", "avg_lag_s"})
+
+
+def features_1min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature job at the source's resolution: one-minute bars and grid
+    (30 days x 1440 minutes per symbol, most minutes gap-filled), periods of
+    1 and 5 minutes, one-day chunks."""
+    return features(spark, sf_dir, step="1 minute", periods=("1 minute", "5 minutes"), chunk="1 day")
