@@ -46,8 +46,11 @@ def spread(df: DataFrame) -> DataFrame:
     default parallelism is cheap; a large input already has enough splits and
     is left alone.  Filters and column pruning still reach the scan.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD view (Spark Connect): leave the scan as is
+        return df
     return df.repartition(par) if n < par else df
 
 

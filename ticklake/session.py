@@ -66,7 +66,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     shared file system), or whatever the job already set.  Only when nothing
     is configured -- local tests -- do we make a scratch folder of our own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect: the server's configuration applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     d = sc.getCheckpointDir()
     if d:
         return d
