@@ -25,7 +25,21 @@ CANDLE_COLS = ("open", "high", "low", "close", "vol")
 
 
 def order_key(ts: str, seq: Sequence[str] = ()) -> Column:
-    return F.struct(col(ts), *[col(s) for s in seq]) if seq else col(ts)
+    """Ordering of rows for last/first: time, then ingest sequence.
+
+    With one sequence column the pair is encoded as one ``decimal(38,0)``,
+    ``micros * 2^64 + (seq + 2^63)``, which orders exactly like the tuple
+    for any long ``seq``.  A fixed-width key keeps ``max_by``/``min_by`` in
+    hash aggregation; a struct key would force Spark's sort-based
+    aggregation (a sort of every row, map and reduce side).
+    """
+    if not seq:
+        return col(ts)
+    if len(seq) == 1:
+        us = F.unix_micros(col(ts).cast("timestamp")).cast("decimal(38,0)")
+        shifted = col(seq[0]).cast("decimal(38,0)") + F.expr("CAST(9223372036854775808 AS DECIMAL(38,0))")
+        return (us * F.expr("CAST(18446744073709551616 AS DECIMAL(38,0))") + shifted).cast("decimal(38,0)")
+    return F.struct(col(ts), *[col(s) for s in seq])
 
 
 def last_value(c: str, ordering: Column) -> Column:

@@ -81,10 +81,21 @@ def fill_grid(df: DataFrame, step: str = "1 minute", *, symbol: str = "symbol",
     # the small chunk table.  Bounds come from this summary, not from a third
     # pass over the data: both consumers of ``data`` then need the same
     # columns and share one shuffle (exchange reuse).
+    # primitive buffers only (a struct value would force sort-based aggregation)
+    t_nn = {c: F.when(num[c].isNotNull(), tus) for c in cols}
     edge = data.groupBy(symbol, "_c").agg(
         F.min(out_ts).alias("_lo"), F.max(out_ts).alias("_hi"),
-        *[F.max_by(pv[c], F.when(pv[c].isNotNull(), tus)).alias(f"_last_{c}") for c in cols],
-        *[F.min_by(pv[c], F.when(pv[c].isNotNull(), tus)).alias(f"_first_{c}") for c in cols])
+        *[F.max(t_nn[c]).alias(f"_lt_{c}") for c in cols],
+        *[F.max_by(num[c], t_nn[c]).alias(f"_lv_{c}") for c in cols],
+        *[F.min(t_nn[c]).alias(f"_ft_{c}") for c in cols],
+        *[F.min_by(num[c], t_nn[c]).alias(f"_fv_{c}") for c in cols])
+    edge = edge.select(symbol, "_c", "_lo", "_hi",
+                       *[F.when(F.col(f"_lt_{c}").isNotNull(), F.struct(F.col(f"_lt_{c}").alias("t"),
+                                                                        F.col(f"_lv_{c}").alias("v")))
+                         .alias(f"_last_{c}") for c in cols],
+                       *[F.when(F.col(f"_ft_{c}").isNotNull(), F.struct(F.col(f"_ft_{c}").alias("t"),
+                                                                        F.col(f"_fv_{c}").alias("v")))
+                         .alias(f"_first_{c}") for c in cols])
     bounds = edge.groupBy(symbol).agg(F.min("_lo").alias("lo"), F.max("_hi").alias("hi"))
     g = grid(bounds, step, chunk, symbol=symbol, out_ts=out_ts)
     # every chunk of the grid, also those without data rows (long gaps)

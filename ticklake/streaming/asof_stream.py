@@ -43,10 +43,14 @@ def asof_join_stream(candles: DataFrame, level2: DataFrame, *, tolerance: str =
                & (F.col("_l_dt") <= F.col("c.close_time") + tol), "inner")
     j = j.select(F.col(f"c.{symbol}").alias(symbol), "c.close_time", *[F.col(f"c.{x}") for x in CANDLE],
                  F.unix_micros("_l_dt").alias("_l_us"), *L2_COLS)
-    dist = F.abs(F.col("_l_us") - F.unix_micros("close_time"))
-    best = F.min_by(F.struct("_l_us", *L2_COLS), F.struct(dist.alias("d"), F.col("_l_us").alias("t")))
+    # nearest, then earlier: (distance, time) as one fixed-width key so the
+    # aggregation keeps primitive buffers
+    dist = F.abs(F.col("_l_us") - F.unix_micros("close_time")).cast("decimal(38,0)")
+    key = (dist * F.expr("CAST(18446744073709551616 AS DECIMAL(38,0))")
+           + (F.col("_l_us").cast("decimal(38,0)") + F.expr("CAST(9223372036854775808 AS DECIMAL(38,0))"))).cast("decimal(38,0)")
     out = (j.groupBy(symbol, "close_time")
-           .agg(best.alias("_m"), *[F.first(x).alias(x) for x in CANDLE]))
-    l2_dt = F.timestamp_micros(F.col("_m._l_us"))
-    return out.select(symbol, "close_time", *CANDLE, *[F.col(f"_m.{x}").alias(x) for x in L2_COLS],
+           .agg(F.min_by("_l_us", key).alias("_l_us"), *[F.min_by(x, key).alias(x) for x in L2_COLS],
+                *[F.first(x).alias(x) for x in CANDLE]))
+    l2_dt = F.timestamp_micros(F.col("_l_us"))
+    return out.select(symbol, "close_time", *CANDLE, *L2_COLS,
                       F.greatest(l2_dt, F.col("close_time")).alias("datetime"))
