@@ -68,3 +68,10 @@ def test_stream_asof_join_key_has_chunk(spark, tmp_dir):
                          spark.readStream.schema(ls).parquet(f"{tmp_dir}/l"))
     plan = j._jdf.queryExecution().analyzed().toString()
     assert "_l_c" in plan and "_c" in plan
+
+
+def test_bars_use_hash_aggregation(spark):
+    # a struct ordering key or struct value would make Spark sort every row
+    for name in ("bars_ohlc", "bars_last_state", "resample_left_last", "fill_grid"):
+        p = _plan(getattr(q, name)(spark, SF))
+        assert "SortAggregate" not in p and "HashAggregate" in p, name
