@@ -20,7 +20,6 @@ the store.  Output and store are partitioned by ``symbol`` and ``date``.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -125,8 +124,3 @@ class FeatureJob:
         if trigger:
             w = w.trigger(**trigger)
         return w.start()
-
-
-def scratch(path: str) -> str:
-    os.makedirs(path, exist_ok=True)
-    return path
