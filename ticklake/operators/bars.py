@@ -24,7 +24,7 @@ from ticklake.functions.time import bar_close as bar_close_col, bar_ts, col  # n
 CANDLE_COLS = ("open", "high", "low", "close", "vol")
 
 
-def order_key(ts: str, seq: Sequence[str] = ()) -> Column:
+def order_key(ts: str, seq: Sequence[str] = (), df: DataFrame | None = None) -> Column:
     """Ordering of rows for last/first: time, then ingest sequence.
 
     With one sequence column the pair is encoded as one ``decimal(38,0)``,
@@ -36,7 +36,10 @@ def order_key(ts: str, seq: Sequence[str] = ()) -> Column:
     if not seq:
         return col(ts)
     if len(seq) == 1:
-        us = F.unix_micros(col(ts).cast("timestamp")).cast("decimal(38,0)")
+        # zone-free microseconds for either timestamp type
+        from ticklake.operators.chunks import ts_micros
+        raw = ts_micros(df, ts) if df is not None else F.unix_micros(col(ts).cast("timestamp"))
+        us = raw.cast("decimal(38,0)")
         shifted = col(seq[0]).cast("decimal(38,0)") + F.expr("CAST(9223372036854775808 AS DECIMAL(38,0))")
         return (us * F.expr("CAST(18446744073709551616 AS DECIMAL(38,0))") + shifted).cast("decimal(38,0)")
     return F.struct(col(ts), *[col(s) for s in seq])
@@ -69,7 +72,7 @@ def last_state_bars(df: DataFrame, step: str = "1 minute", *, symbol: str = "sym
     ``open_time=t-step``.  ``extra_aggs`` are caller-supplied aggregate
     columns (the overridable per-bar aggregation of the source system).
     """
-    ordering = order_key(ts, seq)
+    ordering = order_key(ts, seq, df)
     b = _binned(df, ts, closed, lateness)
     out = (b.groupBy(col(symbol), F.window("_bar_ts", step).alias("_w"))
            .agg(*[last_value(c, ordering) for c in cols], *extra_aggs))
@@ -87,7 +90,7 @@ def ohlc_bars(df: DataFrame, step: str = "1 minute", *, symbol: str = "symbol",
               price: str = "price", vol: str = "vol", seq: Sequence[str] = (), closed: str = "right",
               lateness: str | None = None) -> DataFrame:
     """OHLCV bars from trades/ticks: first, max, min, last price, summed volume."""
-    ordering = order_key(ts, seq)
+    ordering = order_key(ts, seq, df)
     b = _binned(df, ts, closed, lateness)
     out = (b.groupBy(col(symbol), F.window("_bar_ts", step).alias("_w"))
            .agg(F.min_by(col(price), F.when(col(price).isNotNull(), ordering)).alias("open"),
@@ -120,7 +123,7 @@ def resample_last(df: DataFrame, step: str = "1 minute", *, symbol: str = "symbo
     """Left-closed, left-labelled resample keeping the last non-null value of
     each column (the grid-fill input, W4)."""
     cols = list(cols) if cols is not None else [c for c in df.columns if c not in (symbol, ts, *seq)]
-    ordering = order_key(ts, seq)
+    ordering = order_key(ts, seq, df)
     out = (df.groupBy(col(symbol), F.window(col(ts), step).start.alias(out_ts))
            .agg(*[last_value(c, ordering) for c in cols]))
     return out
