@@ -76,7 +76,9 @@ def only_new(df: DataFrame, hwm, *, symbol: str = "symbol", ts: str = "datetime"
     if isinstance(hwm, DataFrame):
         j = df.join(hwm.select(symbol, F.col("hwm").alias("_hwm")), symbol, "left")
         return j.where(F.col("_hwm").isNull() | (F.col(ts) > F.col("_hwm"))).drop("_hwm")
-    return df.where(F.col(ts) > F.lit(hwm))
+    # the mark as text cast to the column's own type: no zone conversion
+    text = hwm.isoformat(sep=" ") if hasattr(hwm, "isoformat") else str(hwm)
+    return df.where(F.col(ts) > F.lit(text).cast(df.schema[ts].dataType))
 
 
 def time_bounds(df: DataFrame, *, symbol: str = "symbol", ts: str = "datetime") -> DataFrame:

@@ -40,11 +40,15 @@ def listing(df: DataFrame, path: str = "path") -> DataFrame:
 
 
 def _as_ts(v):
+    """A time bound as a ``timestamp_ntz`` literal built from text (no zone
+    conversion); Columns pass through."""
     if v is None:
         return None
     if isinstance(v, date) and not isinstance(v, datetime):
         v = datetime(v.year, v.month, v.day)
-    return F.lit(v).cast("timestamp_ntz") if isinstance(v, (datetime, str)) else v
+    if isinstance(v, datetime):
+        v = v.replace(tzinfo=None).isoformat(sep=" ")
+    return F.lit(v).cast("timestamp_ntz") if isinstance(v, str) else v
 
 
 def daily_files(files: DataFrame, start: date | str | None = None, end: date | str | None = None,
