@@ -75,3 +75,16 @@ def test_unmatched_and_quality(spark):
     assert [r.close for r in unmatched(left, right, direction="nearest", tolerance="1 minute").collect()] == [2.0]
     q = match_quality(left, right, direction="nearest", tolerance="1 minute").collect()[0]
     assert (q.n_left, q.n_merged, q.n_not_merged) == (2, 1, 1)
+
+
+def test_null_times_and_empty_right(spark):
+    t0 = dt(2025, 1, 1)
+    left = spark.createDataFrame([("X", t0, 1.0), ("X", None, 2.0)], L)
+    right = spark.createDataFrame([("X", None, 1, 5.0), ("X", t0, 2, 6.0)], R)
+    inner = asof_join(left, right, direction="nearest", tolerance="1 minute", right_order=["id"]).collect()
+    assert [(r.close, r.id) for r in inner] == [(1.0, 2)]  # null-time rows never match
+    outer = asof_join(left, right, direction="backward", tolerance="1 minute", how="left").collect()
+    assert sorted((r.close, r.id) for r in outer) == [(1.0, 2), (2.0, None)]  # left rows are kept whole
+    empty = spark.createDataFrame([], R)
+    assert asof_join(left, empty, direction="nearest", tolerance="1 minute").count() == 0
+    assert asof_join(left, empty, direction="nearest", tolerance="1 minute", how="left").count() == 2

@@ -70,3 +70,12 @@ def test_offsets_fallback_to_beginning():
     assert j == {"t": {"0": 15, "1": -2, "2": 7}}
     o = kafka.reader_options("b", "t", offsets_by_partition={"t": {0: 15, 1: -2}})
     assert json.loads(o["startingOffsets"])["t"]["1"] == -2
+
+
+def test_message_rate(spark):
+    from ticklake.operators.metrics import message_rate
+    t0 = dt(2025, 1, 1)
+    df = spark.createDataFrame([("a", t0), ("a", t0.replace(second=30)), ("b", t0.replace(minute=1))],
+                               "topic string, ts timestamp_ntz")
+    got = {(r.topic, r.window_start.minute): (r.n, r.per_sec, r.per_min) for r in message_rate(df).collect()}
+    assert got == {("a", 0): (2, 2 / 60, 2.0), ("b", 1): (1, 1 / 60, 1.0)}
