@@ -1,0 +1,64 @@
+import json
+
+from ticklake.llm import chat
+
+CALLS = "conv_id bigint, call_id string, turn bigint, name string, arguments string, depends_on array<string>, status string"
+RESULTS = "conv_id bigint, call_id string, turn bigint, content string"
+SCHEMAS = "name string, params map<string,string>, required array<string>"
+
+
+def tables(spark, calls, results=()):
+    schemas = [("f", {"a": "integer", "b": "number", "c": "array", "o": "object"}, ["a"])]
+    return (spark.createDataFrame([(*c, "clash") for c in calls], CALLS), spark.createDataFrame(list(results), RESULTS),
+            spark.createDataFrame(schemas, SCHEMAS))
+
+
+def rows(spark, calls, results=()):
+    return {(r.conv_id, r.call_id, r.turn): r for r in chat.link(*tables(spark, calls, results)).collect()}
+
+
+def test_links_and_canonical_json(spark):
+    got = rows(spark, [(1, "x", 0, "f", '{ "b": 1.5, "a": 2, "o": {"z": 1, "y": [1, null]} }', None), (1, "y", 2, "f", '{"a":1}', ["x"])],
+               [(1, "x", 1, "r\n"), (1, "x", 3, "later"), (1, "q", 4, "orphan"), (1, None, 5, "nameless")])
+    x = got[1, "x", 0]
+    assert (x.status, x.stage, x.errors) == ("linked", 0, "result: repeated")
+    assert x.message == ('{"arguments":{"a":2,"b":1.5,"o":{"y":[1,null],"z":1}},"call_id":"x","errors":["result: repeated"],"name":"f",'
+                         '"result":"r\\n","status":"linked","turn":0}')
+    assert got[1, "y", 2].status == "missing_result"
+    assert {k[1] for k, r in got.items() if r.status == "orphan_result"} == {"q", None}
+    assert len(got) == 4
+
+
+def test_order_out_of_turn_and_cycles(spark):
+    calls = [(1, "a", 0, "f", '{"a":1}', ["b"]), (1, "b", 1, "f", '{"a":1}', ["c"]), (1, "c", 2, "f", '{"a":1}', []),
+             (2, "a", 0, "f", '{"a":1}', ["b"]), (2, "b", 1, "f", '{"a":1}', ["a"]), (2, "c", 2, "f", '{"a":1}', ["b"]), (2, "d", 3, "f", '{"a":1}', None),
+             (3, "a", 0, "f", '{"a":1}', ["gone"]), (3, "b", 1, "f", '{"a":1}', ["a"])]
+    got = rows(spark, calls)
+    assert [got[1, k, t].stage for t, k in enumerate("abc")] == [2, 1, 0]
+    assert [got[2, k, t].stage for t, k in enumerate("abcd")] == [None, None, None, 0]
+    assert got[2, "c", 2].errors == "dependency: cycle"
+    assert [got[3, "a", 0].stage, got[3, "b", 1].stage] == [0, 0] and got[3, "a", 0].errors == "dependency: missing"
+
+
+def test_validation(spark):
+    args = {"wrong": '{"a":"1"}', "ok_number": '{"a":1,"b":2}', "missing": "{}", "unknown": '{"a":1,"zz":0}', "broken": "{", "null": None,
+            "list": "[1]", "repeated": '{"a":1,"a":2}', "empty": ""}
+    got = rows(spark, [(1, k, i, "f", v, None) for i, (k, v) in enumerate(args.items())] + [(1, "t", 99, "g", "{}", None), (1, "n", 98, None, "{}", None)])
+    errors = {k[1]: r.errors for k, r in got.items()}
+    assert errors == {"wrong": "type: a", "ok_number": "", "missing": "missing: a", "unknown": "unknown: zz", "broken": "arguments: no JSON object",
+                      "null": "arguments: no JSON object", "list": "arguments: no JSON object", "repeated": "arguments: no JSON object",
+                      "empty": "arguments: no JSON object", "t": "tool: unknown", "n": "tool: unknown"}
+
+
+def test_nulls_repeats_and_empty(spark):
+    calls = [(None, "a", 0, "f", '{"a":1}', [None]), (1, None, 0, "f", '{"a":1}', None), (1, "r", None, "f", '{"a":1}', None), (1, "r", None, "f", '{"a":1}', None)]
+    got = chat.link(*tables(spark, calls, [(None, "a", None, None), (1, "r", 1, "x" * 200_000)])).collect()
+    assert sorted((r.conv_id is None, r.call_id or "", r.status) for r in got) == [
+        (False, "", "unidentified"), (False, "r", "linked"), (False, "r", "linked"), (True, "a", "linked")]
+    assert max(len(json.loads(r.message).get("result") or "") for r in got) == 200_000
+    assert chat.link(*tables(spark, [])).count() == 0
+
+
+def test_native(spark):
+    plan = chat.link(*chat.derived(spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")))._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

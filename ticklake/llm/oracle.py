@@ -1,3 +1,77 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+_DIGITS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((cast('0x' || substr(h, {5 * k + 1}, 5) as bigint) >> {s}) & 31)::int + 1, 1)"
+                      for k in range(8) for s in (15, 10, 5, 0))
+
+SQL: dict[str, str] = {
+    "op1_chat_format": """
+with recursive c as (
+  select conv_id, cast(turn as bigint) as turn, role, coalesce(text, '') as text,
+         'call_' || substr(md5(conv_id::varchar || ':' || turn::varchar), 1, 16) as own,
+         'call_' || substr(md5(conv_id::varchar || ':' || (turn - 1)::varchar), 1, 16) as before,
+         case when turn >= 2 then 'call_' || substr(md5(conv_id::varchar || ':' || (turn - 2)::varchar), 1, 16) end as earlier,
+         'call_' || substr(md5(conv_id::varchar || ':' || (turn + 2)::varchar), 1, 16) as later
+  from conversations),
+calls as (
+  select *, ['search', 'lookup', 'translate', 'unlisted'][(length(text) % 4) + 1] as name,
+         len(string_split(text, ' ')) as words,
+         list_filter(case when conv_id % 26 = 0 then [earlier, later] when conv_id % 13 = 0 then [later]
+                          when conv_id % 17 = 0 then ['call_none'] else [earlier] end, lambda x: x is not null) as deps
+  from c where role = 'assistant'),
+results as (
+  select conv_id, before as call_id, turn, text, row_number() over (partition by conv_id, before order by turn, text) as n,
+         count(*) over (partition by conv_id, before) as results
+  from c where role = 'user' and turn >= 1),
+edges as (
+  select e.conv_id, e.own, e.turn, e.dep, d.turn as dep_turn
+  from (select distinct conv_id, own, turn, unnest(deps) as dep from calls) e
+  left join (select distinct conv_id, own, turn from calls) d on d.conv_id = e.conv_id and d.own = e.dep),
+late as (select distinct conv_id from edges where dep_turn > turn or (dep_turn = turn and dep >= own)),
+paths as (
+  select conv_id, own as origin, own as cur, 0 as hops from calls where conv_id in (select conv_id from late)
+  union
+  select p.conv_id, p.origin, e.dep, p.hops + 1 from paths p join edges e on e.conv_id = p.conv_id and e.own = p.cur
+  where e.dep_turn is not null and p.hops < 20),
+stage as (select conv_id, origin, max(hops) as hops from paths group by 1, 2),
+gone as (select distinct conv_id, own from edges where dep_turn is null),
+shaped as (
+  select calls.conv_id, calls.own as call_id, calls.turn, name, calls.text, words,
+         case when hops >= 20 then null else coalesce(hops, 0) end as stage,
+         coalesce(hops, 0) >= 20 as cyclic, gone.own is not null as missing, results.text as result, results.call_id is not null as linked,
+         coalesce(results.results, 0) > 1 as repeated
+  from calls left join stage on stage.conv_id = calls.conv_id and stage.origin = calls.own
+  left join gone on gone.conv_id = calls.conv_id and gone.own = calls.own
+  left join results on results.conv_id = calls.conv_id and results.call_id = calls.own and n = 1),
+checked as (
+  select *, list_filter([
+      case when name = 'unlisted' then 'tool: unknown' end,
+      case when name = 'lookup' and conv_id % 7 = 0 then 'missing: limit' end,
+      case when name <> 'unlisted' and conv_id % 7 <> 0 and turn % 5 = 3 then 'type: limit' end,
+      case when name <> 'unlisted' and conv_id % 11 = 0 then 'unknown: extra' end,
+      case when cyclic and missing then 'dependency: cycle; dependency: missing' when cyclic then 'dependency: cycle' when missing then 'dependency: missing' end,
+      case when repeated then 'result: repeated' end], lambda x: x is not null) as errors,
+    case when linked then 'linked' else 'missing_result' end as status,
+    '{' || concat_ws(',', case when conv_id % 11 = 0 then '"extra":true' end,
+      case when conv_id % 7 = 0 then null when turn % 5 = 3 then '"limit":"' || words || '"' else '"limit":' || words end,
+      '"query":' || to_json(text)::varchar) || '}' as arguments
+  from shaped)
+select conv_id, call_id, cast(stage as bigint) as stage, turn, name, status, array_to_string(errors, ', ') as errors,
+  '{' || concat_ws(',', '"arguments":' || arguments, '"call_id":"' || call_id || '"', '"errors":' || to_json(errors)::varchar, '"name":"' || name || '"',
+    '"result":' || to_json(result)::varchar, '"status":"' || status || '"', '"turn":' || turn) || '}' as message
+from checked
+union all
+select conv_id, call_id, null, turn, null, 'orphan_result', case when results > 1 then 'result: repeated' else '' end,
+  '{' || concat_ws(',', '"call_id":"' || call_id || '"', case when results > 1 then '"errors":["result: repeated"]' else '"errors":[]' end,
+    '"result":' || to_json(text)::varchar, '"status":"orphan_result"', '"turn":' || turn) || '}'
+from results where n = 1 and not exists (select 1 from calls where calls.conv_id = results.conv_id and calls.own = results.call_id)
+""",
+    "op2_warc_revisits": f"""
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, cast(strlen(html) as bigint) as payload_bytes, sha1(html) as h from p),
+f as (select *, min(page_id) over (partition by h, payload_bytes) as least from d)
+select page_id, payload_bytes, {_DIGITS} as payload_digest,
+       case when page_id = least then 'response' else 'revisit' end as record_type,
+       case when page_id = least then null else least end as refers_to
+from f
+""",
+}
