@@ -53,11 +53,7 @@ def test_library_agrees_as_unigram_model():
     library = sentencepiece.SentencePieceProcessor(model_proto=raw[:at] + b"\x18\x01" + raw[at + 2:])
     rng = random.Random(0)
     texts = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(1, 12))) for _ in range(500)]
-    texts += [" ".join(rng.sample(texts, 5)) for _ in range(100)]
-    for text, ids in zip(texts, encoded(texts)):
-        other = library.encode(text)  # its sums are 32-bit floats, so two sums of equal size may change places
-        assert ids == other or sum(MODEL.scores[i] for i in ids) == sum(MODEL.scores[i] for i in other), text
-        assert " " in text or ids == other
+    assert encoded(texts) == [library.encode(t) for t in texts]
 
 
 def test_pieces_as_the_library_reads_them():
