@@ -53,6 +53,11 @@ def file_date(path) -> Column:
         if hasattr(F, "try_to_date") else F.to_date(F.substring_index(base_name(path), "_", 1))
 
 
+def symbol_from_file(path) -> Column:
+    """``<date>_<symbol>[_<kind>].csv[.zip]`` -> symbol."""
+    return F.split(F.regexp_replace(base_name(path), r"\.csv(\.zip)?$", ""), "_").getItem(1)
+
+
 def strip_zip(name) -> Column:
     """Drop a trailing ``.zip`` suffix (a suffix, not a character set)."""
     return F.regexp_replace(col(name), r"\.zip$", "")

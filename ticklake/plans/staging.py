@@ -1,15 +1,22 @@
 """Batch staging job: daily exchange files -> staged tables.
 
-1. list the source directory and the staged table (metadata only);
+1. list the source directory and read the manifest (metadata only);
 2. keep the daily files within ``[start, end]`` that are new or newer than
-   what was staged from them (``find_updated_files`` on the source names
-   against the names recorded in the staged table);
+   the version in the manifest (``find_updated_files``);
 3. read all selected files in one scan (zipped CSV via ``read_zip_csv``,
-   plain CSV via ``read_daily``), symbol from the file name;
-4. stage (last-state candles or level2 expectation means) and write with
-   dynamic partition overwrite: the (symbol, date) partitions touched are
-   replaced, everything else stays.  Reruns are idempotent; a failed task
-   is retried by Spark (``spark.task.maxFailures``) instead of a hand loop.
+   plain CSV via ``read_daily``), symbol and date from the file name;
+4. stage each file by itself (last-state candles or level2 expectation
+   means) and replace what an older version of it had staged.
+
+The unit that is replaced is the unit that was read: the staged table is
+partitioned by ``symbol``, ``date`` and ``src`` -- the source file's date and
+its name without ``.zip`` -- so a file's right-labelled midnight bar, which
+is dated the next day, stays with its file, and no other file's rows are
+touched.  :func:`read_staged` gives one row per bar.
+
+The manifest (``_manifest`` in the staged folder: name, modification time)
+is appended after the data is written.  A run that fails in between stages
+the same files again, into the same partitions.
 """
 
 from __future__ import annotations
@@ -18,9 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticklake.functions.strings import base_name
+from ticklake.functions.strings import base_name, file_date, strip_zip, symbol_from_file
 from ticklake.operators import bars, book
-from ticklake.sources.files import find_updated_files, list_files, read_daily, read_zip_csv
+from ticklake.sources.files import find_updated_files, list_files, path_exists, read_raw
 from ticklake.sources.sinks import write_staged
 
 RAW_CANDLE_FILE = T.StructType([T.StructField(c, T.TimestampNTZType()) for c in ("open_time", "close_time")]
@@ -29,62 +36,79 @@ RAW_LEVEL2_FILE = T.StructType([T.StructField("datetime", T.TimestampNTZType())]
                                + [T.StructField(c, T.DoubleType()) for c in ("bid", "bid_vol", "ask", "ask_vol")])
 
 
-def symbol_from_file(path) -> F.Column:
-    """``<date>_<symbol>[_<kind>].csv[.zip]`` -> symbol."""
-    return F.split(F.regexp_replace(base_name(path), r"\.csv(\.zip)?$", ""), "_").getItem(1)
+#: What is staged of a file, by kind: (schema of the file, time column, DataFrame of the file's rows -> bars).
+#: The rows have ``unit``, the file they come from, as their symbol.
+KINDS: dict[str, tuple] = {}
+
+
+def register(kind: str, schema: T.StructType, ts: str, stage) -> None:
+    """Make ``stage_files`` know another kind of file."""
+    KINDS[kind] = (schema, ts, stage)
+
+
+def _candles(raw: DataFrame, step: str) -> DataFrame:
+    # last state per right-closed bar of the candle close time; rows of
+    # equal time keep their file order (row id) as the tie-break
+    raw = raw.withColumn("_row", F.monotonically_increasing_id()).drop("open_time")
+    return bars.last_state_bars(raw, step, symbol="unit", ts="close_time", seq=["_row"], cols=["open", "high", "low", "close", "vol"])
+
 
+def _level2(raw: DataFrame, step: str) -> DataFrame:
+    return book.level2_bars(book.book_expectation_rows(raw, symbol="unit"), step, symbol="unit")
 
-def _staged_listing(spark: SparkSession, dst: str) -> DataFrame:
-    """Source names recorded in the staged table, with the time they were
-    staged (newest data file of the partition holding them)."""
-    try:
-        t = spark.read.parquet(dst)
-    except Exception:  # noqa: BLE001 -- nothing staged yet
+
+register("candles", RAW_CANDLE_FILE, "close_time", _candles)
+register("level2", RAW_LEVEL2_FILE, "datetime", _level2)
+
+
+def _manifest(spark: SparkSession, dst: str) -> DataFrame:
+    """The staged files with the newest version staged of each.  Absent: nothing was staged; unreadable: it raises."""
+    path = f"{dst}/_manifest"
+    if not path_exists(spark, path):
         return spark.createDataFrame([], "name string, path string, file_date date, mtime timestamp_ntz")
-    files = t.select("_src_name", F.col("_metadata.file_modification_time").alias("mtime")).distinct()
-    return (files.groupBy(F.col("_src_name").alias("name"))
-            .agg(F.max("mtime").cast("timestamp_ntz").alias("mtime"))
+    return (spark.read.parquet(path).groupBy("name").agg(F.max("mtime").alias("mtime"))
             .withColumn("path", F.col("name"))
             .withColumn("file_date", F.try_to_date(F.substring_index("name", "_", 1), "yyyy-MM-dd")))
 
 
-def read_raw_files(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    zips = [p for p in paths if p.endswith(".zip")]
-    csvs = [p for p in paths if not p.endswith(".zip")]
-    parts = []
-    if zips:
-        parts.append(read_zip_csv(spark, zips, schema))
-    if csvs:
-        parts.append(read_daily(spark, csvs, schema).select(*[f.name for f in schema.fields], "_file"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("symbol", symbol_from_file("_file")).withColumn("_src_name", base_name("_file"))
+def read_staged(spark: SparkSession, dst: str, ts: str) -> DataFrame:
+    """The staged bars, one row per (symbol, ``ts``).  Where two files hold the
+    same bar (a midnight bar that the next file repeats, or two files of a
+    day), the later one by date, then name, holds it.  The narrow key column
+    is aggregated before the shuffle; ``date`` filters prune partitions."""
+    t = spark.read.parquet(dst)
+    values = [c for c in t.columns if c not in ("symbol", ts, "src", "date")]
+    last = F.max(F.struct("date", "src", *values)).alias("_last")
+    return t.groupBy("symbol", ts).agg(last).select("symbol", ts, *[F.col(f"_last.{c}").alias(c) for c in [*values, "date", "src"]])
 
 
 def stage_files(spark: SparkSession, src_dir: str, dst_dir: str, kind: str, *, start=None, end=None,
                 step: str = "1 minute") -> list[str]:
-    """Stage the new or updated daily files of ``kind`` (``candles`` or
-    ``level2``); returns the names staged."""
+    """Stage the new or updated daily files of ``kind`` (``candles``,
+    ``level2`` or a registered one); returns the names staged."""
+    if kind not in KINDS:
+        raise ValueError(kind)
+    schema, ts, stage = KINDS[kind]
     src = list_files(spark, src_dir).withColumn("mtime", F.col("mtime").cast("timestamp_ntz"))
-    todo = find_updated_files(src, _staged_listing(spark, dst_dir), start, end)
-    # the file names (metadata, one row per file) go to the driver to be read
-    rows = todo.select("path", "name").collect()
+    # the reader takes a list of paths: one short row per file to stage goes through the driver
+    rows = find_updated_files(src, _manifest(spark, dst_dir), start, end).select("path", "name", "mtime").collect()
     if not rows:
         return []
-    if kind == "candles":
-        # last state per right-closed bar of the candle close time; rows of
-        # equal time keep their file order (row id) as the tie-break
-        raw = read_raw_files(spark, [r.path for r in rows], RAW_CANDLE_FILE)
-        raw = raw.withColumn("_row", F.monotonically_increasing_id()).drop("open_time")
-        staged = bars.last_state_bars(raw, step, ts="close_time", seq=["_row"],
-                                      cols=["open", "high", "low", "close", "vol"],
-                                      extra_aggs=[F.max("_src_name").alias("_src_name")])
-        write_staged(staged, dst_dir, ts="close_time")
-    elif kind == "level2":
-        raw = read_raw_files(spark, [r.path for r in rows], RAW_LEVEL2_FILE)
-        snap = book.book_expectation_rows(raw, carry=("_src_name",))
-        write_staged(book.level2_bars(snap, step, carry=("_src_name",)), dst_dir, ts="datetime")
-    else:
-        raise ValueError(kind)
+    raw = read_raw(spark, [r.path for r in rows], schema).withColumn("unit", strip_zip(base_name("_file")))
+    staged = stage(raw, step).withColumn("src", F.col("unit")) \
+        .withColumn("symbol", symbol_from_file("src")).withColumn("date", file_date("src")).drop("unit")
+    _clear(spark, dst_dir, [r.name for r in rows])
+    write_staged(staged, dst_dir, ts=ts, partition_by=("symbol", "date", "src"))
+    (spark.createDataFrame([(r.name, r.mtime) for r in rows], "name string, mtime timestamp_ntz").coalesce(1)
+     .write.mode("append").parquet(f"{dst_dir}/_manifest"))
     return sorted(r.name for r in rows)
+
+
+def _clear(spark: SparkSession, dst: str, names: list[str]) -> None:
+    """Drop the partitions of files to be staged again: a new version may have no rows that would replace them."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name in names:
+        unit = name.removesuffix(".zip")
+        parts = unit.removesuffix(".csv").split("_")
+        p = hadoop(f"{dst}/symbol={parts[1] if len(parts) > 1 else '__HIVE_DEFAULT_PARTITION__'}/date={parts[0]}/src={unit}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -22,6 +22,12 @@ from ticklake.operators.parse import clean_columns
 DAILY_SUFFIXES = (".csv", ".csv.zip")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there.  Any other trouble (no access, broken files) is left to raise on reading."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def list_files(spark: SparkSession, directory: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
     """``path, name, file_date, mtime, size`` of the files under ``directory``."""
     r = spark.read.format("binaryFile")
@@ -152,19 +158,49 @@ def read_raw_json(spark: SparkSession, directory: str, schema: T.StructType | No
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(directory)
 
 
+HISTORY_DAYS = 30
+
+
 def read_history(spark: SparkSession, level2_dir: str, candles_dir: str, *, level2_schema, candle_schema,
                  start=None, end=None, modified_after=None, tolerance: str = "60 seconds",
-                 symbol: str = "symbol", chunk: str = "1 hour") -> DataFrame:
-    """History for the feature job: daily level2 and candle files within
-    ``[start, end]`` read in one scan each and merged backward as-of
-    (level2 on the left, within ``tolerance``; rows without a match dropped).
-    Empty when either kind has no files."""
+                 symbol: str = "symbol", chunk: str = "1 hour", days: int = HISTORY_DAYS) -> DataFrame:
+    """History for the feature job: daily level2 and candle files (plain or
+    zipped) within ``[start, end]``, read in one scan each and merged
+    backward as-of (level2 on the left, within ``tolerance``; rows without a
+    match dropped).  Without ``start`` the last ``days`` days up to ``end``
+    (default: today, UTC) are read.  The symbol comes from the files'
+    ``symbol`` column, or else from their names.  No files of either kind:
+    an empty result of the same columns."""
+    from datetime import timedelta, timezone
+
+    from ticklake.functions.strings import symbol_from_file
     from ticklake.operators.asof import asof_join
-    l2_files = daily_files(list_files(spark, level2_dir), start, end, modified_after).select("path").collect()
-    c_files = daily_files(list_files(spark, candles_dir), start, end, modified_after).select("path").collect()
-    if not l2_files or not c_files:
-        return spark.createDataFrame([], level2_schema).limit(0)
-    l2 = read_daily(spark, [r.path for r in l2_files], level2_schema).drop("_file")
-    c = read_daily(spark, [r.path for r in c_files], candle_schema).drop("_file")
-    return asof_join(l2, c, on=symbol, left_ts="datetime", right_ts="close_time", direction="backward",
-                     tolerance=tolerance, how="inner", chunk=chunk)
+    if start is None:
+        last = date.fromisoformat(str(end)) if end is not None else datetime.now(timezone.utc).date()
+        start = last - timedelta(days=days)
+
+    def side(directory, schema):
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        found = daily_files(list_files(spark, directory), start, end, modified_after).select("path").collect()
+        if found:
+            df = read_raw(spark, [r.path for r in found], schema)
+        else:
+            df = spark.createDataFrame([], T.StructType(list(schema.fields) + [T.StructField("_file", T.StringType())]))
+        if symbol not in df.columns:
+            df = df.withColumn(symbol, symbol_from_file("_file"))
+        return df.drop("_file")
+
+    return asof_join(side(level2_dir, level2_schema), side(candles_dir, candle_schema), on=symbol, left_ts="datetime",
+                     right_ts="close_time", direction="backward", tolerance=tolerance, how="inner", chunk=chunk)
+
+
+def read_raw(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Plain and zipped daily CSV files as one frame: ``schema``'s columns and ``_file``."""
+    zips = [p for p in paths if p.endswith(".zip")]
+    csvs = [p for p in paths if not p.endswith(".zip")]
+    parts = []
+    if zips:
+        parts.append(read_zip_csv(spark, zips, schema))
+    if csvs:
+        parts.append(read_daily(spark, csvs, schema).select(*[f.name for f in schema.fields], "_file"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -33,8 +33,9 @@ def write_staged(df: DataFrame, path: str, *, ts: str = "datetime", fmt: str = "
     out = with_date(df, ts) if "date" in partition_by and "date" not in df.columns else df
     if fmt == "csv":
         out = format_times(out)
-    # cluster rows by the output partitions so each task writes few files
-    out = out.repartition(*partition_by)
+    # cluster rows by the output partitions so each task writes few files; a
+    # rebalance splits a partition that is too large for one task
+    out = out.hint("rebalance", *[F.col(c) for c in partition_by])
     w = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).format(fmt))
     if fmt == "csv":
