@@ -26,7 +26,7 @@ from ticklake.operators.indicators import (DEFAULT_PARAMS, add_indicators, add_l
                                            lookback_rows, params_for, period_steps, rolling_candle_cols)
 from ticklake.operators.timegrid import fill_grid
 from ticklake.schemas import L2_COLS
-from ticklake.session import checkpoint_dir
+from ticklake.session import checkpoint_dir, setting
 
 CANDLE = ["open", "high", "low", "close", "vol"]
 
@@ -69,9 +69,6 @@ def features(candles: DataFrame, level2: DataFrame, *, step: str = "1 minute",
              candle_periods: Sequence[str] = ("1 minute",), level2_periods: Sequence[str] = ("1 minute",),
              params: Mapping | None = None, tolerance: str = "59 seconds", chunk: str = "1 day",
              hwm=None, symbol: str = "symbol", materialize: bool = True) -> DataFrame:
-    # the feature plan derives ~100 columns through stacked windows; the
-    # optimizer's constraint propagation over it grows combinatorially
-    candles.sparkSession.conf.set("spark.sql.constraintPropagation.enabled", "false")
     merged = merge_inputs(candles, level2, tolerance=tolerance, chunk=chunk, symbol=symbol)
     if materialize:
         # lineage cut: the grid fill reads the merged bars three times (data
@@ -89,4 +86,10 @@ def features(candles: DataFrame, level2: DataFrame, *, step: str = "1 minute",
                       params=params, chunk=chunk, symbol=symbol)
     from ticklake.operators.indicators import clean_features
     f = clean_features(f, keep=[symbol, "datetime"])
+    if materialize:
+        # the plan derives ~100 columns through stacked windows, over which
+        # the optimizer's constraint propagation grows combinatorially: run
+        # it without (for this job only), and cut the plan before any join
+        with setting(f.sparkSession, "spark.sql.constraintPropagation.enabled", "false"):
+            f = f.checkpoint(eager=True)
     return only_new(f, hwm, symbol=symbol)

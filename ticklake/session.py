@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -22,7 +23,6 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
     # the indicator plans derive ~100 columns through stacked windows;
     # constraint propagation over them grows combinatorially (minutes of
     # optimizer time for a small join on top) and infers nothing useful
@@ -41,13 +41,17 @@ def get_spark(master: str | None = None, app: str = "ticklake", shuffle_partitio
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULTS)
+    conf = {"spark.ui.enabled": "false", **(extra or {})}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    # what the submitter or the caller has set stays
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for k, v in DEFAULTS.items():
+        if k not in given:
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_utc(spark)
     return spark
@@ -59,12 +63,28 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting that holds inside the block; the caller's own value
+    comes back after it."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage cuts.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (a
-    shared file system), or whatever the job already set.  Only when nothing
-    is configured -- local tests -- do we make a scratch folder of our own.
+    shared file system), or whatever the job already set; without either it
+    is an error, because executors would write to their own disks.  Only a
+    local master (one process, one disk) gets a scratch folder of its own.
     """
     try:
         sc = spark.sparkContext
@@ -74,6 +94,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not d and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="ticklake-ckpt-", dir=os.environ.get("TICKLAKE_SCRATCH", "/tmp"))
     sc.setCheckpointDir(d)

@@ -3,120 +3,235 @@
 Each micro-batch (``foreachBatch``) of newly merged bars:
 
 1. stitches into the merged-bar store: rows whose ``(symbol, datetime)`` is
-   already stored are dropped (the stored row wins), the rest appended;
-2. reads back, for the symbols in the batch, only the tail the indicators
-   need (``lookback`` before the batch's first row -- a pushed-down filter on
-   the store, never the whole history);
-3. computes features on that tail (grid fill, indicators, level2 features,
-   cleaning) -- the same code as the batch job;
-4. keeps rows newer than the sink's per-symbol high-water mark and appends
-   them.  A replayed batch (restart after a failure) finds its rows below
-   the mark and writes nothing twice.
-
-Publishing waits until the gap between the stored history and the first
-live row is below ``max_gap`` (``time_gap``); until then batches only extend
-the store.  Output and store are partitioned by ``symbol`` and ``date``.
+   already stored are dropped (the stored row wins), the rest written;
+2. decides per symbol whether its history reaches the live rows
+   (``time_gap`` below ``max_gap``); a symbol that is not ready only extends
+   the store, the others publish.  With ``reload_history`` the gap is first
+   closed from newer history files;
+3. reads back, for the batch's symbols, the tail that the indicators need:
+   ``lookback`` before the symbol's high-water mark, and on to the last
+   stored row at or before that instant, so that the grid fill starts from
+   the same row as in batch;
+4. computes features on that tail (grid fill, indicators, level2 features,
+   cleaning) -- the same code as the batch job -- and writes the rows newer
+   than the mark.
+
+Replays: store, sink and state are partitioned by the epoch that wrote them
+and an epoch overwrites its own partitions.  Its inputs are what earlier
+epochs left, so a batch that is run again, after any of its writes, gives
+the same rows in the same places.
+
+Reads: store and sink are partitioned by ``date`` and read with a literal
+lower bound.  What is known per symbol (mark, last history row, first live
+row, ready) is a table of one row per symbol, written anew by each epoch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.operators.chunks import parse_duration_us
-from ticklake.operators.increment import last_produced, only_new, time_gap
+from ticklake.operators.increment import only_new, ts_diff_seconds
 from ticklake.operators.indicators import clean_features, lookback_rows, params_for, period_steps
+from ticklake.operators.metrics import observe_counts
 from ticklake.operators.timegrid import fill_grid
 from ticklake.plans.features import CANDLE, feature_frame
 from ticklake.schemas import L2_COLS
-from ticklake.session import checkpoint_dir
+from ticklake.session import checkpoint_dir, setting
+from ticklake.sources.files import path_exists
+from ticklake.sources.kafka import to_messages
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+ROW = ["symbol", "datetime", *CANDLE, *L2_COLS]
+STATE = "symbol string, hwm timestamp_ntz, history_max timestamp_ntz, live_min timestamp_ntz, ready boolean"
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if _exists(spark, path) else None
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
-def _append(df: DataFrame, path: str) -> None:
-    (df.withColumn("date", F.to_date("datetime")).write.mode("append").partitionBy("symbol", "date")
-     .parquet(path))
+def _replace(df: DataFrame, path: str, epoch: str, by: Sequence[str] = ("symbol", "date")) -> None:
+    """Write the rows of an epoch in place of what it wrote before."""
+    out = df.withColumn("date", F.to_date("datetime")) if "date" in by else df
+    (out.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*by, "epoch").parquet(path))
 
 
 class FeatureJob:
+    """``store``, ``sink``: folders of the merged bars and of the features;
+    ``sink + "_state"`` holds the table of symbols.
+
+    ``history_ready``: publish without waiting for the history to reach the
+    live rows.  ``reload_history(spark, since)`` returns merged bars from
+    newer history files, from ``since`` on (the least last history row of
+    the symbols with a gap).  ``publish(messages, epoch)`` gets each epoch's
+    feature rows as messages (key, JSON value), for a topic; after a replay
+    it gets the same messages again.
+    """
+
     def __init__(self, store: str, sink: str, *, step: str = "1 minute", candle_periods: Sequence[str] = ("1 minute",),
                  level2_periods: Sequence[str] = ("1 minute",), params: Mapping | None = None,
-                 chunk: str = "1 day", max_gap: str = "1 minute", history_ready: bool = False):
+                 chunk: str = "1 day", max_gap: str = "1 minute", history_ready: bool = False,
+                 reload_history: Callable | None = None, publish: Callable | None = None):
         self.store, self.sink = store, sink
         self.step, self.cp, self.lp = step, list(candle_periods), list(level2_periods)
         self.params = params
         self.chunk, self.max_gap = chunk, max_gap
-        self.ready = history_ready
+        self.history_ready = history_ready
+        self.reload_history, self.publish = reload_history, publish
         rows = max([period_steps(p, step) - 1 + lookback_rows(params_for(params or {}, p)) for p in self.cp]
                    + [period_steps(p, step) for p in self.lp]) + 2
         self.lookback_us = rows * parse_duration_us(step)
+        self.counts: dict[str, int] = {}
 
     def bootstrap(self, history: DataFrame) -> None:
         """Load history (merged bars) into the store."""
-        _append(history.select("symbol", "datetime", *CANDLE, *L2_COLS).withColumn("src", F.lit("history")),
-                self.store)
+        rows = history.select("symbol", F.col("datetime").cast("timestamp_ntz").alias("datetime"), *CANDLE, *L2_COLS)
+        _replace(rows, self.store, "history")
+        empty = F.lit(None).cast("timestamp_ntz")
+        state = rows.groupBy("symbol").agg(F.max("datetime").alias("history_max")) \
+            .select("symbol", empty.alias("hwm"), "history_max", empty.alias("live_min"), F.lit(self.history_ready).alias("ready"))
+        self._write_state(state, "history", -1)
+
+    # the table of symbols
+
+    def _write_state(self, state: DataFrame, run: str, epoch: int) -> None:
+        (state.withColumn("run", F.lit(run)).withColumn("at", F.lit(epoch)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("run", "at").parquet(self.sink + "_state"))
+
+    def _state(self, spark: SparkSession, run: str, epoch: int) -> DataFrame:
+        """State as the epochs before this one left it: that of this run, else of the latest one before it."""
+        if not path_exists(spark, self.sink + "_state"):
+            return spark.createDataFrame([], STATE)
+        written = spark.read.parquet(self.sink + "_state")
+        steps = written.select("run", "at").distinct().collect()  # partition values: one per epoch kept
+        own = [r["at"] for r in steps if r["run"] == run and r["at"] < epoch]
+        if own:
+            pick = (F.col("run") == run) & (F.col("at") == max(own))
+            return written.where(pick).select(*[c.split()[0] for c in STATE.split(", ")])
+        # a run's first epoch goes on from the marks of the runs before; whether
+        # its live rows reach what is stored is to be seen again
+        return written.where(F.col("run") != run).groupBy("symbol").agg(F.max("hwm").alias("hwm"), F.max("history_max").alias("_h")) \
+            .select("symbol", "hwm", F.greatest("_h", "hwm").alias("history_max"), F.lit(None).cast("timestamp_ntz").alias("live_min"),
+                    F.lit(False).alias("ready"))
+
+    def _forget(self, spark: SparkSession, run: str, epoch: int) -> None:
+        """Drop this run's state of epochs that cannot be replayed any more."""
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for old in range(max(0, epoch - 12), epoch - 2):
+            p = hadoop(f"{self.sink}_state/run={run}/at={old}")
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+    # one micro-batch
 
     def process(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
-        batch = batch.select("symbol", F.col("datetime").cast("timestamp_ntz").alias("datetime"), *CANDLE, *L2_COLS)
-        stored = _read(spark, self.store)
-        if stored is not None:
-            stored = stored.select("symbol", "datetime", *CANDLE, *L2_COLS)
-            fresh = batch.join(stored.select("symbol", "datetime"), ["symbol", "datetime"], "left_anti")
-        else:
-            fresh = batch
-        # ``fresh`` is defined against the store we are about to append to:
-        # materialize it reliably first (shared checkpoint folder), so a lost
-        # executor cannot make it re-evaluate against the grown store
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
+        epoch = f"{run}-{epoch_id}"
         checkpoint_dir(spark)
-        fresh = fresh.checkpoint(eager=True)
-        if fresh.isEmpty() and self.ready:
+        rows, seen = observe_counts(batch.select("symbol", F.col("datetime").cast("timestamp_ntz").alias("datetime"),
+                                                 *CANDLE, *L2_COLS), "input")
+        batch = rows.checkpoint(eager=True)
+        span = batch.agg(F.min("datetime").alias("first"), F.max("datetime").alias("last")).first()
+        self.counts = {"input": seen.get["rows"]}
+        if span["first"] is None:
             return
-        _append(fresh.withColumn("src", F.lit("live")), self.store)
-        if not self.ready:
-            # gap between the bootstrap history and the earliest live row
-            # (overlapping rows included), per symbol; the live minimums are
-            # kept in a side table, one row per symbol and batch (restart-safe)
-            (batch.groupBy("symbol").agg(F.min("datetime").alias("datetime"))
-             .write.mode("append").parquet(self.store + "_live_min"))
-            st = spark.read.parquet(self.store)
-            gap = time_gap(st.where(F.col("src") == "history"), spark.read.parquet(self.store + "_live_min"),
-                           max_gap=self.max_gap)
-            self.ready = gap.where(F.col("history_max").isNotNull() & ~F.col("is_good")).isEmpty()
-            if not self.ready:
-                return
-        produced = _read(spark, self.sink)
-        syms = fresh.select("symbol").distinct()
-        marks = syms.join(last_produced(produced), "symbol", "left") if produced is not None \
-            else syms.withColumn("hwm", F.lit(None).cast("timestamp_ntz"))
-        # rows above the mark need ``lookback`` of history before the mark;
-        # a symbol without a mark is computed over its whole stored history
+        stored = self._stored(spark, epoch)
+        fresh = batch.dropDuplicates(["symbol", "datetime"])
+        if stored is not None:
+            near = stored.where((F.col("date") >= F.lit(span["first"].date())) & (F.col("date") <= F.lit(span["last"].date())))
+            fresh = fresh.join(near.select("symbol", "datetime"), ["symbol", "datetime"], "left_anti")
+        # what is written must not depend on itself: cut before writing
+        fresh = fresh.checkpoint(eager=True)
+        self.counts["new"] = fresh.count()
+        _replace(fresh, self.store, epoch)
+        state = self._advance(spark, batch, self._state(spark, run, epoch_id), epoch)
+        publishing = state.join(batch.select("symbol").distinct(), "symbol", "left_semi").where("ready")
+        features = self._features(spark, publishing)
+        if features is not None:
+            new = only_new(features, publishing.select("symbol", "hwm")).checkpoint(eager=True)
+            self.counts["output"] = new.count()
+            _replace(new, self.sink, epoch)
+            marks = new.groupBy("symbol").agg(F.max("datetime").alias("_new"))
+            state = state.join(marks, "symbol", "left").withColumn("hwm", F.greatest("hwm", "_new")).drop("_new")
+            if self.publish is not None:
+                self.publish(to_messages(new), epoch_id)
+        self._write_state(state, run, epoch_id)
+        self._forget(spark, run, epoch_id)
+
+    def _stored(self, spark: SparkSession, epoch: str) -> DataFrame | None:
+        """The store without what this epoch wrote before it was run again."""
+        stored = _read(spark, self.store)
+        return None if stored is None else stored.where(F.col("epoch") != epoch).select(*ROW, "date")
+
+    def _advance(self, spark: SparkSession, batch: DataFrame, state: DataFrame, epoch: str) -> DataFrame:
+        """State with this batch's first live rows; ready where the history reaches them."""
+        live = batch.groupBy("symbol").agg(F.min("datetime").alias("_live"))
+        state = state.join(live, "symbol", "full_outer").withColumn("live_min", F.least("live_min", "_live")).drop("_live")
+        gap = ts_diff_seconds(F.col("history_max"), F.col("live_min"))
+        good = F.coalesce(gap < parse_duration_us(self.max_gap) / 1e6, F.lit(False))
+        ready = F.lit(self.history_ready) | F.coalesce("ready", F.lit(False))
+        state = state.withColumn("ready", ready | good).checkpoint(eager=True)
+        if self.reload_history is None:
+            return state
+        waiting = state.where(~F.col("ready"))
+        since = waiting.agg(F.min("history_max").alias("since"), F.count(F.lit(1)).alias("n")).first()
+        if not since["n"]:
+            return state
+        newer = self.reload_history(spark, since["since"]).select(
+            "symbol", F.col("datetime").cast("timestamp_ntz").alias("datetime"), *CANDLE, *L2_COLS) \
+            .join(waiting.select("symbol"), "symbol", "left_semi").dropDuplicates(["symbol", "datetime"]).checkpoint(eager=True)
+        top = newer.groupBy("symbol").agg(F.max("datetime").alias("_top"))
+        known = self._stored(spark, epoch + "-history")
+        if since["since"] is not None:
+            known = known.where(F.col("date") >= F.lit(since["since"].date()))
+        new = newer.join(known.select("symbol", "datetime"), ["symbol", "datetime"], "left_anti").checkpoint(eager=True)
+        _replace(new, self.store, epoch + "-history")
+        state = state.join(top, "symbol", "left").withColumn("history_max", F.greatest("history_max", "_top")).drop("_top")
+        return state.withColumn("ready", F.col("ready") | good).checkpoint(eager=True)
+
+    def _tail(self, spark: SparkSession, symbols: DataFrame) -> DataFrame:
+        """Stored rows of the symbols from the last one at or before ``hwm - lookback`` on."""
         lo = F.col("hwm") - F.expr(f"INTERVAL {self.lookback_us} MICROSECONDS")
-        tail = (spark.read.parquet(self.store).join(marks, "symbol")
-                .where(F.col("hwm").isNull() | (F.col("datetime") >= lo))
-                .select("symbol", "datetime", *CANDLE, *L2_COLS))
+        marks = symbols.select("symbol", lo.alias("_lo"))
+        stored = spark.read.parquet(self.store).select(*ROW, "date")
+        bound = marks.agg(F.min("_lo").alias("lo"), F.count(F.when(F.col("_lo").isNull(), 1)).alias("open")).first()
+        if bound["lo"] is None or bound["open"]:  # a symbol that has published nothing: its whole history
+            near = stored
+        else:
+            near = stored.where(F.col("date") >= F.lit(bound["lo"].date()))
+
+        whole = F.lit(True)
+        for c in CANDLE + L2_COLS:
+            whole = whole & F.col(c).isNotNull()
+
+        def anchors(rows):
+            return rows.join(marks, "symbol").where((F.col("datetime") <= F.col("_lo")) & whole) \
+                .groupBy("symbol").agg(F.max("datetime").alias("_anchor"))
+
+        found = anchors(near)
+        missing = marks.where(F.col("_lo").isNotNull()).join(found, "symbol", "left_anti")
+        if near is not stored and not missing.isEmpty():  # a gap before the first day read: look further back
+            near = stored
+            found = anchors(near)
+        return near.join(marks.join(found, "symbol", "left"), "symbol") \
+            .where(F.col("_lo").isNull() | (F.col("datetime") >= F.coalesce("_anchor", "_lo"))).select(*ROW)
+
+    def _features(self, spark: SparkSession, symbols: DataFrame) -> DataFrame | None:
+        if symbols.isEmpty():
+            return None
+        tail = self._tail(spark, symbols).checkpoint(eager=True)
         filled = fill_grid(tail, self.step, ts="datetime", cols=CANDLE + L2_COLS, chunk=self.chunk)
         # stage boundary: the window pass reads a materialized grid
         filled = filled.checkpoint(eager=True)
         f = feature_frame(filled, step=self.step, candle_periods=self.cp, level2_periods=self.lp,
                           params=self.params, chunk=self.chunk)
-        # materialize before joining the marks: the feature plan is wide
-        # (~100 window-derived columns) and optimizing a join on top of it
-        # makes the optimizer's constraint propagation explode
-        f = clean_features(f, keep=["symbol", "datetime"]).checkpoint(eager=True)
-        _append(only_new(f, marks), self.sink)
+        # the wide plan is cut before any join, and optimized without
+        # constraint propagation, which grows combinatorially over it
+        with setting(spark, "spark.sql.constraintPropagation.enabled", "false"):
+            return clean_features(f, keep=["symbol", "datetime"]).checkpoint(eager=True)
 
     def start(self, merged_stream: DataFrame, checkpoint: str, trigger: dict | None = None):
         w = (merged_stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
