@@ -74,6 +74,9 @@ def asof_join(left: DataFrame, right: DataFrame, *, on: str | Sequence[str] = "s
                     chunk_of(lus, chunk_us).alias("_c"),
                     F.struct(*[F.col(c) for c in left.columns]).alias("_l"),
                     F.lit(None).cast(r_struct_t).alias(_R))
+    # null keys match nothing (a window partition would take them for equal)
+    for k in keys:
+        right = right.where(F.col(k).isNotNull())
     r = right.select(*[F.col(k) for k in keys],
                      rus.alias("_us"), F.lit(0).alias("_side"),
                      *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],

@@ -32,19 +32,31 @@ def order_key(ts: str, seq: Sequence[str] = (), df: DataFrame | None = None) ->
     for any long ``seq``.  A fixed-width key keeps ``max_by``/``min_by`` in
     hash aggregation; a struct key would force Spark's sort-based
     aggregation (a sort of every row, map and reduce side).
+
+    A null sequence sorts before every other one of the same time.  Without
+    a sequence column, rows of equal time are ordered by a hash of their
+    content (``df``'s columns), so that a rerun picks the same row.
     """
-    if not seq:
+    if not seq and df is None:
         return col(ts)
-    if len(seq) == 1:
+    if len(seq) <= 1:
         # zone-free microseconds for either timestamp type
         from ticklake.operators.chunks import ts_micros
         raw = ts_micros(df, ts) if df is not None else F.unix_micros(col(ts).cast("timestamp"))
         us = raw.cast("decimal(38,0)")
-        shifted = col(seq[0]).cast("decimal(38,0)") + F.expr("CAST(9223372036854775808 AS DECIMAL(38,0))")
+        least = F.lit(-(2 ** 63)).cast("long")
+        tie = F.coalesce(col(seq[0]).cast("long"), least) if seq else row_hash(df)
+        shifted = tie.cast("decimal(38,0)") + F.expr("CAST(9223372036854775808 AS DECIMAL(38,0))")
         return (us * F.expr("CAST(18446744073709551616 AS DECIMAL(38,0))") + shifted).cast("decimal(38,0)")
     return F.struct(col(ts), *[col(s) for s in seq])
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A 64-bit hash of a row's content (columns that can be hashed)."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields
+                        if f.dataType.typeName() not in ("map", "variant")])
+
+
 def last_value(c: str, ordering: Column) -> Column:
     """Last non-null value of ``c`` by ``ordering`` (rows where ``c`` is null
     get a null ordering, which ``max_by`` skips)."""

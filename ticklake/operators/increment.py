@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticklake.operators.bars import row_hash
 from ticklake.operators.chunks import chunk_of, parse_duration_us, ts_micros
 
 
@@ -39,8 +40,9 @@ def append_new(history: DataFrame, new: DataFrame, keys: str | Sequence[str] = (
 
 
 def keep_last(df: DataFrame, n: int, *, symbol: str = "symbol", ts: str = "datetime",
-              chunk: str = "1 day") -> DataFrame:
-    """Last ``n`` rows of each symbol by time (retention).
+              chunk: str = "1 day", seq: Sequence[str] = ()) -> DataFrame:
+    """Last ``n`` rows of each symbol by time (retention).  Rows of equal time
+    are ordered by ``seq`` columns, then by a hash of their content.
 
     Sorting a symbol's whole history to find its tail would put it in one
     task.  Instead: count rows per (symbol, chunk) (partial aggregation),
@@ -55,7 +57,7 @@ def keep_last(df: DataFrame, n: int, *, symbol: str = "symbol", ts: str = "datet
     needed = (counts.withColumn("_before", F.coalesce(F.sum("_n").over(newer), F.lit(0)))
               .where(F.col("_before") < n).select(symbol, "_c"))
     tail = c.join(needed, [symbol, "_c"], "left_semi")
-    rank = Window.partitionBy(symbol).orderBy(F.col(ts).desc())
+    rank = Window.partitionBy(symbol).orderBy(F.col(ts).desc(), *[F.col(s).desc() for s in seq], row_hash(df).desc())
     return tail.withColumn("_rn", F.row_number().over(rank)).where(F.col("_rn") <= n).drop("_rn", "_c")
 
 
@@ -88,11 +90,13 @@ def time_bounds(df: DataFrame, *, symbol: str = "symbol", ts: str = "datetime")
 def time_gap(history: DataFrame, stream: DataFrame, *, symbol: str = "symbol", ts: str = "datetime",
              max_gap: str = "1 minute") -> DataFrame:
     """Per symbol: last history time, first stream time, the gap between them
-    (negative overlap counts as 0) and whether it is below ``max_gap``."""
+    (negative overlap counts as 0) and whether it is below ``max_gap``.  A
+    symbol that has only one side has no gap (null) and is not good."""
     h = history.groupBy(symbol).agg(F.max(ts).alias("history_max"))
     s = stream.groupBy(symbol).agg(F.min(ts).alias("stream_min"))
     j = h.join(s, symbol, "full_outer")
-    gap_s = F.greatest(F.lit(0.0), (ts_diff_seconds(F.col("history_max"), F.col("stream_min"))))
+    both = F.col("history_max").isNotNull() & F.col("stream_min").isNotNull()
+    gap_s = F.when(both, F.greatest(F.lit(0.0), ts_diff_seconds(F.col("history_max"), F.col("stream_min"))))
     return (j.withColumn("gap_seconds", gap_s)
             .withColumn("is_good", F.coalesce(F.col("gap_seconds") < parse_duration_us(max_gap) / 1e6, F.lit(False))))
 

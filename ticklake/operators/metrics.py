@@ -9,6 +9,8 @@ the plan, no extra pass), and streaming progress comes from a
 
 from __future__ import annotations
 
+from collections import deque
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -66,10 +68,11 @@ def observe_counts(df: DataFrame, name: str, *extra: Column):
 
 class ProgressCollector(StreamingQueryListener):
     """Streaming stage metrics: input rows, rate, event-time watermark,
-    rows dropped behind the watermark, and observed metrics per batch."""
+    rows dropped behind the watermark, and observed metrics per batch.  The
+    last ``keep`` batches are held, older ones are forgotten."""
 
-    def __init__(self):
-        self.events: list[dict] = []
+    def __init__(self, keep: int = 1000):
+        self.events: deque[dict] = deque(maxlen=keep)
 
     def onQueryStarted(self, event):
         pass

@@ -27,31 +27,12 @@ from ticklake.session import ensure_utc
 BOOK_LEVELS = 5
 PRICE_STEP = 0.01
 VOL_MOD = 7
-ASOF_LEFT_TYPES = ("purchase", "signup")
-ASOF_RIGHT_TYPES = ("view", "click")
 ASOF_SYMBOLS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Input-parallelism guard.  A scan with fewer splits than the session
-    has cores (a single-row-group file, a few unsplittable gzip files) would
-    run every narrow step up to the first shuffle -- JSON building and
-    parsing, book summaries -- in that many tasks.  Such inputs are small by
-    construction (one split each), so a round-robin repartition to the
-    default parallelism is cheap; a large input already has enough splits and
-    is left alone.  Filters and column pruning still reach the scan.
-    """
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD view (Spark Connect): leave the scan as is
-        return df
-    return df.repartition(par) if n < par else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _k(df: DataFrame):
@@ -128,8 +109,8 @@ def raw_bbo_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def asof_side(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    types = ASOF_LEFT_TYPES if side == "left" else ASOF_RIGHT_TYPES
-    return (e.where(F.col("event_type").isin(*types))
+    # every event is on one side: even ids left, odd ids right
+    return (e.where(F.col("event_id") % 2 == (0 if side == "left" else 1))
             .select((F.col("user_id") % ASOF_SYMBOLS).alias("symbol"),
                     F.date_trunc("second", "ts").alias("ts"),
                     "event_id", "value"))

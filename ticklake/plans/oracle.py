@@ -172,9 +172,9 @@ FROM snap GROUP BY 1, 2
 """
 
 ASOF_SIDES = """l AS (SELECT user_id % 8 AS symbol, date_trunc('second', ts) AS ts, event_id, value
-      FROM events WHERE event_type IN ('purchase', 'signup')),
+      FROM events WHERE event_id % 2 = 0),
 r AS (SELECT user_id % 8 AS symbol, date_trunc('second', ts) AS ts, event_id, value
-      FROM events WHERE event_type IN ('view', 'click'))"""
+      FROM events WHERE event_id % 2 = 1)"""
 ASOF_TOL = "INTERVAL '30 minutes'"
 ASOF_RANK = {
     "backward": ("r.ts <= l.ts AND r.ts >= l.ts - " + ASOF_TOL, "r.ts DESC, r.event_id DESC"),
@@ -258,10 +258,14 @@ SELECT hourly.* FROM hourly LEFT JOIN m USING (symbol) WHERE m.hwm IS NULL OR ho
 
 SQL["time_gap"] = f"""
 WITH {TICKS},
-h AS (SELECT symbol, max(ts) AS history_max FROM ticks WHERE ts < TIMESTAMP '2024-01-15 12:00:00' GROUP BY symbol),
-s AS (SELECT symbol, min(ts) AS stream_min FROM ticks WHERE ts >= TIMESTAMP '2024-01-15 12:00:00' GROUP BY symbol),
+h AS (SELECT CASE WHEN symbol = 'error' THEN 'history_only' ELSE symbol END AS symbol, max(ts) AS history_max
+      FROM ticks WHERE ts < TIMESTAMP '2024-01-15 12:00:00' GROUP BY 1),
+s AS (SELECT CASE WHEN symbol = 'error' THEN 'stream_only' ELSE symbol END AS symbol, min(ts) AS stream_min
+      FROM ticks WHERE ts >= TIMESTAMP '2024-01-15 12:00:00' GROUP BY 1),
 j AS (SELECT coalesce(h.symbol, s.symbol) AS symbol, history_max, stream_min,
-             greatest(0.0, (epoch_us(stream_min) - epoch_us(history_max)) / 1e6) AS gap_seconds
+             CASE WHEN history_max IS NULL OR stream_min IS NULL THEN NULL
+                  WHEN stream_min < history_max THEN 0.0
+                  ELSE date_diff('microsecond', history_max, stream_min) / 1e6 END AS gap_seconds
       FROM h FULL OUTER JOIN s ON h.symbol = s.symbol)
 SELECT symbol, history_max, stream_min, {r6('gap_seconds')} AS gap_seconds,
        coalesce(gap_seconds < 60.0, false) AS is_good

@@ -243,8 +243,11 @@ def only_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 def time_gap_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticklake.operators.increment import time_gap as tg
     t = derive.ticks(spark, sf_dir)
-    hist = t.where(F.col("ts") < F.lit(GAP_SPLIT))
-    live = t.where(F.col("ts") >= F.lit(GAP_SPLIT))
+    # one symbol gets another name on either side: symbols with one side only
+    def one_sided(name):
+        return F.when(F.col("symbol") == "error", name).otherwise(F.col("symbol"))
+    hist = t.where(F.col("ts") < F.lit(GAP_SPLIT)).withColumn("symbol", one_sided("history_only"))
+    live = t.where(F.col("ts") >= F.lit(GAP_SPLIT)).withColumn("symbol", one_sided("stream_only"))
     out = tg(hist, live, ts="ts", max_gap="1 minute")
     return out.withColumn("gap_seconds", r6("gap_seconds"))
 

@@ -16,20 +16,25 @@ from pyspark.sql import functions as F
 
 
 def reader_options(servers: str, topics: str | Sequence[str], *, starting: str = "latest",
-                   start_time_ms: int | None = None, offsets_by_partition: Mapping | None = None,
-                   max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+                   start_time_ms: int | None = None, offsets_by_partition: Mapping | str | None = None,
+                   max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
     """Options for ``readStream.format("kafka")``.
 
     ``start_time_ms``: start every partition at the first offset at or after
     that time (``startingTimestamp``); partitions without a later message
     start at their end.  ``offsets_by_partition``: explicit
     ``{topic: {partition: offset}}`` (``-2`` = earliest, ``-1`` = latest), the
-    way to send chosen partitions back to the beginning.
+    way to send chosen partitions back to the beginning; the JSON text of
+    :func:`offsets_for_time` (start at a time, else at the beginning) is
+    taken as it is.  ``fail_on_data_loss=False`` goes on when offsets have
+    expired; by default the query fails, so that no loss passes unseen.
     """
     opts = {"kafka.bootstrap.servers": servers,
             "subscribe": topics if isinstance(topics, str) else ",".join(topics),
-            "failOnDataLoss": "false"}
-    if offsets_by_partition:
+            "failOnDataLoss": str(fail_on_data_loss).lower()}
+    if isinstance(offsets_by_partition, str):
+        opts["startingOffsets"] = offsets_by_partition
+    elif offsets_by_partition:
         opts["startingOffsets"] = json.dumps({t: {str(p): o for p, o in ps.items()}
                                               for t, ps in offsets_by_partition.items()})
     elif start_time_ms is not None:
@@ -72,12 +77,21 @@ def write_topic(df: DataFrame, servers: str, checkpoint: str, topic: str | None
     return w.start()
 
 
+def mark_options(servers: str, topic: str, since_ms: int | None = None) -> dict[str, str]:
+    """Options of the batch read behind :func:`last_produced`."""
+    opts = {"kafka.bootstrap.servers": servers, "subscribe": topic, "endingOffsets": "latest"}
+    if since_ms is None:
+        return opts | {"startingOffsets": "earliest"}
+    return opts | {"startingTimestamp": str(int(since_ms)), "startingOffsetsByTimestampStrategy": "latest"}
+
+
 def last_produced(spark: SparkSession, servers: str, topic: str, ts_field: str = "datetime",
-                  key: str = "symbol") -> DataFrame:
+                  key: str = "symbol", since_ms: int | None = None) -> DataFrame:
     """High-water mark of a feature topic: latest ``datetime`` per key, by a
-    batch read of the topic (empty topic -> no rows -> keep everything)."""
-    raw = (spark.read.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-           .option("startingOffsets", "earliest").option("endingOffsets", "latest").load())
+    batch read (empty topic -> no rows -> keep everything).  With
+    ``since_ms`` only each partition's end is read: the records published at
+    or after that time.  A key that published nothing since then has no mark."""
+    raw = spark.read.format("kafka").options(**mark_options(servers, topic, since_ms)).load()
     msg = F.from_json(F.col("value").cast("string"), f"{key} string, {ts_field} string")
     return (raw.select(msg.alias("m")).groupBy(F.col(f"m.{key}").alias(key))
             .agg(F.max(F.to_timestamp_ntz(F.col(f"m.{ts_field}"))).alias("hwm")))
