@@ -4,11 +4,16 @@ The library the source system used for these is not public, so the
 formulas are textbook definitions (ours):
 
 - typical price ``tp = (high + low + close) / 3``;
-- ``EWM(x, alpha, n)``: exponentially weighted mean over a *finite*
-  look-back of ``K = 4 n`` rows, weights ``(1 - alpha)^i`` (``i = 0`` newest)
-  normalised to sum 1, null while fewer than ``n`` non-null inputs exist.
-  Finite look-back makes every indicator a bounded-frame window function:
-  exact, restartable, and computable per time chunk with a halo;
+- ``EWM(x, alpha, n)``: exponentially weighted mean over all rows so far,
+  weights ``(1 - alpha)^i`` (``i = 0`` newest) normalised to sum 1, null
+  while fewer than ``n`` inputs exist.  It is evaluated as the recursion
+  ``s_i = (1 - alpha) s_(i-1) + x_i`` in blocks of grid rows: a running sum
+  of rescaled inputs inside the block, plus the state carried from the end
+  of the block before (:func:`add_ewms`).  The blocks are so long that what
+  an older block adds is far below the rounding of a double, so a halo of
+  one block (per level of smoothing) makes every chunk exact.  Where a ratio
+  of means is taken, a mean below ``VANISHED`` of the price is zero: after a
+  long flat stretch it holds nothing but old, faded inputs;
 - CCI(n) = (tp - mean_n tp) / (0.015 * mean_n |tp - mean_n tp|), null on
   zero deviation (Lambert 1980);
 - Ichimoku(n1, n2, n3): conversion = mid(n1), base = mid(n2),
@@ -34,12 +39,13 @@ A period (``"5 minutes"``) is a number of grid steps.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ticklake.operators.chunks import parse_duration_us, with_halo
+from ticklake.operators.chunks import parse_duration_us, ts_micros, with_halo
 from ticklake.schemas import L2_COLS
 
 # Defaults (ours, textbook).
@@ -52,7 +58,12 @@ DEFAULT_PARAMS: dict[str, dict[str, int]] = {
     "macd": {"slow": 26, "fast": 12, "sign": 9},
     "bb": {"window": 20, "window_dev": 2},
 }
-EWM_SPAN = 4
+#: Inputs of a weight below exp(-EWM_DECAY) add nothing to a mean of at least VANISHED of them.
+EWM_DECAY = 60.0
+#: A smoothed range, movement, gain or loss below this share of the price is zero.
+VANISHED = 1e-12
+#: exp of this much is still a finite double, with room for the inputs.
+EWM_RANGE = 600.0
 
 
 def label(period: str) -> str:
@@ -69,19 +80,68 @@ def full(x: Column, w: WindowSpec, n: int, agg) -> Column:
     return F.when(F.count(x).over(f) == n, agg(x).over(f))
 
 
-def ewm(x: Column, w: WindowSpec, alpha: float, window: int, lookback: int | None = None) -> Column:
-    """Finite-look-back exponentially weighted mean (see module doc).
+def ewm_rows(alpha: float) -> int:
+    """Rows after which an input's weight has vanished."""
+    return 1 if alpha >= 1 else math.ceil(EWM_DECAY / -math.log(1.0 - alpha))
 
-    The weighted sums are evaluated by Horner's scheme over the frame's list
-    (oldest first): ``acc * beta + x`` gives ``sum beta^(m-1-j) x_j`` and
-    ``acc * beta + 1`` the sum of the weights -- one pass, no powers.
+
+def faded(mean: Column, price: Column) -> Column:
+    """A smoothed mean for use in a ratio: zero once it has vanished."""
+    return F.when(mean <= VANISHED * F.abs(price), F.lit(0.0)).otherwise(mean)
+
+
+def ewm_alphas(params: Mapping) -> list[float]:
+    """Smoothing factors that the indicators of ``params`` use."""
+    out = [1.0 / _p(params, k, "window") for k in ("rsi", "adx") if k in params]
+    if "macd" in params:
+        m = params["macd"]
+        out += [2.0 / (int(m.get(k, DEFAULT_PARAMS["macd"][k])) + 1) for k in ("slow", "fast", "sign")]
+    return out
+
+
+def block_rows(params: Mapping) -> int:
+    """Block length that serves all smoothings of ``params``."""
+    return max([ewm_rows(a) for a in ewm_alphas(params)], default=1)
+
+
+def add_ewms(df: DataFrame, w: WindowSpec, specs: Mapping[str, tuple[str, float, int]], block: int,
+             by: Sequence[str] = ("symbol", "_c")) -> DataFrame:
+    """Add columns ``name: (input column, alpha, n)``: EWMs, O(1) a row.
+
+    ``df`` and ``w`` come from :func:`chunked` with blocks of ``block`` rows:
+    ``_i`` is the number of the grid row.  Inputs may be null before a series
+    begins; a null inside it makes the later means null.
     """
-    k = lookback or EWM_SPAN * window
-    lst = F.collect_list(x).over(frame(w, k))
-    b = F.lit(1.0 - alpha)
-    num = F.aggregate(lst, F.lit(0.0), lambda acc, v: acc * b + v)
-    den = F.aggregate(lst, F.lit(0.0), lambda acc, v: acc * b + F.lit(1.0))
-    return F.when(F.size(lst) >= window, num / den)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    blocks, scaled, local, carried, out, tmp = {}, {}, {}, {}, {}, []
+    for name, (x, alpha, n) in specs.items():
+        c = F.col(x)
+        if alpha >= 1:
+            out[name] = c
+            continue
+        ln = math.log(1.0 - alpha)
+        # over a long block a fast decay would overflow: it gets blocks of its own
+        length = min(block, int(EWM_RANGE / -ln))
+        blk = "_blk" if length == block else f"_blk{length}"
+        if length != block:
+            blocks[blk] = F.floor(F.col("_i") / length)
+        off = F.col("_i") - F.col(blk) * length
+        in_block = Window.partitionBy(*by, blk).orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        scaled[f"_z_{name}"] = F.coalesce(c, F.lit(0.0)) * F.exp(off * -ln)
+        local[f"_s_{name}"] = F.sum(f"_z_{name}").over(in_block) * F.exp(off * ln)
+        carried[f"_e_{name}"] = F.last(F.when(off == length - 1, F.col(f"_s_{name}")), ignorenulls=True).over(before)
+        carried[f"_m_{name}"] = F.count(c).over(so_far)
+        carried[f"_f_{name}"] = F.min(F.when(c.isNotNull(), F.col("_i"))).over(so_far)
+        tmp += [f"_{k}_{name}" for k in "zsemf"]
+        m = F.col(f"_m_{name}")
+        whole = (m >= n) & (m == F.col("_i") - F.col(f"_f_{name}") + 1)
+        total = F.col(f"_s_{name}") + F.coalesce(F.col(f"_e_{name}") * F.exp((off + 1) * ln), F.lit(0.0))
+        out[name] = F.when(whole, total * alpha / (1 - F.exp(m * ln)))
+    for level in (blocks, scaled, local, carried, out):
+        if level:
+            df = df.withColumns(level)
+    return df.drop(*tmp, *blocks)
 
 
 # ------------------------------------------------------------------ rolling candles
@@ -113,30 +173,33 @@ def lookback_rows(params: Mapping) -> int:
     if "ichimoku" in params:
         lb.append(max(_p(params, "ichimoku", k) for k in ("window1", "window2", "window3")))
     if "rsi" in params:
-        lb.append(EWM_SPAN * _p(params, "rsi", "window") + 1)
+        lb.append(ewm_rows(1.0 / _p(params, "rsi", "window")) + 1)
     if "adx" in params:
-        lb.append(2 * EWM_SPAN * _p(params, "adx", "window") + 1)
+        lb.append(2 * ewm_rows(1.0 / _p(params, "adx", "window")) + 1)
     if "stoch" in params:
         lb.append(_p(params, "stoch", "window") + _p(params, "stoch", "smooth_window"))
     if "macd" in params:
-        m = params["macd"]
-        lb.append(EWM_SPAN * max(int(m.get("slow", 26)), int(m.get("fast", 12))) + EWM_SPAN * int(m.get("sign", 9)))
+        slow, fast, sign = ewm_alphas({"macd": params["macd"]})
+        lb.append(max(ewm_rows(slow), ewm_rows(fast)) + ewm_rows(sign))
     if "bb" in params:
         lb.append(_p(params, "bb", "window"))
     return max(lb)
 
 
-def add_indicators(df: DataFrame, w: WindowSpec, params: Mapping, sfx: str, src: str = "") -> DataFrame:
+def add_indicators(df: DataFrame, w: WindowSpec, params: Mapping, sfx: str, src: str = "", *, block: int,
+                   by: Sequence[str] = ("symbol", "_c")) -> DataFrame:
     """Indicator columns (suffix ``sfx``) from candle columns
     ``open{src} high{src} low{src} close{src}``.
 
     Columns are added level by level with one ``withColumns`` per level (a
     level only reads columns of earlier levels), which keeps the analysed
     plan small; window expressions sharing the partitioning and order run in
-    the same Window operator.
+    the same Window operator.  ``block`` is the block length that ``df`` was
+    chunked with.
     """
     h, lo, c = F.col(f"high{src}"), F.col(f"low{src}"), F.col(f"close{src}")
     levels: list[dict[str, Column]] = [{} for _ in range(5)]
+    smoothed: list[dict[str, tuple[str, float, int]]] = [{} for _ in range(5)]  # EWMs after each level
     tmp: list[str] = []
 
     if "cca" in params:
@@ -162,8 +225,10 @@ def add_indicators(df: DataFrame, w: WindowSpec, params: Mapping, sfx: str, src:
         levels[0][f"_gain{sfx}"] = F.when(d.isNotNull(), F.greatest(d, F.lit(0.0)))
         levels[0][f"_loss{sfx}"] = F.when(d.isNotNull(), F.greatest(-d, F.lit(0.0)))
         tmp += [f"_gain{sfx}", f"_loss{sfx}"]
-        eg = ewm(F.col(f"_gain{sfx}"), w, 1.0 / n, n)
-        el = ewm(F.col(f"_loss{sfx}"), w, 1.0 / n, n)
+        smoothed[0][f"_eg{sfx}"] = (f"_gain{sfx}", 1.0 / n, n)
+        smoothed[0][f"_el{sfx}"] = (f"_loss{sfx}", 1.0 / n, n)
+        tmp += [f"_eg{sfx}", f"_el{sfx}"]
+        eg, el = faded(F.col(f"_eg{sfx}"), c), faded(F.col(f"_el{sfx}"), c)
         levels[1][f"rsi{sfx}"] = F.when(el == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + eg / el))
 
     if "adx" in params:
@@ -174,16 +239,14 @@ def add_indicators(df: DataFrame, w: WindowSpec, params: Mapping, sfx: str, src:
         levels[0][f"_pdm{sfx}"] = F.when(ph.isNotNull(), F.when((up > dn) & (up > 0), up).otherwise(F.lit(0.0)))
         levels[0][f"_mdm{sfx}"] = F.when(pl.isNotNull(), F.when((dn > up) & (dn > 0), dn).otherwise(F.lit(0.0)))
         a = 1.0 / n
-        levels[1][f"_atr{sfx}"] = ewm(F.col(f"_tr{sfx}"), w, a, n)
-        levels[1][f"_pe{sfx}"] = ewm(F.col(f"_pdm{sfx}"), w, a, n)
-        levels[1][f"_me{sfx}"] = ewm(F.col(f"_mdm{sfx}"), w, a, n)
-        atr_c = F.col(f"_atr{sfx}")
-        pos = F.when(atr_c == 0, F.lit(0.0)).otherwise(100 * F.col(f"_pe{sfx}") / atr_c)
-        neg = F.when(atr_c == 0, F.lit(0.0)).otherwise(100 * F.col(f"_me{sfx}") / atr_c)
-        levels[2][f"adx_pos{sfx}"] = pos
-        levels[2][f"adx_neg{sfx}"] = neg
-        levels[2][f"_dx{sfx}"] = F.when(pos + neg == 0, F.lit(0.0)).otherwise(100 * F.abs(pos - neg) / (pos + neg))
-        levels[3][f"adx{sfx}"] = ewm(F.col(f"_dx{sfx}"), w, a, n)
+        smoothed[0].update({f"_atr{sfx}": (f"_tr{sfx}", a, n), f"_pe{sfx}": (f"_pdm{sfx}", a, n), f"_me{sfx}": (f"_mdm{sfx}", a, n)})
+        atr_c, pe, me = (faded(F.col(f"{x}{sfx}"), c) for x in ("_atr", "_pe", "_me"))
+        pos = F.when(atr_c == 0, F.lit(0.0)).otherwise(100 * pe / atr_c)
+        neg = F.when(atr_c == 0, F.lit(0.0)).otherwise(100 * me / atr_c)
+        levels[1][f"adx_pos{sfx}"] = pos
+        levels[1][f"adx_neg{sfx}"] = neg
+        levels[1][f"_dx{sfx}"] = F.when(pos + neg == 0, F.lit(0.0)).otherwise(100 * F.abs(pos - neg) / (pos + neg))
+        smoothed[1][f"adx{sfx}"] = (f"_dx{sfx}", a, n)
         tmp += [f"_tr{sfx}", f"_pdm{sfx}", f"_mdm{sfx}", f"_atr{sfx}", f"_pe{sfx}", f"_me{sfx}", f"_dx{sfx}"]
 
     if "stoch" in params:
@@ -196,8 +259,11 @@ def add_indicators(df: DataFrame, w: WindowSpec, params: Mapping, sfx: str, src:
     if "macd" in params:
         m = params["macd"]
         slow, fast, sign = int(m.get("slow", 26)), int(m.get("fast", 12)), int(m.get("sign", 9))
-        levels[0][f"macd{sfx}"] = ewm(c, w, 2.0 / (fast + 1), fast) - ewm(c, w, 2.0 / (slow + 1), slow)
-        levels[1][f"macd_signal{sfx}"] = ewm(F.col(f"macd{sfx}"), w, 2.0 / (sign + 1), sign)
+        smoothed[0][f"_ef{sfx}"] = (f"close{src}", 2.0 / (fast + 1), fast)
+        smoothed[0][f"_es{sfx}"] = (f"close{src}", 2.0 / (slow + 1), slow)
+        tmp += [f"_ef{sfx}", f"_es{sfx}"]
+        levels[1][f"macd{sfx}"] = F.col(f"_ef{sfx}") - F.col(f"_es{sfx}")
+        smoothed[1][f"macd_signal{sfx}"] = (f"macd{sfx}", 2.0 / (sign + 1), sign)
         levels[2][f"macd_diff{sfx}"] = F.col(f"macd{sfx}") - F.col(f"macd_signal{sfx}")
 
     if "bb" in params:
@@ -208,9 +274,11 @@ def add_indicators(df: DataFrame, w: WindowSpec, params: Mapping, sfx: str, src:
         levels[0].update({f"bb_mavg{sfx}": F.when(ok, mavg), f"bb_hband{sfx}": F.when(ok, mavg + dev * sd),
                           f"bb_lband{sfx}": F.when(ok, mavg - dev * sd)})
 
-    for lvl in levels:
+    for lvl, ewms in zip(levels, smoothed):
         if lvl:
             df = df.withColumns(lvl)
+        if ewms:
+            df = add_ewms(df, w, ewms, block, by)
     return df.drop(*tmp)
 
 
@@ -239,11 +307,19 @@ def params_for(params: Mapping, period: str) -> Mapping:
 
 
 def chunked(df: DataFrame, step: str, halo_rows: int, chunk: str, *, symbol: str = "symbol",
-            ts: str = "datetime") -> tuple[DataFrame, WindowSpec]:
-    """Tag rows with (chunk, halo) and return the window spec to use."""
-    halo_us = halo_rows * parse_duration_us(step)
-    h = with_halo(df, ts, parse_duration_us(chunk), halo_us)
-    return h, Window.partitionBy(symbol, "_c").orderBy(ts)
+            ts: str = "datetime", block: int = 1) -> tuple[DataFrame, WindowSpec]:
+    """Tag rows with (chunk, halo), grid row ``_i`` and block ``_blk``, and
+    return the window spec to use.  A chunk is at least four halos long, so
+    that the copied rows stay a small share.  Windows by block sort the same
+    way as the returned one, so that all share one sort."""
+    step_us = parse_duration_us(step)
+    halo_us = halo_rows * step_us
+    h = with_halo(df, ts, max(parse_duration_us(chunk), 4 * halo_us), halo_us)
+    h = h.withColumn("_i", F.floor(ts_micros(h, ts) / step_us)).withColumn("_blk", F.floor(F.col("_i") / block))
+    return h, Window.partitionBy(symbol, "_c").orderBy("_blk", "_i")
+
+
+TAGS = ("_c", "_halo", "_i", "_blk")
 
 
 def rolling_candles(df: DataFrame, periods: Sequence[str], step: str, *, chunk: str = "1 day",
@@ -256,7 +332,7 @@ def rolling_candles(df: DataFrame, periods: Sequence[str], step: str, *, chunk:
     for p, lbl in zip(ps, periods):
         cols.update(rolling_candle_cols(w, p, f"_{label(lbl)}"))
     h = h.withColumns(cols)
-    return h.where(~F.col("_halo")).drop("_c", "_halo")
+    return h.where(~F.col("_halo")).drop(*TAGS)
 
 
 def candle_indicators(df: DataFrame, periods: Sequence[str], step: str, params: Mapping | None = None, *,
@@ -265,13 +341,14 @@ def candle_indicators(df: DataFrame, periods: Sequence[str], step: str, params:
     params = params or DEFAULT_PARAMS
     ps = [period_steps(p, step) for p in periods]
     halo = max(p - 1 + lookback_rows(params_for(params, lbl)) for p, lbl in zip(ps, periods)) + 1
-    h, w = chunked(df, step, halo, chunk, symbol=symbol, ts=ts)
+    block = max(block_rows(params_for(params, lbl)) for lbl in periods)
+    h, w = chunked(df, step, halo, chunk, symbol=symbol, ts=ts, block=block)
     for p, lbl in zip(ps, periods):
         sfx = f"_{label(lbl)}"
         h = h.withColumns(rolling_candle_cols(w, p, f"_rc{sfx}"))
-        h = add_indicators(h, w, params_for(params, lbl), sfx, src=f"_rc{sfx}")
+        h = add_indicators(h, w, params_for(params, lbl), sfx, src=f"_rc{sfx}", block=block, by=(symbol, "_c"))
         h = h.drop(*[f"{c}_rc{sfx}" for c in ("open", "high", "low", "close", "vol")])
-    return h.where(~F.col("_halo")).drop("_c", "_halo")
+    return h.where(~F.col("_halo")).drop(*TAGS)
 
 
 def level2_features(df: DataFrame, periods: Sequence[str], step: str, *, chunk: str = "1 day",
@@ -280,7 +357,7 @@ def level2_features(df: DataFrame, periods: Sequence[str], step: str, *, chunk:
     h, w = chunked(df, step, max(ps) + 1, chunk, symbol=symbol, ts=ts)
     for p, lbl in zip(ps, periods):
         h = add_level2_features(h, w, p, f"_{label(lbl)}")
-    return h.where(~F.col("_halo")).drop("_c", "_halo")
+    return h.where(~F.col("_halo")).drop(*TAGS)
 
 
 def clean_features(features: DataFrame, feature_cols: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:

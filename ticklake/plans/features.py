@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ticklake.operators.asof import asof_join
 from ticklake.operators.increment import only_new
 from ticklake.operators.indicators import (DEFAULT_PARAMS, add_indicators, add_level2_features, chunked, label,
-                                           lookback_rows, params_for, period_steps, rolling_candle_cols)
+                                           block_rows, lookback_rows, params_for, period_steps, rolling_candle_cols)
 from ticklake.operators.timegrid import fill_grid
 from ticklake.schemas import L2_COLS
 from ticklake.session import checkpoint_dir, setting
@@ -49,13 +49,14 @@ def feature_frame(filled: DataFrame, *, step: str, candle_periods: Sequence[str]
     lps = [period_steps(p, step) for p in level2_periods]
     halo = max([p - 1 + lookback_rows(params_for(params, lbl)) for p, lbl in zip(cps, candle_periods)]
                + [p for p in lps]) + 1
-    h, w = chunked(filled, step, halo, chunk, symbol=symbol, ts=ts)
+    block = max(block_rows(params_for(params, lbl)) for lbl in candle_periods)
+    h, w = chunked(filled, step, halo, chunk, symbol=symbol, ts=ts, block=block)
     feats: list[str] = []
     for p, lbl in zip(cps, candle_periods):
         sfx = f"_{label(lbl)}"
         h = h.withColumns(rolling_candle_cols(w, p, f"_rc{sfx}"))
         before = set(h.columns)
-        h = add_indicators(h, w, params_for(params, lbl), sfx, src=f"_rc{sfx}")
+        h = add_indicators(h, w, params_for(params, lbl), sfx, src=f"_rc{sfx}", block=block, by=(symbol, "_c"))
         feats += [c for c in h.columns if c not in before]
         h = h.drop(*[f"{c}_rc{sfx}" for c in CANDLE])
     for p, lbl in zip(lps, level2_periods):

@@ -9,6 +9,8 @@ operator semantics spelled out (right-closed bins, last non-null by
 
 from __future__ import annotations
 
+import math
+
 # -- shared derivations -------------------------------------------------------
 
 K = "CAST(json_extract_string(props, '$.k') AS DOUBLE)"
@@ -331,16 +333,18 @@ class Chain:
         self.cur = name
 
 
-def ewm_list(x: str, name: str, k: int) -> str:
+def ewm_list(x: str, name: str, alpha: float) -> str:
+    """All inputs so far that can count: smaller weights vanish in a double."""
+    k = math.ceil(60 / -math.log(1 - alpha)) if alpha < 1 else 1
     return f"list({x}) FILTER (WHERE {x} IS NOT NULL) OVER {fr(k)} AS {name}"
 
 
 def ewm_of(lst: str, alpha: float, n: int, name: str) -> str:
-    """Weighted sums by Horner's scheme, as ``indicators.ewm``."""
+    """The weighted mean of the list as defined: newest weight 1, each older one times (1 - alpha)."""
     b = dbl(1.0 - alpha)
-    num = f"list_reduce({lst}, lambda acc, v: acc * {b} + v, 0.0::DOUBLE)"
-    den = f"list_reduce({lst}, lambda acc, v: acc * {b} + 1.0::DOUBLE, 0.0::DOUBLE)"
-    return f"CASE WHEN len({lst}) >= {n} THEN {num} / {den} END AS {name}"
+    weights = f"list_transform(range(len({lst})), lambda k: power({b}, len({lst}) - 1 - k))"
+    return (f"CASE WHEN len({lst}) >= {n} THEN list_dot_product({lst}, {weights}) / "
+            f"list_sum({weights}) END AS {name}")
 
 
 def rolling_candle_sql(ch: Chain, p: int, sfx: str) -> None:
@@ -379,9 +383,10 @@ def indicators_sql(ch: Chain, params: dict, sfx: str, src: str) -> list[str]:
         ch.add(f"{c} - lag({c}) OVER ({WIN}) AS _d{sfx}")
         ch.add(f"CASE WHEN _d{sfx} IS NOT NULL THEN greatest(_d{sfx}, 0.0) END AS _gain{sfx}",
                f"CASE WHEN _d{sfx} IS NOT NULL THEN greatest(-_d{sfx}, 0.0) END AS _loss{sfx}")
-        ch.add(ewm_list(f"_gain{sfx}", f"_gl{sfx}", 4 * n), ewm_list(f"_loss{sfx}", f"_ll{sfx}", 4 * n))
+        ch.add(ewm_list(f"_gain{sfx}", f"_gl{sfx}", 1.0 / n), ewm_list(f"_loss{sfx}", f"_ll{sfx}", 1.0 / n))
         ch.add(ewm_of(f"_gl{sfx}", 1.0 / n, n, f"_eg{sfx}"), ewm_of(f"_ll{sfx}", 1.0 / n, n, f"_el{sfx}"))
-        ch.add(f"CASE WHEN _el{sfx} = 0 THEN 100.0 ELSE 100 - 100 / (1 + _eg{sfx} / _el{sfx}) END AS rsi{sfx}")
+        ch.add(*[f"CASE WHEN {x} <= {dbl(1e-12)} * abs({c}) THEN 0.0 ELSE {x} END AS {x}0" for x in (f"_eg{sfx}", f"_el{sfx}")])
+        ch.add(f"CASE WHEN _el{sfx}0 = 0 THEN 100.0 ELSE 100 - 100 / (1 + _eg{sfx}0 / _el{sfx}0) END AS rsi{sfx}")
         out.append(f"rsi{sfx}")
     if "adx" in params:
         n = params["adx"]["window"]
@@ -392,15 +397,17 @@ def indicators_sql(ch: Chain, params: dict, sfx: str, src: str) -> list[str]:
         ch.add(f"CASE WHEN _pc{sfx} IS NOT NULL THEN greatest({h} - {lo}, abs({h} - _pc{sfx}), abs({lo} - _pc{sfx})) END AS _tr{sfx}",
                f"CASE WHEN _ph{sfx} IS NOT NULL THEN CASE WHEN {up} > {dn} AND {up} > 0 THEN {up} ELSE 0.0 END END AS _pdm{sfx}",
                f"CASE WHEN _pl{sfx} IS NOT NULL THEN CASE WHEN {dn} > {up} AND {dn} > 0 THEN {dn} ELSE 0.0 END END AS _mdm{sfx}")
-        ch.add(ewm_list(f"_tr{sfx}", f"_trl{sfx}", 4 * n), ewm_list(f"_pdm{sfx}", f"_pdl{sfx}", 4 * n),
-               ewm_list(f"_mdm{sfx}", f"_mdl{sfx}", 4 * n))
+        ch.add(ewm_list(f"_tr{sfx}", f"_trl{sfx}", a), ewm_list(f"_pdm{sfx}", f"_pdl{sfx}", a),
+               ewm_list(f"_mdm{sfx}", f"_mdl{sfx}", a))
         ch.add(ewm_of(f"_trl{sfx}", a, n, f"_atr{sfx}"), ewm_of(f"_pdl{sfx}", a, n, f"_pe{sfx}"),
                ewm_of(f"_mdl{sfx}", a, n, f"_me{sfx}"))
-        ch.add(f"CASE WHEN _atr{sfx} = 0 THEN 0.0 ELSE 100 * _pe{sfx} / _atr{sfx} END AS adx_pos{sfx}",
-               f"CASE WHEN _atr{sfx} = 0 THEN 0.0 ELSE 100 * _me{sfx} / _atr{sfx} END AS adx_neg{sfx}")
+        ch.add(*[f"CASE WHEN {x} <= {dbl(1e-12)} * abs({c}) THEN 0.0 ELSE {x} END AS {x}0"
+                 for x in (f"_atr{sfx}", f"_pe{sfx}", f"_me{sfx}")])
+        ch.add(f"CASE WHEN _atr{sfx}0 = 0 THEN 0.0 ELSE 100 * _pe{sfx}0 / _atr{sfx}0 END AS adx_pos{sfx}",
+               f"CASE WHEN _atr{sfx}0 = 0 THEN 0.0 ELSE 100 * _me{sfx}0 / _atr{sfx}0 END AS adx_neg{sfx}")
         ch.add(f"CASE WHEN adx_pos{sfx} + adx_neg{sfx} = 0 THEN 0.0 ELSE "
                f"100 * abs(adx_pos{sfx} - adx_neg{sfx}) / (adx_pos{sfx} + adx_neg{sfx}) END AS _dx{sfx}")
-        ch.add(ewm_list(f"_dx{sfx}", f"_dxl{sfx}", 4 * n))
+        ch.add(ewm_list(f"_dx{sfx}", f"_dxl{sfx}", a))
         ch.add(ewm_of(f"_dxl{sfx}", a, n, f"adx{sfx}"))
         out += [f"adx_pos{sfx}", f"adx_neg{sfx}", f"adx{sfx}"]
     if "stoch" in params:
@@ -413,11 +420,11 @@ def indicators_sql(ch: Chain, params: dict, sfx: str, src: str) -> list[str]:
     if "macd" in params:
         m = params["macd"]
         slow, fast, sign = m.get("slow", 26), m.get("fast", 12), m.get("sign", 9)
-        ch.add(ewm_list(c, f"_fl{sfx}", 4 * fast), ewm_list(c, f"_sl{sfx}", 4 * slow))
+        ch.add(ewm_list(c, f"_fl{sfx}", 2.0 / (fast + 1)), ewm_list(c, f"_sl{sfx}", 2.0 / (slow + 1)))
         ch.add(ewm_of(f"_fl{sfx}", 2.0 / (fast + 1), fast, f"_ef{sfx}"),
                ewm_of(f"_sl{sfx}", 2.0 / (slow + 1), slow, f"_es{sfx}"))
         ch.add(f"_ef{sfx} - _es{sfx} AS macd{sfx}")
-        ch.add(ewm_list(f"macd{sfx}", f"_ml{sfx}", 4 * sign))
+        ch.add(ewm_list(f"macd{sfx}", f"_ml{sfx}", 2.0 / (sign + 1)))
         ch.add(ewm_of(f"_ml{sfx}", 2.0 / (sign + 1), sign, f"macd_signal{sfx}"))
         ch.add(f"macd{sfx} - macd_signal{sfx} AS macd_diff{sfx}")
         out += [f"macd{sfx}", f"macd_signal{sfx}", f"macd_diff{sfx}"]
