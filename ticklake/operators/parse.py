@@ -99,6 +99,14 @@ def drop_control_messages(df: DataFrame, value: str = "value") -> DataFrame:
             .drop("_k"))
 
 
+def unreadable(df: DataFrame, value: str = "value") -> DataFrame:
+    """Messages that are no JSON object, for a quarantine: text (``null`` too)
+    as it came, with all other columns.  Control frames are readable."""
+    keys = F.from_json(col(value), f"ch string, {CORRUPT} string",
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return df.where(keys.isNull() | keys[CORRUPT].isNotNull())
+
+
 def clean_columns(df: DataFrame, junk_prefixes: Sequence[str] = ("Unnamed:",),
                   junk_names: Sequence[str] = ("close_time.1", "datetime.1")) -> DataFrame:
     """Drop rubbish columns of CSV exports and cast time-named string columns

@@ -52,8 +52,13 @@ def stage_stream(raw: DataFrame, kind: str, *, step: str = "1 minute", lateness:
 
 def start_staging(raw: DataFrame, out_dir: str, checkpoint_dir: str, *, kinds=KINDS, step: str = "1 minute",
                   lateness: str = "10 seconds", trigger: dict | None = None, fmt: str = "parquet"):
-    """Start one append-mode query per kind writing ``out_dir/<kind>``."""
-    queries = []
+    """Start one append-mode query per kind writing ``out_dir/<kind>``, and one
+    that keeps the messages no kind can read in ``out_dir/quarantine``; its
+    progress events count them (observed metric ``quarantine``)."""
+    bad = parse.unreadable(raw).observe("quarantine", F.count(F.lit(1)).alias("rows"))
+    w = (bad.writeStream.format(fmt).outputMode("append").option("path", f"{out_dir}/quarantine")
+         .option("checkpointLocation", f"{checkpoint_dir}/quarantine").queryName("staging_quarantine"))
+    queries = [w.trigger(**trigger).start() if trigger else w.start()]
     for k in kinds:
         w = (stage_stream(raw, k, step=step, lateness=lateness).writeStream.format(fmt).outputMode("append")
              .option("path", f"{out_dir}/{k}").option("checkpointLocation", f"{checkpoint_dir}/{k}")
