@@ -108,6 +108,7 @@ def test_published_messages_and_counts(spark, tmp_dir):
     j.bootstrap(frame(spark, rows[:30]))
     j.process(frame(spark, rows[25:50]), 7)
     assert j.counts["input"] == 25 and j.counts["new"] == 20 and j.counts["output"] == len(sent[0][1]) > 20
+    assert j.counts["dirty"] >= j.counts["cleaned"] >= j.counts["output"] and j.counts["duration_s"] > 0 and j.counts["lag_s"] > 0
     first = json.loads(sent[0][1][0].value)
     assert sent[0][0] == 7 and sent[0][1][0].key == "X" and {"symbol", "datetime"} <= set(first)
 

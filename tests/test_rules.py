@@ -110,3 +110,38 @@ def test_history_of_zipped_and_plain_files(spark, tmp_dir):
         none = read_history(spark, f"{tmp_dir}/l2", f"{tmp_dir}/c", **bounds, **schemas)
         assert none.columns == got.columns and none.count() == 0
     assert F is not None
+
+
+def test_bar_aggregation_can_be_replaced(spark):
+    rows = [("X", T.replace(second=i), float(i), 2.0, i) for i in range(1, 5)]
+    got = last_state_bars(ticks(spark, rows), aggs=[F.sum("vol").alias("v"), F.count(F.lit(1)).alias("n")]).first()
+    assert got.asDict().keys() == {"symbol", "open_time", "close_time", "v", "n"} and (got.v, got.n) == (8.0, 4)
+
+
+def test_csv_sink_writes_times_as_text_in_column_order(spark, tmp_dir):
+    from ticklake.sources.sinks import write_staged
+    df = spark.createDataFrame([("X", T, 1.5)], "symbol string, datetime timestamp_ntz, v double")
+    write_staged(df, f"{tmp_dir}/c", fmt="csv")
+    got = spark.read.option("header", True).csv(f"{tmp_dir}/c")
+    assert got.columns[:2] == ["datetime", "v"] and [(r.datetime, r.v) for r in got.collect()] == [("2025-01-01 00:00:00", "1.5")]
+
+
+def test_archive_rotates_by_records(spark, tmp_dir):
+    import glob
+    import os
+    from ticklake.sources.sinks import archive_raw
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a.txt", "w") as f:
+        f.write("\n".join(f"m{i}" for i in range(250)))
+    archive_raw(spark.readStream.text(f"{tmp_dir}/in"), f"{tmp_dir}/out", f"{tmp_dir}/ck", max_records_per_file=100,
+                trigger={"availableNow": True}).awaitTermination()
+    assert len(glob.glob(f"{tmp_dir}/out/year=*/month=*/day=*/*.gz")) == 3 and spark.read.json(f"{tmp_dir}/out").count() == 250
+
+
+def test_features_only_at_input_times(spark):
+    from ticklake.operators.indicators import clean_features
+    s = "symbol string, datetime timestamp_ntz, f double"
+    f = spark.createDataFrame([("X", T, 1.0), ("X", T.replace(minute=1), 2.0), ("X", T.replace(minute=2), float("inf"))], s)
+    keep = ["symbol", "datetime"]
+    got = clean_features(f, keep=keep, inputs=f.where("f <> 2.0").unionByName(f.where("f <> 2.0")))
+    assert [r.f for r in got.collect()] == [1.0]

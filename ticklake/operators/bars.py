@@ -77,14 +77,17 @@ def _binned(df: DataFrame, ts: str, closed: str, lateness: str | None) -> DataFr
 def last_state_bars(df: DataFrame, step: str = "1 minute", *, symbol: str = "symbol", ts: str = "ts",
                     seq: Sequence[str] = (), cols: Sequence[str] = CANDLE_COLS,
                     closed: str = "right", lateness: str | None = None,
-                    extra_aggs: Sequence[Column] = ()) -> DataFrame:
+                    extra_aggs: Sequence[Column] = (), aggs: Sequence[Column] | None = None) -> DataFrame:
     """Bars that keep the last state of each column in the bin.
 
     ``closed="right"``: bin ``(t-step, t]`` labelled ``close_time=t``,
-    ``open_time=t-step``.  ``extra_aggs`` are caller-supplied aggregate
-    columns (the overridable per-bar aggregation of the source system).
+    ``open_time=t-step``.  The per-bar aggregation can be extended
+    (``extra_aggs``) or replaced (``aggs``, instead of the last state of
+    ``cols``) by the caller's aggregate columns.
     """
     ordering = order_key(ts, seq, df)
+    if aggs is not None:
+        cols, extra_aggs = (), (*aggs, *extra_aggs)
     b = _binned(df, ts, closed, lateness)
     out = (b.groupBy(col(symbol), F.window("_bar_ts", step).alias("_w"))
            .agg(*[last_value(c, ordering) for c in cols], *extra_aggs))

@@ -360,11 +360,15 @@ def level2_features(df: DataFrame, periods: Sequence[str], step: str, *, chunk:
     return h.where(~F.col("_halo")).drop(*TAGS)
 
 
-def clean_features(features: DataFrame, feature_cols: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+def clean_features(features: DataFrame, feature_cols: Sequence[str] | None = None, keep: Sequence[str] = (),
+                   inputs: DataFrame | None = None) -> DataFrame:
     """Non-finite values (NaN, +-inf) become null, then rows with any null
-    feature are dropped."""
+    feature are dropped.  With ``inputs`` only the rows whose ``keep`` columns
+    (symbol and time) are in it stay: no features at grid rows that only the
+    fill made."""
     cols = list(feature_cols) if feature_cols is not None else [c for c in features.columns if c not in keep]
     out = features
     out = out.withColumns({c: F.when(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(None)).otherwise(F.col(c))
                            for c in cols})
-    return out.dropna(how="any", subset=cols)
+    out = out.dropna(how="any", subset=cols)
+    return out if inputs is None else out.join(inputs.select(*keep).distinct(), list(keep), "left_semi")

@@ -56,6 +56,13 @@ def _num(df: DataFrame, c: str):
     return F.col(c).cast("double"), None
 
 
+def with_candle_times(filled: DataFrame, step: str = "1 minute", *, ts: str = "datetime") -> DataFrame:
+    """Candle times of filled rows: ``close_time`` is the grid time and
+    ``open_time`` one step before it."""
+    return filled.withColumn("close_time", F.col(ts)) \
+        .withColumn("open_time", F.col(ts) - F.expr(f"INTERVAL {parse_duration_us(step)} MICROSECONDS"))
+
+
 def fill_grid(df: DataFrame, step: str = "1 minute", *, symbol: str = "symbol", ts: str = "ts",
               seq: Sequence[str] = (), cols: Sequence[str] | None = None, chunk: str = "1 day",
               out_ts: str = "datetime", resampled: bool = False) -> DataFrame:

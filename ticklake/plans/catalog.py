@@ -33,6 +33,9 @@ QUERIES = {
     "only_new": q.only_new,
     "time_gap": q.time_gap_q,
     "fill_grid": q.fill_grid,
+    "grid_candles": q.grid_candles,
+    "time_bounds": q.time_bounds,
+    "second_feed_publish": q.second_feed_publish,
     "rolling_candles": q.rolling_candles,
     "cci": q.cci,
     "ichimoku": q.ichimoku,

@@ -117,6 +117,13 @@ SELECT event_id AS msg_id, 'g-' || event_type AS guid, event_type AS kind, 'raw.
 FROM events WHERE user_id % 10 <> 0 AND event_id % 17 <> 0
 """
 
+SQL["second_feed_publish"] = """
+SELECT event_id AS msg_id, 'raw.alor.SBER.' || event_type AS topic, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS datetime
+FROM events WHERE user_id % 10 <> 0 AND event_id % 17 <> 0
+"""
+
+SQL["time_bounds"] = "SELECT event_type AS symbol, min(ts) AS min_ts, max(ts) AS max_ts FROM events GROUP BY 1"
+
 SQL["drop_control"] = """
 SELECT event_id AS msg_id FROM events WHERE event_type <> 'error'
 """
@@ -456,6 +463,11 @@ ob AS (SELECT symbol, bts AS ts, 0 AS seq, open, high, low, close, vol FROM (
          FROM ticks GROUP BY symbol, bts)),
 {fill_cte('1 hour', 'ob', CANDLE, 'filled')}"""
 
+SQL["grid_candles"] = f"""
+WITH {OHLC_SRC}
+SELECT symbol, datetime - INTERVAL '1 hour' AS open_time, datetime AS close_time, {", ".join(f"{r6(c)} AS {c}" for c in CANDLE)} FROM filled
+"""
+
 L2_SRC = f"""{SNAPSHOTS},
 lb AS (SELECT symbol, {bucket('1 hour', 'datetime')} + INTERVAL '1 hour' AS ts, 0 AS seq,
               {", ".join(f"avg({c}) AS {c}" for c in L2)}

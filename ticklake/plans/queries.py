@@ -281,6 +281,24 @@ def filled_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fg(b, BAR, ts="open_time", cols=["open", "high", "low", "close", "vol"], chunk=IND_CHUNK)
 
 
+def grid_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filled hourly candles with the candle times that follow the grid."""
+    from ticklake.operators.timegrid import with_candle_times
+    cols = ["open", "high", "low", "close", "vol"]
+    return _round_all(with_candle_times(filled_candles(spark, sf_dir), BAR).select("symbol", "open_time", "close_time", *cols), cols)
+
+
+def time_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.operators.increment import time_bounds as tb
+    return tb(derive.ticks(spark, sf_dir), ts="ts")
+
+
+def second_feed_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklake.sources.kafka import publish_second_feed
+    parsed = parse.parse_json(derive.second_feed_messages(spark, sf_dir), schemas.RAW_SECOND_EXCHANGE, keep=["msg_id"])
+    return publish_second_feed(parsed, derive.subscriptions(spark, sf_dir)).select("msg_id", "datetime", "topic")
+
+
 def _feature_cols(df: DataFrame) -> set:
     return {c for c in df.columns if c not in ("symbol", "datetime")}
 

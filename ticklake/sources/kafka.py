@@ -105,6 +105,20 @@ def publish_raw(df: DataFrame, ch: str = "ch", ts_ms: str = "ts") -> DataFrame:
             .withColumn("topic", topic_name(F.lower(F.col(ch)))))
 
 
+def publish_second_feed(parsed: DataFrame, subscriptions: DataFrame, into: str = "msg") -> DataFrame:
+    """Second-feed messages (:func:`ticklake.operators.parse.parse_json` with
+    ``keep`` columns) to publish: those of a known subscription, with their
+    event time (``tso``, ``tst`` or ``t``) added as a string and the
+    subscription's topic.  Unknown guids and replies other than 200 go."""
+    from ticklake.functions.time import event_time_auto
+    from ticklake.operators.parse import route_by_guid
+    data = f"{into}.data"
+    flat = parsed.withColumns({"guid": F.col(f"{into}.guid"), "httpCode": F.col(f"{into}.httpCode"),
+                               "datetime": F.date_format(event_time_auto(f"{data}.tso", f"{data}.tst", f"{data}.t"),
+                                                         "yyyy-MM-dd HH:mm:ss.SSS")})
+    return route_by_guid(flat, subscriptions).drop(into)
+
+
 def offsets_json(topic: str, partitions: int, first_offsets: Mapping[int, int]) -> str:
     """``startingOffsets`` JSON: each partition's first offset at or after the
     start time; partitions without such a message start at the beginning

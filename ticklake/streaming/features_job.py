@@ -28,7 +28,9 @@ row, ready) is a table of one row per symbol, written anew by each epoch.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,7 +86,8 @@ class FeatureJob:
         rows = max([period_steps(p, step) - 1 + lookback_rows(params_for(params or {}, p)) for p in self.cp]
                    + [period_steps(p, step) for p in self.lp]) + 2
         self.lookback_us = rows * parse_duration_us(step)
-        self.counts: dict[str, int] = {}
+        #: Of the last batch: rows of input, new, dirty, cleaned, output; duration_s; lag_s of the newest output row.
+        self.counts: dict[str, float] = {}
 
     def bootstrap(self, history: DataFrame) -> None:
         """Load history (merged bars) into the store."""
@@ -135,6 +138,7 @@ class FeatureJob:
                                                  *CANDLE, *L2_COLS), "input")
         batch = rows.checkpoint(eager=True)
         span = batch.agg(F.min("datetime").alias("first"), F.max("datetime").alias("last")).first()
+        began = time.monotonic()
         self.counts = {"input": seen.get["rows"]}
         if span["first"] is None:
             return
@@ -158,8 +162,12 @@ class FeatureJob:
             state = state.join(marks, "symbol", "left").withColumn("hwm", F.greatest("hwm", "_new")).drop("_new")
             if self.publish is not None:
                 self.publish(to_messages(new), epoch_id)
+            newest = new.agg(F.max("datetime").alias("t")).first()["t"]
+            if newest is not None:
+                self.counts["lag_s"] = (datetime.now(timezone.utc).replace(tzinfo=None) - newest).total_seconds()
         self._write_state(state, run, epoch_id)
         self._forget(spark, run, epoch_id)
+        self.counts["duration_s"] = time.monotonic() - began
 
     def _stored(self, spark: SparkSession, epoch: str) -> DataFrame | None:
         """The store without what this epoch wrote before it was run again."""
@@ -231,7 +239,11 @@ class FeatureJob:
         # the wide plan is cut before any join, and optimized without
         # constraint propagation, which grows combinatorially over it
         with setting(spark, "spark.sql.constraintPropagation.enabled", "false"):
-            return clean_features(f, keep=["symbol", "datetime"]).checkpoint(eager=True)
+            f, dirty = observe_counts(f, "features")
+            f = clean_features(f, keep=["symbol", "datetime"]).checkpoint(eager=True)
+        self.counts["dirty"] = dirty.get["rows"]
+        self.counts["cleaned"] = f.count()
+        return f
 
     def start(self, merged_stream: DataFrame, checkpoint: str, trigger: dict | None = None):
         w = (merged_stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
