@@ -20,13 +20,14 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, functions as F
 
-from ticklake.llm.common import by_batch, written
+from ticklake.llm.common import by_batch
 
 LEAF_WORDS = 4
 SECTION = 8
@@ -166,65 +167,58 @@ def _columns(rows: list[tuple]) -> dict:
     return {n: pa.array(c, type=k) for (n, k), c in zip(KINDS.items(), cells)}
 
 
+def _parts(ids: DataFrame, count: int) -> tuple[Callable[[DataFrame], DataFrame], list[tuple[int, int | None]]]:
+    """What adds ``part``, ranges of the id of about equal size, to rows with doc_id; and (part, first id) of
+    every part in order.  A null id is in part 0, before all others.  The driver gets ``count`` bounds."""
+    bounds = sorted({float(b) for b in ids.approxQuantile("doc_id", [i / count for i in range(1, count)], 0.001)})
+    place = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf")))
+    cut = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="_place", outputCol="_part")
+
+    def parted(df: DataFrame) -> DataFrame:
+        if not bounds:
+            return df.withColumn("part", F.lit(0))
+        return cut.transform(df.withColumn("_place", place)).withColumn("part", F.col("_part").cast("int")).drop("_place", "_part")
+
+    found = parted(ids).groupBy("part").agg(F.min("doc_id").alias("first"), F.max(F.col("doc_id").isNull()).alias("null")).collect()
+    return parted, sorted((r["part"], None if r["null"] else r["first"]) for r in found)
+
+
 def edit_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text and of its text edited with the next document's (by ascending id).
 
-    The texts are shuffled once, by ranges of the id.  Within a partition each document meets the next
-    one; a partition's last document and first one (two rows a partition) meet in a second, small step.
+    The documents are dealt to ranges of the id and sorted there; each meets the next one as the rows go
+    by.  A range's last document needs the next range's first one, of which a copy comes along at its end
+    (one row a range, the only thing that is read twice).  The texts are shuffled once.
     """
-    def make():
-        part, last, build, state = TaskContext.get().partitionId(), [], Builder(), {"rows": 0}
-        edge = [("_part", pa.int64()), ("_edge", pa.string()), ("_text", pa.string())]
-
-        def out(rows, kind=None, text=None):
-            return _columns(rows) | {"_part": pa.array([part] * len(rows), type=pa.int64()), "_edge": pa.array([kind] * len(rows), type=pa.string()),
-                                     "_text": pa.array([text] * len(rows), type=pa.string())}
+    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    parted, firsts = _parts(docs.select("doc_id"), 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # the range before each first document; the table's first one follows its last one
+    before = [(first, firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)]
+    named = df.sparkSession.createDataFrame(before, "first bigint, part int")
+    wanted = [f for f, _ in before if f is not None]
+    copies = docs.where(F.col("doc_id").isin(wanted) | (F.col("doc_id").isNull() if len(wanted) < len(before) else F.lit(False))) \
+        .groupBy("doc_id").agg(F.min("text").alias("text"))
+    copies = copies.join(named, F.col("doc_id").eqNullSafe(F.col("first"))).select("doc_id", "text", "part", F.lit(1).alias("copy"))
+    rows = parted(docs).withColumn("copy", F.lit(0)).unionByName(copies)
 
-        def end(kind, doc, text, print_):
-            return out([(doc, len(text), None, print_, None, None, None)], kind, text)
+    def make():
+        last, build = [], Builder()
 
         def step(columns):
-            if columns is None:
-                if last:
-                    yield end("last", *last[0])
-                return
-            rows = []
-            for doc, text in zip(columns[0].to_pylist(), columns[1].to_pylist()):
-                text = text or ""
+            out = []
+            for doc, text, copy in zip(*(c.to_pylist() for c in columns)):
                 print_ = build.tree(text)
                 if last:
-                    rows.append(_row(build, *last[0], text, print_))
-                else:
-                    yield end("first", doc, text, print_)
-                last[:] = [(doc, text, print_)]
-                if len(rows) == 500:
-                    yield out(rows)
-                    rows = []
-            if rows:
-                yield out(rows)
-
-        return step
-
-    ordered = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    # equal ids all lie in one range partition
-    found = written(by_batch(ordered, make, ROW + ", _part bigint, _edge string, _text string", finish=True), "fingerprints")
-    names = list(KINDS)
-    ends = found.where(F.col("_edge").isNotNull()).select("_part", "_edge", "doc_id", "fingerprint", "_text")
-    firsts = ends.where("_edge = 'first'").select(F.col("_part").alias("_at"))
-    # the partition after each one, the first one after the last: one short row a partition
-    order = Window.orderBy("_at")
-    nexts = firsts.select("_at", F.coalesce(F.lead("_at").over(order), F.min("_at").over(Window.partitionBy())).alias("_next"))
-    pairs = ends.where("_edge = 'last'").join(nexts, F.col("_part") == F.col("_at")) \
-        .join(ends.where("_edge = 'first'").select(F.col("_part").alias("_to"), F.col("_text").alias("_following"), F.col("fingerprint").alias("_print")),
-              F.col("_next") == F.col("_to"))
-
-    def joiner():
-        def step(columns):
-            build = Builder()
-            return _columns([_row(build, d, t or "", p, f or "", q) for d, t, p, f, q in zip(*(c.to_pylist() for c in columns))])
+                    out.append(_row(build, *last[0], text, print_))
+                # after the copy comes another range
+                last[:] = [] if copy else [(doc, text, print_)]
+                if len(out) == 500:
+                    yield _columns(out)
+                    out = []
+            if out:
+                yield _columns(out)
 
         return step
 
-    closed = by_batch(pairs.select("doc_id", "_text", "fingerprint", "_following", "_print"), joiner, ROW)
-    return found.where(F.col("_edge").isNull()).select(*names).unionByName(closed)
+    ordered = rows.repartition("part").sortWithinPartitions("part", "copy", "doc_id", "text")
+    return by_batch(ordered.select("doc_id", "text", "copy"), make, ROW)
