@@ -102,7 +102,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, id_col: str = "d
     """Tokenize whole texts and write them to ``path``/volumes and ``path``/ranks.
 
     The frequencies are counted over all documents, in each task first; the driver gets one row per
-    vocabulary entry (its bound is the vocabulary's size).  Text is never shuffled; coded ids are, once.
+    vocabulary entry (its bound is the vocabulary's size).  Text is never shuffled; ids are, once.
     """
     vocabulary = Encoder(tokenizer).vocabulary
     wide = vocabulary > 0x10000
@@ -128,19 +128,12 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, id_col: str = "d
     rank_of = np.zeros(vocabulary, dtype=np.uint32)
     rank_of[ranks.astype(np.int64)] = np.arange(len(ranks), dtype=np.uint32)
 
-    def coder():
-        def step(columns):
-            controls, data = zip(*(coded(rank_of[np.frombuffer(x, kind)]) for x in columns[3].to_pylist()))
-            return {"doc_id": columns[0], "crc": columns[1], "n": columns[2], "controls": pa.array(controls, type=pa.binary()),
-                    "data": pa.array(data, type=pa.binary())}
-
-        return step
-
     def binder():
         part, kept, state = TaskContext.get().partitionId(), [], {"ids": 0, "volume": 0}
 
         def volume():
-            doc, n, controls, data = zip(*kept)
+            doc, n, coded_ = zip(*kept)
+            controls, data = zip(*coded_)
             head = np.zeros(1, dtype=HEADER)
             head[0] = (MAGIC, part, state["volume"], len(doc), sum(n), sum(map(len, controls)))
             blob = b"".join([head.tobytes(), np.array([d or 0 for d in doc], dtype="<i8").tobytes(),
@@ -155,17 +148,17 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, id_col: str = "d
                 if kept:
                     yield volume()
                 return
-            for doc, n, controls, data in zip(*(c.to_pylist() for c in columns)):
+            for doc, n, raw in zip(*(c.to_pylist() for c in columns)):
                 if kept and state["ids"] + n > volume_ids:
                     yield volume()
-                kept.append((doc, n, controls, data))
+                kept.append((doc, n, coded(rank_of[np.frombuffer(raw, kind)])))
                 state["ids"] += n
 
         return step
 
-    code = by_batch(ids, coder, "doc_id bigint, crc bigint, n bigint, controls binary, data binary")
+    # the ranges are sampled from the written table, and coding follows the shuffle, so that it runs once
     order = ["doc_id", "crc", "n"]
-    bound = by_batch(code.repartitionByRange(*order).sortWithinPartitions(*order, "data").select("doc_id", "n", "controls", "data"),
+    bound = by_batch(ids.repartitionByRange(*order).sortWithinPartitions(*order, "ids").select("doc_id", "n", "ids"),
                      binder, "volume binary", finish=True)
     # Spark's text writer writes a string's bytes as they are: one row, one file
     bound.select(F.col("volume").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(f"{path}/volumes")
