@@ -94,7 +94,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d and not sc.master.startswith("local["):
+    if not d and sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="ticklake-ckpt-", dir=os.environ.get("TICKLAKE_SCRATCH", "/tmp"))
