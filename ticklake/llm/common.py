@@ -22,7 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local["):
+    master = spark.conf.get("spark.master", "local")
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     found = tempfile.mkdtemp(prefix="ticklake-llm-")
     spark.conf.set("spark.checkpoint.dir", found)
