@@ -8,8 +8,8 @@ gets the footrule distance of every vector of the shard:
     footrule(q, v) = constant - 2 * sum over shared pivots of (length - max(place in q, place in v))
 
 (a missing pivot counts as standing at place ``length``).  The nearest share ``kept`` of a shard's distinct
-vectors, at least ``least``, are ranked again by the exact measure, the inner product in double precision;
-a shard returns its ``k`` best and the best of all shards are the answer.  Both numbers follow the shard,
+vectors, at least ``least``, and every vector with more than ``COPIES`` copies in the shard are ranked again
+by the exact measure, the inner product in double precision; a shard returns its ``k`` best and the best of all shards are the answer.  Both numbers follow the shard,
 so every row is indexed and work grows with the data.  Equal vectors of a shard are one entry that lists
 all its ids, so that copies cannot crowd out others.
 
@@ -34,7 +34,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ticklake.llm.common import by_batch, ship, written
 
-RESULT = "query_id bigint, rank int, vec_id bigint, score double"
+#: A vector with more copies than this in a shard can fill an answer by itself, so it is always reranked.
+COPIES = 4
 
 
 @dataclass
@@ -67,13 +68,27 @@ def permutations(vectors: np.ndarray, pivots: np.ndarray, length: int) -> np.nda
     return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, :length].astype(np.int16)
 
 
+def spread(points: np.ndarray, count: int) -> np.ndarray:
+    """``count`` of the points, each the least similar (by cosine) to those chosen before it: a dense clump in
+    the data gives few pivots, so that the lists of vectors outside it still tell them apart."""
+    if len(points) <= count:
+        return points
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    chosen, nearest = [0], unit @ unit[0]
+    while len(chosen) < count:
+        nearest[chosen[-1]] = np.inf
+        chosen.append(int(nearest.argmin()))
+        nearest = np.maximum(nearest, unit @ unit[chosen[-1]])
+    return points[chosen]
+
+
 def _dealt(df: DataFrame, name: str, parts: int) -> DataFrame:
     """Deal rows evenly, rows of one id too."""
     return df.withColumn(name, F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(parts)).cast("int"))
 
 
 def build(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", pivots: int = 256, length: int = 64,
-          shard_rows: int = 8192, kept: float = 0.1, least: int = 400) -> Index:
+          shard_rows: int = 8192, kept: float = 0.12, least: int = 800) -> Index:
     """Index every usable row.  The rows are shuffled once, to their shards."""
     ship(df.sparkSession)
     rows = written(_clean(df, id_col, vec_col), "vectors")
@@ -82,7 +97,7 @@ def build(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", piv
     rows = rows.where(F.size("v") == dims)
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * pivots).collect()  # bounded: 4 x pivots rows
     points = np.unique(_matrix([r.v for r in sample]), axis=0) if sample else np.zeros((0, dims))
-    points = points[np.random.default_rng(0).permutation(len(points))[:pivots]]
+    points = spread(points, pivots)
     length = min(length, len(points))
 
     def shard(frame: pd.DataFrame) -> pd.DataFrame:
@@ -107,9 +122,15 @@ class _Shard:
     def __init__(self, row: dict, dims: int):
         self.ids, self.ends = np.frombuffer(row["ids"], dtype=np.int64), np.frombuffer(row["ends"], dtype=np.int64)
         self.vectors = np.frombuffer(row["vectors"]).reshape(-1, dims)
-        self.rows, self.places = np.frombuffer(row["file_rows"], dtype=np.int32), np.frombuffer(row["file_places"], dtype=np.int16)
+        self.rows = np.frombuffer(row["file_rows"], dtype=np.int32).astype(np.intp)
+        self.places = np.frombuffer(row["file_places"], dtype=np.int16)
         self.files = np.concatenate([[0], np.frombuffer(row["file_ends"], dtype=np.int64)])
-        self.first = self.ids[np.concatenate([[0], self.ends[:-1]])]
+        begins = np.concatenate([[0], self.ends[:-1]])
+        self.first = self.ids[begins]
+        self.large = np.flatnonzero(self.ends - begins > COPIES)
+        self.single = self.ends - begins == 1
+        self.by_id = np.empty(len(begins), dtype=np.int64)  # place of each entry by its smallest id
+        self.by_id[np.argsort(self.first, kind="stable")] = np.arange(len(begins))
 
     def nearness(self, perm: np.ndarray, length: int) -> np.ndarray:
         """Sum over shared pivots of (length - larger place): the larger, the smaller the footrule distance."""
@@ -125,9 +146,8 @@ class _Shard:
         count = min(n, max(least, int(np.ceil(kept * n))))
         if count < n:
             # ties of the footrule by the smallest id of an entry, in one unique key
-            place = np.empty(n, dtype=np.int64)
-            place[np.argsort(self.first, kind="stable")] = np.arange(n)
-            found = np.argpartition(-near.astype(np.int64) * n + place, count - 1)[:count]
+            found = np.argpartition(self.by_id - near.astype(np.int64) * n, count - 1)[:count]
+            found = np.union1d(found, self.large)
         else:
             found = np.arange(n)
         scores = (self.vectors[found] * query).sum(axis=1)
@@ -135,8 +155,11 @@ class _Shard:
             limit = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
             keep = scores >= limit
             found, scores = found[keep], scores[keep]
-        ids, out = [], []
-        for entry, score in zip(found, scores):
+        alone = self.single[found]
+        ids, out = [self.first[found[alone]]], [scores[alone]]
+        if len(own := np.flatnonzero(ids[0] == query_id)):
+            ids, out = [np.delete(ids[0], own)], [np.delete(out[0], own)]
+        for entry, score in zip(found[~alone], scores[~alone]):
             own = self.ids[self.ends[entry - 1] if entry else 0:self.ends[entry]]
             at = np.searchsorted(own, query_id), np.searchsorted(own, query_id, side="right")
             own = np.concatenate([own[:min(at[0], k)], own[at[1]:at[1] + k]])[:k]
