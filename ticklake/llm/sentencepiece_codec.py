@@ -98,10 +98,12 @@ class Model:
         pairs = {p[i:i + 2] for p in self.id_of for i in range(len(p) - 1)}
         if any(a != SPACE and b == SPACE for a, b in pairs):
             raise ValueError("pieces with a space after another character are not supported")
+        self.neighbours = frozenset(a + b for a, b in pairs)
         self.pairs = np.array(sorted(ord(a) << 21 | ord(b) for a, b in pairs), dtype=np.int64)
         self.split = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+" if not any("\n" in p for p in self.id_of) else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         self.plain = [self._plain(p, k) for p, k in zip(self.pieces, self.kinds)]
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}  # of parts
+        self.cuts: dict[str, bytes] = {}  # of what parts are cut into
 
     def _hash_pieces(self) -> None:
         power = np.ones(self.longest + 1, dtype=np.uint64)
@@ -151,16 +153,16 @@ class Model:
 
     def _cut(self, part: str) -> list[str]:
         """Cut where no piece has the two neighbours side by side."""
-        if len(part) <= self.longest:
-            return [part]
+        if len(part) <= self.longest:  # a last character (as a rule punctuation) that no piece joins to the word
+            return [part] if len(part) < 2 or part[-2:] in self.neighbours else [part[:-1], part[-1]]
         codes = np.frombuffer(part.encode("utf-32-le"), dtype="<u4").astype(np.int64)
         pairs = codes[:-1] << 21 | codes[1:]
         at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
         cuts = [0, *(np.flatnonzero(self.pairs[at] != pairs) + 1).tolist(), len(part)]
         return [part[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def viterbi(self, parts: list[str]) -> list[list[int]]:
-        """Best ids of each part; all have the same length."""
+    def viterbi(self, parts: list[str]) -> list[bytes]:
+        """Best ids of each part (little-endian); all have the same length."""
         rows, length, most = len(parts), len(parts[0]), self.longest
         codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(rows, length)
         prefix = self.prefix_hashes(codes.astype(np.uint64))
@@ -189,35 +191,56 @@ class Model:
                 best[:, i + most] = total[row, choice]
                 back[:, i] = sizes[choice]
                 piece[:, i] = ids[row, k, choice]
-        out = []
+        # all rows go back together, one piece at a time
+        ids, count, at = np.zeros((rows, length), dtype="<u4"), np.zeros(rows, dtype=np.int64), np.full(rows, length)
+        unknown = np.zeros(rows, dtype=bool)
+        left = row
+        while len(left):
+            found = piece[left, at[left]]
+            unknown[left] |= found < 0
+            count[left] += 1
+            ids[left, length - count[left]] = np.maximum(found, 0)
+            at[left] -= back[left, at[left]]
+            left = left[at[left] > 0]
+        out = [ids[r, length - n:].tobytes() for r, n in enumerate(count.tolist())]
+        pieces = self.pieces
         for r, part in enumerate(parts):
-            i, ids = length, []
-            while i:
-                n, p = int(back[r, i]), int(piece[r, i])
-                if p < 0:
-                    ids.extend(reversed(self._fallback(part[i - 1])))
-                elif self.pieces[p] != part[i - n:i]:
-                    raise ValueError(f"hash collision of {part[i - n:i]!r} and piece {p}")
-                else:
-                    ids.append(p)
-                i -= n
-            out.append(ids[::-1])
+            if unknown[r]:
+                out[r] = self._with_fallback(part, back[r], piece[r])
+            elif "".join([pieces[i] for i in ids[r, length - count[r]:].tolist()]) != part:
+                raise ValueError(f"hash collision in {part!r}")
         return out
 
+    def _with_fallback(self, part: str, back: np.ndarray, piece: np.ndarray) -> bytes:
+        """Ids of a part that has characters which are no piece."""
+        i, ids = len(part), []
+        while i:
+            n, p = int(back[i]), int(piece[i])
+            if p < 0:
+                ids.extend(reversed(self._fallback(part[i - 1])))
+            elif self.pieces[p] != part[i - n:i]:
+                raise ValueError(f"hash collision in {part!r}")
+            else:
+                ids.append(p)
+            i -= n
+        return np.array(ids[::-1], dtype="<u4").tobytes()
+
     def _learn(self, parts: list[str]) -> None:
         """Encode parts that are not in the cache."""
-        small: dict[str, bytes] = {}
         pieces = {part: self._cut(part) for part in parts}
-        by_length: dict[int, list[str]] = {}
-        for x in {x for cut in pieces.values() for x in cut}:
-            by_length.setdefault(len(x), []).append(x)
+        wanted = {x for cut in pieces.values() for x in cut}
+        if len(self.cuts) + len(wanted) > CACHED_PARTS:
+            self.cuts = {}
+        known, by_length = self.cuts, {}
+        for x in wanted:
+            if x not in known:
+                by_length.setdefault(len(x), []).append(x)
         for length, own in by_length.items():
             step = max(1, CELLS // (length * self.longest))
             for i in range(0, len(own), step):
-                for x, ids in zip(own[i:i + step], self.viterbi(own[i:i + step])):
-                    small[x] = np.array(ids, dtype="<u4").tobytes()
+                known.update(zip(own[i:i + step], self.viterbi(own[i:i + step])))
         for part, cut in pieces.items():
-            self.cache[part] = small[cut[0]] if len(cut) == 1 else b"".join([small[x] for x in cut])
+            self.cache[part] = known[cut[0]] if len(cut) == 1 else b"".join([known[x] for x in cut])
 
     def parts(self, text: str) -> list[str]:
         shown = text.replace(" ", SPACE)
