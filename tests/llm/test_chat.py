@@ -40,6 +40,17 @@ def test_order_out_of_turn_and_cycles(spark):
     assert [got[3, "a", 0].stage, got[3, "b", 1].stage] == [0, 0] and got[3, "a", 0].errors == "dependency: missing"
 
 
+def test_long_chains_and_branches(spark):
+    n = 150
+    chain = [(9, f"c{i:03d}", i, "f", '{"a":1}', [f"c{i + 1:03d}"] if i < n - 1 else None) for i in range(n)]  # logged last first
+    # two branches that join, behind each other, and a call that waits for itself
+    tree = [(8, "a", 0, "f", '{"a":1}', ["b", "c"]), (8, "b", 1, "f", '{"a":1}', ["d", "e"]), (8, "c", 2, "f", '{"a":1}', ["e"]),
+            (8, "d", 3, "f", '{"a":1}', ["e"]), (8, "e", 4, "f", '{"a":1}', None), (8, "s", 5, "f", '{"a":1}', ["s"]), (8, "t", 6, "f", '{"a":1}', ["s", "a"])]
+    got = rows(spark, chain + tree)
+    assert [got[9, f"c{i:03d}", i].stage for i in range(n)] == list(range(n - 1, -1, -1))
+    assert {k[1]: r.stage for k, r in got.items() if k[0] == 8} == {"a": 3, "b": 2, "c": 1, "d": 1, "e": 0, "s": None, "t": None}
+
+
 def test_validation(spark):
     args = {"wrong": '{"a":"1"}', "ok_number": '{"a":1,"b":2}', "missing": "{}", "unknown": '{"a":1,"zz":0}', "broken": "{", "null": None,
             "list": "[1]", "repeated": '{"a":1,"a":2}', "empty": ""}

@@ -8,10 +8,10 @@ DataFrame functions only.  The inputs are three tables:
 
 Linking: results are reduced to the first one (by turn, then content) of each identifier, and hash-joined with
 the calls on (conversation, identifier).  Ordering: a conversation whose dependencies all point to earlier
-calls is in topological order as logged, so all its calls have stage 0.  Only the other conversations are
-peeled: in each round the calls without an open dependency get the next stage.  Sorting a conversation by
-(stage, turn, call_id) is a topological order in either case; no conversation is gathered in one task for
-it.  The rounds are as many as the longest chain of a conversation logged out of order.  Validation and
+calls is in topological order as logged, so all its calls have stage 0.  In the other conversations a
+call's stage is the longest chain of dependencies below it, found by pointer jumping (:func:`_levels`).
+Sorting a conversation by (stage, turn, call_id) is a topological order in either case; no conversation is
+gathered in one task for it.  Validation and
 canonical JSON (sorted keys, no spaces) use Spark's variant type.
 
 Defined cases: a null call_id links to nothing (``unidentified``); null conversation ids are one conversation;
@@ -22,8 +22,6 @@ stage; null or broken arguments are ``arguments: no JSON object``; empty tables
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ticklake.llm.common import written
@@ -47,23 +45,46 @@ def stages(calls: DataFrame) -> DataFrame:
     late = edges.where("dep_turn > turn or (dep_turn = turn and dep >= call_id)").select("key").distinct()
     open_ = written(known.select("key", "call_id").join(late, "key", "left_semi"), "chat-open")
     edges = written(edges.where("dep_turn is not null").join(late, "key", "left_semi").select("key", "call_id", "dep"), "chat-late-edges")
-    done, stage, left = [], 0, open_.count()
-    while left:
-        waiting = edges.join(open_.select("key", F.col("call_id").alias("dep")), ["key", "dep"], "left_semi").select("key", "call_id").distinct()
-        rest = written(open_.join(waiting, ["key", "call_id"], "left_semi"), "chat-open")
-        still = rest.count()
-        if still == left:  # only cycles, and what waits for them
-            break
-        done.append(open_.join(rest, ["key", "call_id"], "left_anti").withColumn("stage", F.lit(stage).cast("bigint")))
-        open_, left, stage = rest, still, stage + 1
-    cyclic = open_.withColumn("stage", F.lit(None).cast("bigint")).withColumn("problem", F.lit("dependency: cycle"))
-    staged = reduce(DataFrame.unionByName, [d.withColumn("problem", F.lit(None).cast("string")) for d in done], cyclic if left else cyclic.limit(0))
+    staged = _levels(open_, edges).select("key", "call_id", F.col("level").alias("stage"),
+                                          F.when(F.col("level").isNull(), "dependency: cycle").alias("problem"))
     found = staged.join(missing.withColumn("gone", F.lit("dependency: missing")), ["key", "call_id"], "full")
     # a call with a missing dependency in a conversation that needed no peeling has no stage yet: 0
     stage_ = F.when(F.col("problem").isNull(), F.coalesce("stage", F.lit(0).cast("bigint")))
     return written(found.select("key", "call_id", stage_.alias("stage"), F.concat_ws("; ", "problem", "gone").alias("problem")), "chat-stages")
 
 
+def _levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(key, call_id, level): the longest chain of dependencies below each call; null in or behind a cycle.
+
+    Calls with one dependency point at it; the pointers jump over each other, so a chain takes rounds
+    logarithmic in its length.  A call with several dependencies gets its level when all of them have theirs.
+    """
+    counted = edges.groupBy("key", "call_id").agg(F.count_distinct("dep").alias("n"), F.min("dep").alias("dep"))
+    state = written(nodes.join(counted, ["key", "call_id"], "left").select(
+        "key", "call_id", F.when(F.col("n").isNull(), F.lit(0).cast("bigint")).alias("level"), F.when(F.col("n") == 1, F.col("dep")).alias("ptr"),
+        F.lit(1).cast("bigint").alias("w"), F.lit(False).alias("moved")), "chat-levels")
+    rounds = state.count().bit_length() + 2  # by then every pointer outside a cycle has arrived
+    while True:
+        for _ in range(rounds):
+            ends = state.select("key", F.col("call_id").alias("ptr"), F.col("level").alias("its_level"), F.col("ptr").alias("its_ptr"), F.col("w").alias("its_w"))
+            jumping = state.where("level is null and ptr is not null").drop("moved").join(ends, ["key", "ptr"]).select(
+                "key", "call_id", (F.col("its_level") + F.col("w")).alias("level"), F.coalesce("its_ptr", "ptr").alias("ptr"),
+                (F.col("w") + F.when(F.col("its_ptr").isNotNull(), F.col("its_w")).otherwise(0)).alias("w"),
+                (F.col("its_level").isNotNull() | F.col("its_ptr").isNotNull()).alias("moved"))
+            rest = state.where("level is not null or ptr is null").withColumn("moved", F.lit(False))
+            state = written(rest.unionByName(jumping), "chat-levels")
+            if state.where("moved").isEmpty():
+                break
+        branches = state.where("level is null and ptr is null").select("key", "call_id").join(edges, ["key", "call_id"])
+        ready = branches.join(state.select("key", F.col("call_id").alias("dep"), F.col("level").alias("its")), ["key", "dep"]) \
+            .groupBy("key", "call_id").agg(F.count(F.lit(1)).alias("n"), F.count("its").alias("known"), F.max("its").alias("top")) \
+            .where("n = known").select("key", "call_id", (F.col("top") + 1).alias("found"))
+        ready = written(ready, "chat-branches")
+        if ready.isEmpty():
+            return state
+        state = written(state.join(ready, ["key", "call_id"], "left").withColumn("level", F.coalesce("level", "found")).drop("found"), "chat-levels")
+
+
 def _json_type(variant: Column) -> Column:
     kind = F.schema_of_variant(variant)
     out = F.when(kind.startswith("DECIMAL"), F.when(F.regexp_like(kind, F.lit(r"^DECIMAL\([0-9]+,0\)$")), "integer").otherwise("number"))

@@ -27,17 +27,20 @@ edges as (
   from (select distinct conv_id, own, turn, unnest(deps) as dep from calls) e
   left join (select distinct conv_id, own, turn from calls) d on d.conv_id = e.conv_id and d.own = e.dep),
 late as (select distinct conv_id from edges where dep_turn > turn or (dep_turn = turn and dep >= own)),
+sizes as (select conv_id, count(*) as size from calls where conv_id in (select conv_id from late) group by 1),
 paths as (
   select conv_id, own as origin, own as cur, 0 as hops from calls where conv_id in (select conv_id from late)
   union
   select p.conv_id, p.origin, e.dep, p.hops + 1 from paths p join edges e on e.conv_id = p.conv_id and e.own = p.cur
-  where e.dep_turn is not null and p.hops < 20),
-stage as (select conv_id, origin, max(hops) as hops from paths group by 1, 2),
+  join sizes on sizes.conv_id = p.conv_id
+  where e.dep_turn is not null and p.hops < sizes.size),
+stage as (select p.conv_id, origin, max(hops) as hops, max(hops) >= any_value(size) as endless
+          from paths p join sizes on sizes.conv_id = p.conv_id group by 1, 2),
 gone as (select distinct conv_id, own from edges where dep_turn is null),
 shaped as (
   select calls.conv_id, calls.own as call_id, calls.turn, name, calls.text, words,
-         case when hops >= 20 then null else coalesce(hops, 0) end as stage,
-         coalesce(hops, 0) >= 20 as cyclic, gone.own is not null as missing, results.text as result, results.call_id is not null as linked,
+         case when endless then null else coalesce(hops, 0) end as stage,
+         coalesce(endless, false) as cyclic, gone.own is not null as missing, results.text as result, results.call_id is not null as linked,
          coalesce(results.results, 0) > 1 as repeated
   from calls left join stage on stage.conv_id = calls.conv_id and stage.origin = calls.own
   left join gone on gone.conv_id = calls.conv_id and gone.own = calls.own
