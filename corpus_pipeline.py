@@ -16,21 +16,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ticklake.llm import langid, packing, pii, simhash
 from ticklake.llm.common import written
 
-#: Documents whose nearest profile fits worse than this are in no language learned (all-noise texts are near 0).
-LEAST_SCORE = 0.1
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents in a language learned from the labelled ones.
 
-    Rejected: null texts, texts without letters, and texts whose score is below ``LEAST_SCORE``.
+    Rejected: null texts, texts without letters, and texts that score below what training texts with as many
+    distinct n-grams score at least (noise in the same letters, languages not learned).
     """
     names = docs.columns
     kept = docs.select(*[F.col(c).alias(f"kept_{i}") for i, c in enumerate(names)])
-    model = langid.train(docs.where(~langid.held_out()))
-    found = langid.predict(kept, model, kept.columns, f"kept_{names.index('text')}")
+    learned = docs.where(~langid.held_out())
+    model = langid.train(learned)
+    least = langid.least_scores(learned, model) if model else None
+    found = langid.predict(kept, model, kept.columns, f"kept_{names.index('text')}", least=least)
     if model:
-        found = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+        found = found.where(F.col("lang_pred") != langid.UNKNOWN)
     else:  # nothing to learn from: no document can be judged
         found = found.where(F.col(f"kept_{names.index('text')}").isNotNull())
     return found.select(*[F.col(f"kept_{i}").alias(c) for i, c in enumerate(names)])

@@ -1,3 +1,6 @@
+import base64
+import random
+
 import corpus_pipeline
 from ticklake.llm import langid, pii, simhash
 
@@ -52,3 +55,31 @@ def test_stages_on_odd_rows(spark):
         empty = stage(spark, empty, SF)
         assert empty.count() == 0
     assert langid.UNKNOWN == "und"
+
+
+FINNISH = ("Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+           "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.")
+POLISH = ("Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem "
+          "i powinni postępować wobec innych w duchu braterstwa.")
+ITALIAN = ("Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza e devono "
+           "agire gli uni verso gli altri in spirito di fratellanza.")
+ENGLISH = ("All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act "
+           "towards one another in a spirit of brotherhood.")
+
+
+def test_language_rejects_latin_noise(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(COLUMNS)
+    rnd = random.Random(5)
+
+    def words(letters, low, high, n):
+        return " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(low, high))) for _ in range(n))
+
+    az = "abcdefghijklmnopqrstuvwxyz"
+    noise = [words(az, 2, 10, n) for n in (30, 100, 400)] + [words(az, 1, 3, 200), words(az, 20, 40, 30), words("abcdef", 3, 9, 200)]
+    noise += [base64.b64encode(rnd.randbytes(n)).decode() for n in (120, 400, 4000)] + [FINNISH, POLISH, ITALIAN, "Все люди рождаются свободными"]
+    clean = ["ok", "Hello world", "the cat sat on the mat with the dog", ENGLISH]
+    odd = [(-1 - i, t, None, "s", len(t)) for i, t in enumerate(noise + clean)]
+    kept = corpus_pipeline.language(spark, docs.unionByName(spark.createDataFrame(odd, docs.schema)), "")
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert [t[:30] for i, t, *_ in odd if i in ids] == [t[:30] for t in clean]
+    assert {r.doc_id for r in docs.select("doc_id").collect()} <= ids  # every labelled document stays

@@ -10,6 +10,10 @@ cannot collide.  Training counts are summed in each task before they are shuffle
 each language are found in two steps (by hash bucket, then of those), so that no task holds all n-grams of
 a language.  The model that goes to the tasks has at most ``profile`` rows a language.
 
+Any text in the same letters shares short n-grams with every profile, so noise scores well above 0: random
+Latin words 0.15 to 0.3 in long texts, and more the shorter the text.  :func:`least_scores` learns from the training texts,
+and from pieces of them, what a text with so many distinct n-grams scores at least.
+
 Defined cases: a text that is null or has no letter gives ``und`` with score 0, and so does every text if
 nothing was learned; null labels are not learned; long texts are counted in slices; equal counts are
 ranked by the n-gram's characters; other columns are ignored.
@@ -17,6 +21,8 @@ ranked by the n-gram's characters; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -30,6 +36,10 @@ PROFILE = 400
 BUCKETS = 64
 SLICE = 1_000_000
 FLUSH = 1_000_000
+#: The least score is this quantile of the training scores, times a margin for texts that were not trained on.
+LOW = 0.01
+MARGIN = 0.65
+BINS = 1000
 
 
 @lru_cache(maxsize=1)
@@ -153,25 +163,97 @@ class Classifier:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Label and score: 1 minus the distance's share of the largest possible one."""
+        return self.judged(text)[:2]
+
+    def judged(self, text: str | None) -> tuple[str, float, int]:
+        """Label, score and the number of distinct n-grams."""
         keys, counts = gram_counts(text)
         if not len(keys) or not self.langs:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, len(keys)
         top = ranked(keys, counts, self.profile)
         at = np.minimum(np.searchsorted(self.keys, top), len(self.keys) - 1)
         at = np.where(self.keys[at] == top, at, len(self.keys))
         ranks = self.ranks[:, at]
         far = np.where(ranks < 0, self.profile, np.abs(ranks - np.arange(len(top)))).sum(axis=1)
         best = int(far.argmin())
-        return self.langs[best], 1.0 - float(far[best]) / (len(top) * self.profile)
+        return self.langs[best], 1.0 - float(far[best]) / (len(top) * self.profile), len(keys)
+
+
+def size_class(n: int) -> int:
+    """Half octave of a number of distinct n-grams (at least 1)."""
+    return (n * n).bit_length() - 1
+
+
+def pieces(text: str) -> list[str]:
+    """A text, and of it one run each of 1, 2, 4, ... words, at a place that the text's hash chooses."""
+    words = text[:SLICE].split()
+    out, k, seed = [text], 1, zlib.crc32(text[:SLICE].encode("utf-8", "surrogatepass"))
+    while k < len(words):
+        begin = seed * (2 * k + 1) % (len(words) - k + 1)
+        out.append(" ".join(words[begin:begin + k]))
+        k *= 2
+    return out
+
+
+def least_scores(df: DataFrame, model: dict[str, list[int]], text_col: str = "text", lang_col: str = "lang", profile: int = PROFILE) -> dict[int, float]:
+    """The least score of a text in a learned language, by :func:`size_class` of its number of distinct n-grams.
+
+    Every training text counts with its own score and those of its :func:`pieces`, so that short texts are
+    measured by short ones.  Scores are counted in ``BINS`` steps per task, so one row a class and step is shuffled.
+    A class of fewer than 1 / ``LOW`` scores has no such quantile and is left out.
+    """
+    def make():
+        classifier = Classifier(model, profile)
+        seen: Counter = Counter()
+
+        def step(columns):
+            if columns is None:
+                keys = sorted(seen)
+                return {"size": np.array([k[0] for k in keys], dtype=np.int64), "bin": np.array([k[1] for k in keys], dtype=np.int64),
+                        "n": np.array([seen[k] for k in keys], dtype=np.int64)} if keys else None
+            for text in columns[0].to_pylist():
+                for piece in pieces(text or ""):
+                    _, score, n = classifier.judged(piece)
+                    if n:
+                        seen[size_class(n), int(score * BINS)] += 1
+
+        return step
+
+    labelled = df.where(F.col(lang_col).isNotNull()).select(text_col)
+    counted = by_batch(labelled, make, "size bigint, bin bigint, n bigint", finish=True).groupBy("size", "bin").agg(F.sum("n").alias("n"))
+    below = Window.partitionBy("size").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    ranked_ = counted.withColumn("to", F.sum("n").over(below)).withColumn("all", F.sum("n").over(Window.partitionBy("size")))
+    low = ranked_.where((F.col("all") >= 1 / LOW) & (F.col("to") > F.col("all") * LOW)).groupBy("size").agg(F.min("bin").alias("bin"))
+    return {r["size"]: MARGIN * r["bin"] / BINS for r in low.collect()}  # a row a class
 
 
-def predict(df: DataFrame, model: dict[str, list[int]], id_cols: list[str], text_col: str = "text", profile: int = PROFILE) -> DataFrame:
-    """``id_cols`` with lang_pred and score.  The text is the only input of a prediction.  No shuffle."""
+def least_score(least: dict[int, float], n: int) -> float:
+    """The least score for ``n`` distinct n-grams; a class that was left out takes the lower one of its neighbours.
+
+    A score is a mean over the n-grams, so its spread grows as they get fewer, and the least score falls by 1 / sqrt(n).
+    """
+    if not least:
+        return 0.0
+    size = size_class(n)
+    near = [max((k for k in least if k <= size), default=None), min((k for k in least if k >= size), default=None)]
+    return min(least[k] for k in near if k is not None) * (1 - n ** -0.5)
+
+
+def predict(df: DataFrame, model: dict[str, list[int]], id_cols: list[str], text_col: str = "text", profile: int = PROFILE,
+            least: dict[int, float] | None = None) -> DataFrame:
+    """``id_cols`` with lang_pred and score.  The text is the only input of a prediction.  No shuffle.
+
+    With ``least`` (see :func:`least_scores`), a text that scores below it is in no learned language: ``und``, with its score.
+    """
     def make():
         classifier = Classifier(model, profile)
 
+        def judged(text):
+            lang, score, n = classifier.judged(text)
+            return (UNKNOWN if least and n and score < least_score(least, n) else lang), score
+
         def step(columns):
-            found = [classifier.predict(t) for t in columns[-1].to_pylist()]
+            found = [judged(t) for t in columns[-1].to_pylist()]
             return {**dict(zip(id_cols, columns)), "lang_pred": pa.array([f[0] for f in found], type=pa.string()),
                     "score": np.array([f[1] for f in found], dtype=np.float64)}
 
