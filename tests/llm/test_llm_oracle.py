@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(oracle.SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("conversations", "pages"):
+    for t in ("benchmark", "conversations", "documents", "pages"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     want = con.execute(oracle.SQL[name])
     names = [d[0] for d in want.description]

@@ -3,6 +3,9 @@
 _DIGITS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((cast('0x' || substr(h, {5 * k + 1}, 5) as bigint) >> {s}) & 31)::int + 1, 1)"
                       for k in range(8) for s in (15, 10, 5, 0))
 
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+         "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
 SQL: dict[str, str] = {
     "op1_chat_format": """
 with recursive c as (
@@ -76,5 +79,20 @@ select page_id, payload_bytes, {_DIGITS} as payload_digest,
        case when page_id = least then 'response' else 'revisit' end as record_type,
        case when page_id = least then null else least end as refers_to
 from f
+""",
+    "op11_decontamination": f"""
+with d as (select doc_id, row_number() over () as r, {_WORDS} as w from documents),
+b as (select item_id, {_WORDS} as w from benchmark where item_id is not null),
+cut as (select item_id, w, least(len(w), 10) as n from b where len(w) > 0),
+bw as (select distinct item_id, n, array_to_string(w[i + 1:i + n], ' ') as win
+       from (select item_id, w, n, unnest(range(0, len(w) - n + 1)) as i from cut)),
+dw as (select r, n, i, array_to_string(w[i + 1:i + n], ' ') as win
+       from (select r, w, n, unnest(range(0, len(w) - n + 1)) as i from d, (select distinct n from bw))),
+hit as (select r, n, i, item_id from dw join bw using (n, win)),
+places as (select r, count(distinct p) as n_hit from (select r, unnest(range(i, i + n)) as p from (select distinct r, n, i from hit)) group by r),
+names as (select r, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct r, item_id::varchar as item from hit) group by r)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+       n_hit is not null as contaminated
+from d left join places using (r) left join names using (r)
 """,
 }

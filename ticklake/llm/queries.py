@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ticklake.llm import ann, chat, langid, merkle, packing, pii, sentencepiece_codec, simhash, token_files, warc
+from ticklake.llm import (ann, chat, decontamination, langid, merkle, packing, pii, sentencepiece_codec, simhash, token_files,
+                          warc)
 from ticklake.llm.common import scratch, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -67,6 +68,12 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(index, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        "contaminated")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_warc_revisits, op3_pii, op4_sentencepiece, op5_language_id, op6_packing, op7_simhash, op8_token_files,
-    op9_merkle, op10_permutation_index)}
+    op9_merkle, op10_permutation_index, op11_decontamination)}
