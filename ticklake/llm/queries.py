@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ticklake.llm import (ann, chat, decontamination, langid, merkle, packing, pii, sentencepiece_codec, simhash, token_files,
+from ticklake.llm import (ann, chat, decontamination, langid, manifest, merkle, packing, pii, sentencepiece_codec, simhash, token_files,
                           warc)
 from ticklake.llm.common import scratch, table
 
@@ -74,6 +74,10 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "contaminated")
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.tampering(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_warc_revisits, op3_pii, op4_sentencepiece, op5_language_id, op6_packing, op7_simhash, op8_token_files,
-    op9_merkle, op10_permutation_index, op11_decontamination)}
+    op9_merkle, op10_permutation_index, op11_decontamination, op12_manifest)}
