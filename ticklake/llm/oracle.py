@@ -140,5 +140,40 @@ begun as (select doc_id, leaf, subroots.d as subroot, root.d as root, leaves.g,
   from leaves join subroots using (g), root)
 select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, back as folded_root, back = root as verified
 from {_walk(_walk('begun', 'l', 'g', 'idx'), 't', 'zero', 'g')} x
+""",
+    "op13_repair": f"""
+with recursive told as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    {_crc("(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))")} % 20 as kind from conversations),
+rows_ as (select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(case when kind = 3 then [0, 1] else [0] end) as copy
+  from told where kind <> 0),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from rows_),
+seen as (select *, row_number() over (partition by conv_id, role, text order by i) as nth, lag(role[1]) over (partition by conv_id order by i) || role[1] as pair,
+    regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*\\z', 1) as final from placed),
+r as (select *, case when final = '' then 1 when nth > 1 then 2 when final not in ('.', '!', '?') then 3 else 0 end as fault from seen),
+dp as (
+  select conv_id, 0::bigint as i, {{'c': 0, 'a': '', 'r': []::varchar[]}} as z, {{'c': 1000000000, 'a': '', 'r': []::varchar[]}} as s,
+         {{'c': 2, 'a': 'I', 'r': ['user:']}} as u, {{'c': 4, 'a': 'II', 'r': ['user:', 'assistant:']}} as a
+  from (select distinct conv_id from r)
+  union all
+  select conv_id, i, z, s, u, list_min([a, {{'c': u.c + 2, 'a': u.a || 'I', 'r': list_append(u.r, 'assistant:')}}]) as a
+  from (select conv_id, i, z, s, list_min([u, {", ".join(f"{{'c': {x}.c + 2, 'a': {x}.a || 'I', 'r': list_append({x}.r, 'user:')}}" for x in "zsa")}]) as u, a
+  from (select dp.conv_id, r.i,
+    {{'c': z.c + 3, 'a': z.a || 'D', 'r': z.r}} as z,
+    list_min([{{'c': s.c + 3, 'a': s.a || 'D', 'r': s.r}},
+      {{'c': z.c + (fault = 3)::int + case when fault in (1, 2) or role[1] <> 's' then 1000000000 else 0 end, 'a': z.a || 'K', 'r': list_append(z.r, role || ':' || text)}}]) as s,
+    list_min([{{'c': u.c + 3, 'a': u.a || 'D', 'r': u.r}}, {", ".join(
+      f"{{'c': {x}.c + (fault = 3)::int + case when fault in (1, 2) or role[1] <> 'u' then 1000000000 else 0 end, 'a': {x}.a || 'K', 'r': list_append({x}.r, role || ':' || text)}}, "
+      f"{{'c': {x}.c + 2 + (fault = 3)::int + case when fault in (1, 2) then 1000000000 else 0 end, 'a': {x}.a || 'R', 'r': list_append({x}.r, 'user:' || text)}}" for x in "zsa")}]) as u,
+    list_min([{{'c': a.c + 3, 'a': a.a || 'D', 'r': a.r}},
+      {{'c': u.c + (fault = 3)::int + case when fault in (1, 2) or role[1] <> 'a' then 1000000000 else 0 end, 'a': u.a || 'K', 'r': list_append(u.r, role || ':' || text)}},
+      {{'c': u.c + 2 + (fault = 3)::int + case when fault in (1, 2) then 1000000000 else 0 end, 'a': u.a || 'R', 'r': list_append(u.r, 'assistant:' || text)}}]) as a
+    from dp join r on r.conv_id is not distinct from dp.conv_id and r.i = dp.i + 1))),
+best as (select conv_id, list_min([z, a]) as b from (select *, max(i) over (partition by conv_id) as n from dp) where i = n),
+found as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 1) as blank, count(*) filter (fault = 2) as duplicate,
+    count(*) filter (fault = 3) as truncated, count(*) filter (pair is not null and pair not in ('su', 'ua', 'au')) as illegal from r group by conv_id)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+  coalesce(b.c, 0)::bigint as cost, coalesce(b.a, '') as audit, sha256(coalesce(array_to_string(b.r, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) o left join found f on f.conv_id is not distinct from o.conv_id left join best t on t.conv_id is not distinct from o.conv_id
 """,
 }

@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ticklake.llm import (ann, chat, decontamination, langid, manifest, merkle, packing, pii, sentencepiece_codec, simhash, token_files,
-                          warc)
+from ticklake.llm import (ann, chat, decontamination, langid, manifest, merkle, packing, pii, repair,
+                          sentencepiece_codec, simhash, token_files, warc)
 from ticklake.llm.common import scratch, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -78,6 +78,10 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.tampering(table(spark, sf_dir, "documents"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))[0]
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_warc_revisits, op3_pii, op4_sentencepiece, op5_language_id, op6_packing, op7_simhash, op8_token_files,
-    op9_merkle, op10_permutation_index, op11_decontamination, op12_manifest)}
+    op9_merkle, op10_permutation_index, op11_decontamination, op12_manifest, op13_repair)}
