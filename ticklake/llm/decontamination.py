@@ -13,7 +13,7 @@ least one: no shared span of ``span`` words is missed, while a text keeps two ha
    classes get their list of items worked out once.  A passage that many documents share with many items is
    never expanded into all pairs.  Classes are told apart by 128 bits of hashes of their members.
 
-Texts are known by their MD5, so copies are looked up and extended once.  Nothing is collected but the window
+Texts are known by their MD5, so copies are extended once.  Nothing is collected but the window
 lengths in use (ten at most).  An item of fewer than ``span`` words is one window.  Items of 5 to 9 words narrow
 the windows to the shortest one's length; items of 1 to 4 words add a pass over all runs of their length.
 
@@ -59,15 +59,20 @@ def _least(df: DataFrame, gram: int, span: int) -> DataFrame:
     return grams.withColumn("_least", _windows(F.col("_grams"), span - gram + 1, F.array_min))
 
 
-def _runs(df: DataFrame, gram: int, span: int, keep: list[str]) -> DataFrame:
-    """One row per kept hash: ``value`` and the windows ``first`` to ``last`` (by first word) that keep it."""
+def _runs(df: DataFrame, gram: int, span: int, longest: int, keep: list[str]) -> DataFrame:
+    """One row per kept hash: ``value``, the windows ``first`` to ``last`` (by first word) that keep it, and the words from
+    there on that a benchmark window may hold.  The list of runs is a column before it is exploded, so that the words are
+    cut out only of the rows that a broadcast join lets pass, and no row carries its whole text.  It is exploded with
+    ``inline_outer``: for ``inline``, Spark would infer a filter on its size and work out the whole list twice, from the
+    text, in nested loops.  A text without runs so gives a row of nulls, which joins nothing."""
     least = _least(df, gram, span)
     starts = least.withColumn("_starts", F.filter(
         _upto(F.size("_least") - 1), lambda i: (i == 0) | (F.get("_least", i) != F.get("_least", i - F.lit(1)))))
-    runs = F.transform("_starts", lambda i, n: F.struct(
+    runs = starts.withColumn("_runs", F.transform("_starts", lambda i, n: F.struct(
         F.get("_least", i).alias("value"), i.alias("first"),
-        (F.coalesce(F.get("_starts", n + F.lit(1)), F.size("_least")) - 1).alias("last")))
-    return starts.select(*keep, F.inline(runs))
+        (F.coalesce(F.get("_starts", n + F.lit(1)), F.size("_least")) - 1).alias("last"))))
+    return runs.select(*keep, "_words", F.inline_outer("_runs")) \
+        .select(*keep, "value", "first", "last", F.slice("_words", F.col("first") + 1, F.col("last") - F.col("first") + longest).alias("_words"))
 
 
 class Benchmark:
@@ -88,7 +93,7 @@ class Benchmark:
         least = min([n for n in self.lengths if n >= GRAM], default=span)
         self.passes = [(GRAM, least)] if any(n >= GRAM for n in self.lengths) else []
         self.passes += [(n, n) for n in self.lengths if n < GRAM]
-        kept = [_runs(own.where(F.size("_words") >= s), g, s, []).select("value") for g, s in self.passes]
+        kept = [_runs(own.where(F.size("_words") >= s), g, s, span, []).select("value").where("value is not null") for g, s in self.passes]
         none = items.sparkSession.createDataFrame([], "value bigint")
         self.values = written(_union(kept, none).distinct(), "benchmark-hashes")
 
@@ -103,26 +108,16 @@ def _key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def occurrences(docs: DataFrame, benchmark: Benchmark, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, start, length, window): every occurrence of a benchmark window in the distinct texts."""
-    texts = docs.select(_key(F.col(text_col)).alias("key"), F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    listed = texts.select("key", "doc", words(F.col("text")).alias("_words"))
-    none = listed.sparkSession.createDataFrame([], listed.select("key", "doc").schema).selectExpr(
-        "key", "doc", "cast(0 as bigint) as value", "0 as first", "0 as last")
-    runs = _union([_runs(listed, g, s, ["key", "doc"]) for g, s in benchmark.passes], none)
-    hits = runs.join(benchmark.values, "value", "left_semi") \
-        .groupBy("key", "first", "last").agg(F.min("doc").alias("doc")) \
-        .groupBy("key").agg(F.min("doc").alias("one"), F.collect_list(F.struct("first", "last")).alias("runs"))
-    hits = written(hits, "benchmark-hits").withColumnRenamed("key", "hit")
-    # one of the documents that share a text is extended for all of them
-    found = texts.join(hits, (F.col("key") == F.col("hit")) & F.col("doc").eqNullSafe(F.col("one"))) \
-        .select("key", words(F.col("text")).alias("_words"), "runs")
-    places = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["first"], r["last"]))))
-    placed = found.select("key", "_words", places.alias("_places"))
-    spans = _union([placed.select("key", F.lit(n).alias("length"), F.inline(F.transform(
-        F.filter("_places", lambda i: i + F.lit(n) <= F.size("_words")),
-        lambda i: F.struct(i.alias("start"), F.array_join(F.slice("_words", i + F.lit(1), n), " ").alias("window")))))
-        for n in benchmark.lengths], found.sparkSession.createDataFrame([], "key binary, length int, start int, window string"))
+def occurrences(docs: DataFrame, benchmark: Benchmark, text_col: str = "text") -> DataFrame:
+    """(key, start, length, window): every occurrence of a benchmark window in the distinct texts.  No text is shuffled."""
+    listed = docs.select(_key(F.col(text_col)).alias("key"), words(F.col(text_col)).alias("_words"))
+    none = docs.sparkSession.createDataFrame([], "key binary, value bigint, first int, last int, _words array<string>")
+    runs = _union([_runs(listed, g, s, max(benchmark.lengths), ["key"]) for g, s in benchmark.passes], none)
+    hits = runs.join(benchmark.values, "value", "left_semi").select("key", "first", "last", "_words").distinct()
+    spans = _union([hits.select("key", F.lit(n).alias("length"), F.inline(F.transform(
+        _upto(F.least(F.col("last") - F.col("first"), F.size("_words") - n)),
+        lambda i: F.struct((F.col("first") + i).alias("start"), F.array_join(F.slice("_words", i + F.lit(1), n), " ").alias("window")))))
+        for n in benchmark.lengths], docs.sparkSession.createDataFrame([], "key binary, length int, start int, window string"))
     known = benchmark.windows.select("length", "window").distinct()
     return spans.join(known, ["length", "window"], "left_semi").select("key", "start", "length", "window").distinct()
 
@@ -163,7 +158,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                   item_id_col: str = "item_id", item_text_col: str = "text", span: int = 10) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items, contaminated) of every row; ``items`` is the sorted list of item ids."""
     benchmark = Benchmark(items, item_id_col, item_text_col, span)
-    found = written(occurrences(docs, benchmark, id_col, text_col), "benchmark-occurrences")
+    found = written(occurrences(docs, benchmark, text_col), "benchmark-occurrences")
     hit = shared_spans(found).groupBy("key").agg(F.sum(F.col("end") - F.col("begin")).cast("bigint").alias("n_hit"))
     texts, listed = items_of(found, benchmark)
     lists = listed.groupBy("same").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
