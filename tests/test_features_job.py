@@ -1,4 +1,5 @@
 """The streaming feature job against the batch job: gaps, replays, gates."""
+import glob
 import json
 import re
 from datetime import datetime as dt, timedelta
@@ -10,6 +11,7 @@ from ticklake.operators.indicators import clean_features
 from ticklake.operators.timegrid import fill_grid
 from ticklake.plans.features import CANDLE, feature_frame
 from ticklake.schemas import L2_COLS
+from ticklake.sources import epochs
 from ticklake.streaming import features_job
 from ticklake.streaming.features_job import FeatureJob
 
@@ -39,7 +41,7 @@ def batch_result(spark, rows):
 
 
 def same(spark, sink, want):
-    rows = spark.read.parquet(sink).collect()
+    rows = features_job.read_table(spark, sink).collect()
     got = {(r.symbol, r.datetime): r for r in rows}
     assert len(rows) == len(got) and set(got) == set(want)
     for k, row in want.items():
@@ -121,3 +123,65 @@ def test_store_and_sink_are_read_by_date(spark, tmp_dir):
     state = j._state(spark, "manual", 1)
     plan = j._tail(spark, state)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[\(date#\d+ >= 2025-01-04\)", plan)
+
+
+def test_files_stay_few_and_replays_stay_exact_over_many_epochs(spark, tmp_dir, monkeypatch):
+    """Merged runs, a bounded number of files, replaced epochs, all rows once."""
+    fan = 3
+    monkeypatch.setattr(epochs, "FAN", fan)
+    table = epochs.EpochTable(spark, f"{tmp_dir}/t")
+    rows = bars(range(0, 80), "X") + bars(range(0, 80), "Y", 4)
+    for n in range(40):
+        part = frame(spark, rows[2 * n:2 * n + 2] + rows[80 + 2 * n:82 + 2 * n]).coalesce(1)
+        if n % 20 == 7:  # an epoch that wrote something else before its replay
+            table.replace(frame(spark, rows[:3]).coalesce(1), f"r-{n}", "r", n)
+        table.replace(part, f"r-{n}", "r", n)
+        table.merge(lambda e: e["run"] != "r" or e["at"] <= n - 2)
+    got = table.read().select("symbol", "datetime", "close").collect()
+    assert sorted((r[0], r[1], r[2]) for r in got) == sorted((r[0], r[1], r[5]) for r in rows)
+    levels = [e["level"] for e in table.entries()]
+    assert max(levels) == 3 and len(levels) <= (max(levels) + 1) * fan
+    files = glob.glob(f"{tmp_dir}/t/epoch=*/date=*/*.parquet")
+    assert len(files) <= len(levels) + epochs.GRACE * fan
+    assert table.read(dt(2025, 1, 2).date()) is None
+
+
+def test_a_write_that_fails_is_never_read(spark, tmp_dir):
+    table = epochs.EpochTable(spark, f"{tmp_dir}/t")
+    table.replace(frame(spark, bars([0])), "a-0", "a", 0)
+    table._write(frame(spark, bars([1])), "a-1")  # written, not listed
+    assert table.read().count() == 1
+    table.replace(frame(spark, bars([1, 2])), "a-1", "a", 1)
+    assert table.read().count() == 3
+    table.drop(["a-0"])
+    assert table.read().count() == 2 and table.read(but=["a-1"]) is None
+
+
+def test_a_new_run_drops_what_the_one_before_did_not_commit(spark, tmp_dir, monkeypatch):
+    rows = bars(range(0, 90))
+    j = job(tmp_dir, history_ready=True)
+    j.bootstrap(frame(spark, rows[:40]))
+    j.process(frame(spark, rows[40:60]), 0)
+    state = FeatureJob._write_state
+    monkeypatch.setattr(FeatureJob, "_write_state", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError):
+        j.process(frame(spark, rows[60:75]), 1)
+    monkeypatch.setattr(FeatureJob, "_write_state", state)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "another")
+    try:
+        job(tmp_dir, history_ready=True).process(frame(spark, rows[50:]), 0)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    same(spark, f"{tmp_dir}/sink", batch_result(spark, rows))
+
+
+def test_a_new_symbol_reads_its_own_rows(spark, tmp_dir):
+    x, y = bars(range(0, 60)), bars(range(0, 60), "Y", 4)
+    j = job(tmp_dir, history_ready=True)
+    j.bootstrap(frame(spark, x[:30]))
+    j.process(frame(spark, x[30:50]), 0)
+    j.process(frame(spark, x[50:] + y), 1)
+    same(spark, f"{tmp_dir}/sink", {**batch_result(spark, x), **batch_result(spark, y)})
+    state = spark.createDataFrame([("X", T0 + timedelta(minutes=59)), ("Y", None)], "symbol string, hwm timestamp_ntz")
+    plan = j._tail(spark, state)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(symbol,Y)" in plan or "In(symbol, [Y])" in plan

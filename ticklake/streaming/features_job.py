@@ -16,21 +16,28 @@ Each micro-batch (``foreachBatch``) of newly merged bars:
    cleaning) -- the same code as the batch job -- and writes the rows newer
    than the mark.
 
-Replays: store, sink and state are partitioned by the epoch that wrote them
-and an epoch overwrites its own partitions.  Its inputs are what earlier
-epochs left, so a batch that is run again, after any of its writes, gives
-the same rows in the same places.
-
-Reads: store and sink are partitioned by ``date`` and read with a literal
-lower bound.  What is known per symbol (mark, last history row, first live
-row, ready) is a table of one row per symbol, written anew by each epoch.
+Replays: store, sink and state are tables of epochs (``sources.epochs``) and
+an epoch replaces what it wrote.  Its inputs are what earlier epochs left, so
+a batch that is run again, after any of its writes, gives the same rows in
+the same places.  The state is written last; a new run (another checkpoint)
+drops from the sink what an interrupted one wrote without its state.
+
+Files: epochs that cannot be replayed any more are merged into daily runs
+sorted by symbol and time, so the number of files grows with the days and
+the logarithm of the epochs, not with symbols times epochs.
+
+Reads: ``read_table`` gives the rows of store or sink.  A batch reads the
+days from its look-back on; symbols that have published nothing, or that
+have a gap before those days, read their own rows only.  What is known per
+symbol (mark, last history row, first live row, ready) is a table of one row
+per symbol, written anew by each epoch.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,22 +50,25 @@ from ticklake.operators.timegrid import fill_grid
 from ticklake.plans.features import CANDLE, feature_frame
 from ticklake.schemas import L2_COLS
 from ticklake.session import checkpoint_dir, setting
-from ticklake.sources.files import path_exists
+from ticklake.sources.epochs import EpochTable
 from ticklake.sources.kafka import to_messages
 
 ROW = ["symbol", "datetime", *CANDLE, *L2_COLS]
 STATE = "symbol string, hwm timestamp_ntz, history_max timestamp_ntz, live_min timestamp_ntz, ready boolean"
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+#: Symbols that a read may name one by one; more of them are joined.
+NAMED = 1000
 
 
-def _replace(df: DataFrame, path: str, epoch: str, by: Sequence[str] = ("symbol", "date")) -> None:
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a store or sink, with their ``date`` and ``epoch``; none if nothing is written yet."""
+    return EpochTable(spark, path).read()
+
+
+def _replace(df: DataFrame, path: str, epoch: str, run: str | None = None, at: int | None = None) -> None:
     """Write the rows of an epoch in place of what it wrote before."""
-    out = df.withColumn("date", F.to_date("datetime")) if "date" in by else df
-    (out.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*by, "epoch").parquet(path))
+    EpochTable(df.sparkSession, path).replace(df, epoch, run, at)
 
 
 class FeatureJob:
@@ -86,6 +96,8 @@ class FeatureJob:
         rows = max([period_steps(p, step) - 1 + lookback_rows(params_for(params or {}, p)) for p in self.cp]
                    + [period_steps(p, step) for p in self.lp]) + 2
         self.lookback_us = rows * parse_duration_us(step)
+        #: Whether a new run goes on where the last one stopped (see ``rewind``): symbols that were ready stay so.
+        self.handed_over = False
         #: Of the last batch: rows of input, new, dirty, cleaned, output; duration_s; lag_s of the newest output row.
         self.counts: dict[str, float] = {}
 
@@ -100,32 +112,63 @@ class FeatureJob:
 
     # the table of symbols
 
+    def _marks(self, spark: SparkSession) -> EpochTable:
+        return EpochTable(spark, self.sink + "_state", by_date=False)
+
     def _write_state(self, state: DataFrame, run: str, epoch: int) -> None:
-        (state.withColumn("run", F.lit(run)).withColumn("at", F.lit(epoch)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("run", "at").parquet(self.sink + "_state"))
+        """Write the state that an epoch leaves; with it the epoch is done."""
+        table = self._marks(state.sparkSession)
+        done = table.manifest()["notes"].get("committed", {})
+        table.replace(state, f"{run}-{epoch}", run, epoch, {"committed": done | {run: epoch}})
 
     def _state(self, spark: SparkSession, run: str, epoch: int) -> DataFrame:
         """State as the epochs before this one left it: that of this run, else of the latest one before it."""
-        if not path_exists(spark, self.sink + "_state"):
-            return spark.createDataFrame([], STATE)
-        written = spark.read.parquet(self.sink + "_state")
-        steps = written.select("run", "at").distinct().collect()  # partition values: one per epoch kept
-        own = [r["at"] for r in steps if r["run"] == run and r["at"] < epoch]
+        table = self._marks(spark)
+        steps = table.entries()
+        columns = [c.split()[0] for c in STATE.split(", ")]
+        own = [e for e in steps if e["run"] == run and e["at"] < epoch]
         if own:
-            pick = (F.col("run") == run) & (F.col("at") == max(own))
-            return written.where(pick).select(*[c.split()[0] for c in STATE.split(", ")])
+            last = max(own, key=lambda e: e["at"])["name"]
+            return table.read(but=[e["name"] for e in steps if e["name"] != last]).select(*columns)
+        others = [e["name"] for e in steps if e["run"] != run]
+        if not others:
+            return spark.createDataFrame([], STATE)
         # a run's first epoch goes on from the marks of the runs before; whether
-        # its live rows reach what is stored is to be seen again
-        return written.where(F.col("run") != run).groupBy("symbol").agg(F.max("hwm").alias("hwm"), F.max("history_max").alias("_h")) \
+        # its live rows reach what is stored is to be seen again, unless no
+        # row was left out in between
+        ready = F.max("ready") if self.handed_over else F.lit(False)
+        return table.read(but=[e["name"] for e in steps if e["name"] not in others]) \
+            .groupBy("symbol").agg(F.max("hwm").alias("hwm"), F.max("history_max").alias("_h"), ready.alias("ready")) \
             .select("symbol", "hwm", F.greatest("_h", "hwm").alias("history_max"), F.lit(None).cast("timestamp_ntz").alias("live_min"),
-                    F.lit(False).alias("ready"))
+                    "ready")
+
+    def open_gaps(self, spark: SparkSession) -> DataFrame:
+        """(symbol, history_max, live_min) of the symbols whose history does not reach their live rows, as of the last epoch."""
+        table = self._marks(spark)
+        steps = [e["name"] for e in table.entries()]
+        if not steps:
+            return spark.createDataFrame([], STATE).select("symbol", "history_max", "live_min")
+        return table.read(but=steps[:-1]).where("not ready and history_max is not null and live_min is not null") \
+            .select("symbol", "history_max", "live_min")
 
     def _forget(self, spark: SparkSession, run: str, epoch: int) -> None:
-        """Drop this run's state of epochs that cannot be replayed any more."""
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for old in range(max(0, epoch - 12), epoch - 2):
-            p = hadoop(f"{self.sink}_state/run={run}/at={old}")
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        """Drop states that no replay needs: older ones of this run, and all but the last of other runs.  A state holds
+        all symbols, so the last one tells all; the history's is kept beside it."""
+        table = self._marks(spark)
+        steps = table.entries()
+        others = [e["name"] for e in steps if e["run"] not in (run, "history")]
+        table.drop([e["name"] for e in steps if e["run"] == run and e["at"] < epoch - 2] + others[:-1])
+
+    def _drop_uncommitted(self, spark: SparkSession, run: str) -> None:
+        """Drop from the sink what other runs wrote in an epoch whose state they did not write."""
+        done = self._marks(spark).manifest()["notes"].get("committed", {})
+        sink = EpochTable(spark, self.sink)
+        sink.drop([e["name"] for e in sink.entries()
+                   if e["run"] not in (None, run) and e["at"] > done.get(e["run"], -1)])
+
+    def _merge(self, spark: SparkSession, run: str, epoch: int) -> None:
+        for path in (self.store, self.sink):
+            EpochTable(spark, path).merge(lambda e: e["run"] != run or e["at"] <= epoch - 2)
 
     # one micro-batch
 
@@ -142,22 +185,24 @@ class FeatureJob:
         self.counts = {"input": seen.get["rows"]}
         if span["first"] is None:
             return
-        stored = self._stored(spark, epoch)
+        state = self._state(spark, run, epoch_id)
+        self._drop_uncommitted(spark, run)
+        stored = self._stored(spark, epoch, span["first"].date())
         fresh = batch.dropDuplicates(["symbol", "datetime"])
         if stored is not None:
-            near = stored.where((F.col("date") >= F.lit(span["first"].date())) & (F.col("date") <= F.lit(span["last"].date())))
+            near = stored.where(F.col("date") <= F.lit(span["last"].date()))
             fresh = fresh.join(near.select("symbol", "datetime"), ["symbol", "datetime"], "left_anti")
         # what is written must not depend on itself: cut before writing
         fresh = fresh.checkpoint(eager=True)
         self.counts["new"] = fresh.count()
-        _replace(fresh, self.store, epoch)
-        state = self._advance(spark, batch, self._state(spark, run, epoch_id), epoch)
+        _replace(fresh, self.store, epoch, run, epoch_id)
+        state = self._advance(spark, batch, state, epoch, run, epoch_id)
         publishing = state.join(batch.select("symbol").distinct(), "symbol", "left_semi").where("ready")
         features = self._features(spark, publishing)
         if features is not None:
             new = only_new(features, publishing.select("symbol", "hwm")).checkpoint(eager=True)
             self.counts["output"] = new.count()
-            _replace(new, self.sink, epoch)
+            _replace(new, self.sink, epoch, run, epoch_id)
             marks = new.groupBy("symbol").agg(F.max("datetime").alias("_new"))
             state = state.join(marks, "symbol", "left").withColumn("hwm", F.greatest("hwm", "_new")).drop("_new")
             if self.publish is not None:
@@ -167,14 +212,15 @@ class FeatureJob:
                 self.counts["lag_s"] = (datetime.now(timezone.utc).replace(tzinfo=None) - newest).total_seconds()
         self._write_state(state, run, epoch_id)
         self._forget(spark, run, epoch_id)
+        self._merge(spark, run, epoch_id)
         self.counts["duration_s"] = time.monotonic() - began
 
-    def _stored(self, spark: SparkSession, epoch: str) -> DataFrame | None:
-        """The store without what this epoch wrote before it was run again."""
-        stored = _read(spark, self.store)
-        return None if stored is None else stored.where(F.col("epoch") != epoch).select(*ROW, "date")
+    def _stored(self, spark: SparkSession, epoch: str, since: date | None = None) -> DataFrame | None:
+        """The store from a day on, without what this epoch wrote before it was run again."""
+        stored = EpochTable(spark, self.store).read(since, but=[epoch])
+        return None if stored is None else stored.select(*ROW, "date")
 
-    def _advance(self, spark: SparkSession, batch: DataFrame, state: DataFrame, epoch: str) -> DataFrame:
+    def _advance(self, spark: SparkSession, batch: DataFrame, state: DataFrame, epoch: str, run: str, epoch_id: int) -> DataFrame:
         """State with this batch's first live rows; ready where the history reaches them."""
         live = batch.groupBy("symbol").agg(F.min("datetime").alias("_live"))
         state = state.join(live, "symbol", "full_outer").withColumn("live_min", F.least("live_min", "_live")).drop("_live")
@@ -192,40 +238,58 @@ class FeatureJob:
             "symbol", F.col("datetime").cast("timestamp_ntz").alias("datetime"), *CANDLE, *L2_COLS) \
             .join(waiting.select("symbol"), "symbol", "left_semi").dropDuplicates(["symbol", "datetime"]).checkpoint(eager=True)
         top = newer.groupBy("symbol").agg(F.max("datetime").alias("_top"))
-        known = self._stored(spark, epoch + "-history")
-        if since["since"] is not None:
-            known = known.where(F.col("date") >= F.lit(since["since"].date()))
-        new = newer.join(known.select("symbol", "datetime"), ["symbol", "datetime"], "left_anti").checkpoint(eager=True)
-        _replace(new, self.store, epoch + "-history")
+        known = self._stored(spark, epoch + "-history", since["since"] and since["since"].date())
+        if known is not None:
+            newer = newer.join(known.select("symbol", "datetime"), ["symbol", "datetime"], "left_anti").checkpoint(eager=True)
+        _replace(newer, self.store, epoch + "-history", run, epoch_id)
         state = state.join(top, "symbol", "left").withColumn("history_max", F.greatest("history_max", "_top")).drop("_top")
         return state.withColumn("ready", F.col("ready") | good).checkpoint(eager=True)
 
+    def _of(self, spark: SparkSession, symbols: DataFrame) -> DataFrame:
+        """All stored rows of some symbols; files sorted by symbol are read in part."""
+        rows = EpochTable(spark, self.store).read().select(*ROW, "date")
+        names = [r["symbol"] for r in symbols.select("symbol").limit(NAMED + 1).collect()]
+        if len(names) <= NAMED:
+            return rows.where(F.col("symbol").isin(names))
+        return rows.join(symbols.select("symbol"), "symbol", "left_semi")
+
     def _tail(self, spark: SparkSession, symbols: DataFrame) -> DataFrame:
-        """Stored rows of the symbols from the last one at or before ``hwm - lookback`` on."""
+        """Stored rows of the symbols from the last one at or before ``hwm - lookback`` on; of a symbol that has
+        published nothing, all."""
         lo = F.col("hwm") - F.expr(f"INTERVAL {self.lookback_us} MICROSECONDS")
         marks = symbols.select("symbol", lo.alias("_lo"))
-        stored = spark.read.parquet(self.store).select(*ROW, "date")
         bound = marks.agg(F.min("_lo").alias("lo"), F.count(F.when(F.col("_lo").isNull(), 1)).alias("open")).first()
-        if bound["lo"] is None or bound["open"]:  # a symbol that has published nothing: its whole history
-            near = stored
-        else:
-            near = stored.where(F.col("date") >= F.lit(bound["lo"].date()))
-
+        parts = []
+        if bound["open"]:
+            parts.append(self._of(spark, marks.where("_lo is null")).select(*ROW))
         whole = F.lit(True)
         for c in CANDLE + L2_COLS:
             whole = whole & F.col(c).isNotNull()
 
-        def anchors(rows):
-            return rows.join(marks, "symbol").where((F.col("datetime") <= F.col("_lo")) & whole) \
+        def anchored(rows, marks):
+            found = rows.join(marks, "symbol").where((F.col("datetime") <= F.col("_lo")) & whole) \
                 .groupBy("symbol").agg(F.max("datetime").alias("_anchor"))
-
-        found = anchors(near)
-        missing = marks.where(F.col("_lo").isNotNull()).join(found, "symbol", "left_anti")
-        if near is not stored and not missing.isEmpty():  # a gap before the first day read: look further back
-            near = stored
-            found = anchors(near)
-        return near.join(marks.join(found, "symbol", "left"), "symbol") \
-            .where(F.col("_lo").isNull() | (F.col("datetime") >= F.coalesce("_anchor", "_lo"))).select(*ROW)
+            return found, lambda own: rows.join(own.join(found, "symbol", "left"), "symbol") \
+                .where(F.col("datetime") >= F.coalesce("_anchor", "_lo")).select(*ROW)
+
+        if bound["lo"] is not None:
+            known = marks.where("_lo is not null")
+            near = EpochTable(spark, self.store).read(bound["lo"].date())
+            if near is None:
+                missing = known
+            else:
+                found, tail = anchored(near.select(*ROW, "date"), known)
+                missing = known.join(found, "symbol", "left_anti")
+            if not missing.isEmpty():  # a gap before the first day read: these symbols look further back
+                missing = missing.checkpoint(eager=True)
+                parts.append(anchored(self._of(spark, missing), missing)[1](missing))
+                known = known.join(missing.select("symbol"), "symbol", "left_anti")
+            if near is not None:
+                parts.append(tail(known))
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
 
     def _features(self, spark: SparkSession, symbols: DataFrame) -> DataFrame | None:
         if symbols.isEmpty():
