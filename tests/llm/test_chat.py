@@ -37,7 +37,7 @@ def test_order_out_of_turn_and_cycles(spark):
     assert [got[1, k, t].stage for t, k in enumerate("abc")] == [2, 1, 0]
     assert [got[2, k, t].stage for t, k in enumerate("abcd")] == [None, None, None, 0]
     assert got[2, "c", 2].errors == "dependency: cycle"
-    assert [got[3, "a", 0].stage, got[3, "b", 1].stage] == [0, 0] and got[3, "a", 0].errors == "dependency: missing"
+    assert [got[3, "a", 0].stage, got[3, "b", 1].stage] == [0, 1] and got[3, "a", 0].errors == "dependency: missing"
 
 
 def test_long_chains_and_branches(spark):
@@ -51,6 +51,20 @@ def test_long_chains_and_branches(spark):
     assert {k[1]: r.stage for k, r in got.items() if k[0] == 8} == {"a": 3, "b": 2, "c": 1, "d": 1, "e": 0, "s": None, "t": None}
 
 
+def test_every_conversation_is_levelled(spark):
+    chain = [(c, k, t, "f", '{"a":1}', deps) for c in (1, 2) for t, (k, deps) in enumerate((("c", None), ("b", ["c"]), ("a", ["b"])))]
+    late = [(2, "x", 7, "f", '{"a":1}', ["y"]), (2, "y", 8, "f", '{"a":1}', None)]
+    got = rows(spark, chain + late)
+    assert [got[c, k, t].stage for c in (1, 2) for t, k in enumerate("cba")] == [0, 1, 2, 0, 1, 2]
+
+
+def test_a_cycle_beside_many_layers(spark):
+    layers = [(5, f"{side}{n:02d}", n, "f", '{"a":1}', [f"l{n - 1:02d}", f"r{n - 1:02d}"] if n else None) for n in range(12) for side in "lr"]
+    got = rows(spark, layers + [(5, "p", 50, "f", '{"a":1}', ["q"]), (5, "q", 51, "f", '{"a":1}', ["p"])])
+    assert all(r.stage == t for (_, k, t), r in got.items() if k[0] in "lr")
+    assert got[5, "p", 50].stage is None and got[5, "q", 51].errors == "dependency: cycle"
+
+
 def test_validation(spark):
     args = {"wrong": '{"a":"1"}', "ok_number": '{"a":1,"b":2}', "missing": "{}", "unknown": '{"a":1,"zz":0}', "broken": "{", "null": None,
             "list": "[1]", "repeated": '{"a":1,"a":2}', "empty": ""}

@@ -57,6 +57,19 @@ def test_stages_on_odd_rows(spark):
     assert langid.UNKNOWN == "und"
 
 
+def test_near_duplicates_are_told_apart_by_id_and_text(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "ABCD"}
+    names = ["gone", "again", "component_id", "fp", "digest", "_id", "first"]
+    rows = [(i, texts[k], "en", "s", 1, *names) for i, k in ((1, "A"), (2, "A"), (2, "B"), (3, "C"), (3, "D"))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{n} string" for n in names))
+    out = corpus_pipeline.near_duplicates(spark, df, SF)
+    assert out.columns == df.columns
+    assert sorted((r.doc_id, r.text[0]) for r in out.collect()) == [(1, "A"), (2, "B"), (3, "C"), (3, "D")]
+    twice = df.unionByName(df.withColumn("gone", df.doc_id.cast("string")))  # the least row of a repeated one stays
+    assert {(r.doc_id, r.text[0], r.gone) for r in corpus_pipeline.near_duplicates(spark, twice, SF).collect()} == {
+        (1, "A", "1"), (2, "B", "2"), (3, "C", "3"), (3, "D", "3")}
+
+
 FINNISH = ("Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
            "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.")
 POLISH = ("Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem "

@@ -7,11 +7,9 @@ DataFrame functions only.  The inputs are three tables:
 *   schemas: name, params (map of parameter to JSON type), required (array of parameters).
 
 Linking: results are reduced to the first one (by turn, then content) of each identifier, and hash-joined with
-the calls on (conversation, identifier).  Ordering: a conversation whose dependencies all point to earlier
-calls is in topological order as logged, so all its calls have stage 0.  In the other conversations a
-call's stage is the longest chain of dependencies below it, found by pointer jumping (:func:`_levels`).
-Sorting a conversation by (stage, turn, call_id) is a topological order in either case; no conversation is
-gathered in one task for it.  Validation and
+the calls on (conversation, identifier).  Ordering: a call's stage is the longest chain of dependencies below it,
+found by pointer jumping (:func:`_levels`).  Sorting a conversation by (stage, turn, call_id) is a topological
+order; no conversation is gathered in one task for it.  Validation and
 canonical JSON (sorted keys, no spaces) use Spark's variant type.
 
 Defined cases: a null call_id links to nothing (``unidentified``); null conversation ids are one conversation;
@@ -37,44 +35,48 @@ def _key() -> Column:
 
 def stages(calls: DataFrame) -> DataFrame:
     """(key, call_id, stage, problem) of the calls whose stage is not 0 or whose dependencies have a problem."""
-    known = calls.where("call_id is not null").groupBy("key", "call_id").agg(F.min("turn").alias("turn"))
+    known = calls.where("call_id is not null").select("key", "call_id").distinct()
     edges = calls.where("call_id is not null").select("key", "call_id", F.explode("depends_on").alias("dep")).where("dep is not null").distinct()
-    its = known.select("key", F.col("call_id").alias("dep"), F.col("turn").alias("dep_turn"))
-    edges = written(edges.join(known, ["key", "call_id"]).join(its, ["key", "dep"], "left"), "chat-edges")
-    missing = edges.where("dep_turn is null").select("key", "call_id").distinct()
-    late = edges.where("dep_turn > turn or (dep_turn = turn and dep >= call_id)").select("key").distinct()
-    open_ = written(known.select("key", "call_id").join(late, "key", "left_semi"), "chat-open")
-    edges = written(edges.where("dep_turn is not null").join(late, "key", "left_semi").select("key", "call_id", "dep"), "chat-late-edges")
-    staged = _levels(open_, edges).select("key", "call_id", F.col("level").alias("stage"),
-                                          F.when(F.col("level").isNull(), "dependency: cycle").alias("problem"))
+    its = known.select("key", F.col("call_id").alias("dep"), F.lit(True).alias("there"))
+    edges = written(edges.join(its, ["key", "dep"], "left"), "chat-edges")
+    missing = edges.where("there is null").select("key", "call_id").distinct()
+    staged = _levels(edges.where("there").select("key", "call_id", "dep"))
+    staged = staged.where("level is null or level > 0").select("key", "call_id", F.col("level").alias("stage"),
+                                                               F.when(F.col("level").isNull(), "dependency: cycle").alias("problem"))
     found = staged.join(missing.withColumn("gone", F.lit("dependency: missing")), ["key", "call_id"], "full")
-    # a call with a missing dependency in a conversation that needed no peeling has no stage yet: 0
     stage_ = F.when(F.col("problem").isNull(), F.coalesce("stage", F.lit(0).cast("bigint")))
     return written(found.select("key", "call_id", stage_.alias("stage"), F.concat_ws("; ", "problem", "gone").alias("problem")), "chat-stages")
 
 
-def _levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(key, call_id, level): the longest chain of dependencies below each call; null in or behind a cycle.
+def _levels(edges: DataFrame) -> DataFrame:
+    """(key, call_id, level) of the calls in edges: the longest chain of dependencies below each; null in or behind a cycle.
 
     Calls with one dependency point at it; the pointers jump over each other, so a chain takes rounds
-    logarithmic in its length.  A call with several dependencies gets its level when all of them have theirs.
+    logarithmic in its length.  A call with several dependencies gets its level when all of them have theirs; each
+    layer of such calls is one more run of rounds.  A pointer that still moves after the rounds that the largest
+    conversation can need is in or behind a cycle: it is taken out, so that it is not moved again.
     """
-    counted = edges.groupBy("key", "call_id").agg(F.count_distinct("dep").alias("n"), F.min("dep").alias("dep"))
+    counted = edges.groupBy("key", "call_id").agg(F.count(F.lit(1)).alias("n"), F.min("dep").alias("dep"))
+    nodes = edges.select("key", "call_id").unionByName(edges.select("key", F.col("dep").alias("call_id"))).distinct()
     state = written(nodes.join(counted, ["key", "call_id"], "left").select(
         "key", "call_id", F.when(F.col("n").isNull(), F.lit(0).cast("bigint")).alias("level"), F.when(F.col("n") == 1, F.col("dep")).alias("ptr"),
         F.lit(1).cast("bigint").alias("w"), F.lit(False).alias("moved")), "chat-levels")
-    rounds = state.count().bit_length() + 2  # by then every pointer outside a cycle has arrived
+    largest = state.groupBy("key").count().agg(F.max("count")).first()[0] or 0
+    rounds = largest.bit_length() + 1  # by then every pointer outside a cycle has arrived
     while True:
         for _ in range(rounds):
             ends = state.select("key", F.col("call_id").alias("ptr"), F.col("level").alias("its_level"), F.col("ptr").alias("its_ptr"), F.col("w").alias("its_w"))
             jumping = state.where("level is null and ptr is not null").drop("moved").join(ends, ["key", "ptr"]).select(
                 "key", "call_id", (F.col("its_level") + F.col("w")).alias("level"), F.coalesce("its_ptr", "ptr").alias("ptr"),
-                (F.col("w") + F.when(F.col("its_ptr").isNotNull(), F.col("its_w")).otherwise(0)).alias("w"),
+                (F.col("w") + F.when(F.col("its_level").isNull() & F.col("its_ptr").isNotNull(), F.col("its_w")).otherwise(0)).alias("w"),
                 (F.col("its_level").isNotNull() | F.col("its_ptr").isNotNull()).alias("moved"))
             rest = state.where("level is not null or ptr is null").withColumn("moved", F.lit(False))
             state = written(rest.unionByName(jumping), "chat-levels")
-            if state.where("moved").isEmpty():
+            if state.where("moved and level is null").isEmpty():
                 break
+        else:
+            endless = F.col("moved") & F.col("level").isNull()
+            state = written(state.withColumn("ptr", F.when(~endless, F.col("ptr"))), "chat-levels")
         branches = state.where("level is null and ptr is null").select("key", "call_id").join(edges, ["key", "call_id"])
         ready = branches.join(state.select("key", F.col("call_id").alias("dep"), F.col("level").alias("its")), ["key", "dep"]) \
             .groupBy("key", "call_id").agg(F.count(F.lit(1)).alias("n"), F.count("its").alias("known"), F.max("its").alias("top")) \

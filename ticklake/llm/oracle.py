@@ -59,20 +59,19 @@ results as (
          count(*) over (partition by conv_id, before) as results
   from c where role = 'user' and turn >= 1),
 edges as (
-  select e.conv_id, e.own, e.turn, e.dep, d.turn as dep_turn
-  from (select distinct conv_id, own, turn, unnest(deps) as dep from calls) e
-  left join (select distinct conv_id, own, turn from calls) d on d.conv_id = e.conv_id and d.own = e.dep),
-late as (select distinct conv_id from edges where dep_turn > turn or (dep_turn = turn and dep >= own)),
-sizes as (select conv_id, count(*) as size from calls where conv_id in (select conv_id from late) group by 1),
+  select e.conv_id, e.own, e.dep, d.own is not null as there
+  from (select distinct conv_id, own, unnest(deps) as dep from calls) e
+  left join (select distinct conv_id, own from calls) d on d.conv_id = e.conv_id and d.own = e.dep),
+sizes as (select conv_id, count(*) as size from calls group by 1),
 paths as (
-  select conv_id, own as origin, own as cur, 0 as hops from calls where conv_id in (select conv_id from late)
+  select conv_id, own as origin, own as cur, 0 as hops from calls
   union
   select p.conv_id, p.origin, e.dep, p.hops + 1 from paths p join edges e on e.conv_id = p.conv_id and e.own = p.cur
   join sizes on sizes.conv_id = p.conv_id
-  where e.dep_turn is not null and p.hops < sizes.size),
+  where e.there and p.hops < sizes.size),
 stage as (select p.conv_id, origin, max(hops) as hops, max(hops) >= any_value(size) as endless
           from paths p join sizes on sizes.conv_id = p.conv_id group by 1, 2),
-gone as (select distinct conv_id, own from edges where dep_turn is null),
+gone as (select distinct conv_id, own from edges where not there),
 shaped as (
   select calls.conv_id, calls.own as call_id, calls.turn, name, calls.text, words,
          case when endless then null else coalesce(hops, 0) end as stage,

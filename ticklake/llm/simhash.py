@@ -30,7 +30,7 @@ import itertools
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ticklake.llm.common import by_batch, written
 from ticklake.llm.components import components
@@ -65,16 +65,22 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * counts > total).tobytes(), "big")
 
 
+def text_digest(text: Column) -> Column:
+    """What tells the texts of rows that share an id apart."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row as a signed 64-bit integer.  No shuffle."""
+    """(doc_id, digest, fp): the digest of every row's text and its fingerprint as a signed 64-bit integer.  No shuffle."""
     def make():
         def step(columns):
             found = [fingerprint(t, shingle, seed) for t in columns[1].to_pylist()]
-            return {"doc_id": columns[0], "fp": np.array(found, dtype=np.uint64).view(np.int64)}
+            return {"doc_id": columns[0], "digest": columns[2], "fp": np.array(found, dtype=np.uint64).view(np.int64)}
 
         return step
 
-    return by_batch(df.select(F.col(id_col).cast("bigint"), F.col(text_col)), make, "doc_id bigint, fp bigint")
+    return by_batch(df.select(F.col(id_col).cast("bigint"), F.col(text_col), text_digest(F.col(text_col)).alias("_digest")), make,
+                    "doc_id bigint, digest binary, fp bigint")
 
 
 def outside(fp: np.ndarray, block: int) -> np.ndarray:
@@ -176,14 +182,15 @@ def links(classes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp, component_id) of every row; component_id is the smallest id reachable over links."""
+    """(doc_id, fp, component_id, digest, component) of every row; component_id is the smallest id reachable over links.
+    Where ids repeat, several components may have the same smallest id: ``component`` tells them apart."""
     rows = written(fingerprints(df, id_col, text_col, shingle, seed), "fingerprints")
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
     star = components(links(classes))
     members = star.unionByName(star.select(F.col("b").alias("a"), "b").distinct())
     joined = members.join(classes, F.col("a") == F.col("fp")).select("fp", "b", "least")
-    roots = joined.groupBy("b").agg(F.min("least").alias("component"))
-    linked = written(joined.join(roots, "b").select(F.col("fp").alias("_fp"), "component"), "linked-classes")
-    per_class = written(classes.join(linked, F.col("fp") == F.col("_fp"), "left")
-                        .select(F.col("fp").alias("_fp"), F.coalesce("component", "least").alias("component_id")), "components")
-    return rows.join(per_class, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
+    roots = joined.groupBy("b").agg(F.min("least").alias("smallest"))
+    linked = written(joined.join(roots, "b").select(F.col("fp").alias("_fp"), F.col("b").alias("component"), "smallest"), "linked-classes")
+    per_class = written(classes.join(linked, F.col("fp") == F.col("_fp"), "left").select(
+        F.col("fp").alias("_fp"), F.coalesce("smallest", "least").alias("component_id"), F.coalesce("component", "fp").alias("component")), "components")
+    return rows.join(per_class, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id", "digest", "component")
