@@ -37,19 +37,29 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each SimHash group.
+    """Keep one document of each SimHash group: that with the smallest id, of those the one with the least text digest.
 
-    Rows that repeat an id are one document, of which one row stays; rows without an id belong to no
-    group that could name them and stay.
+    Rows are told apart by id and text, so a text whose id is also that of a copy stays.  Rows that repeat both are one
+    document; of them the one least as JSON stays.  Rows without an id belong to no group that could name them and stay.
     """
-    found = written(simhash.near_duplicates(docs), "near-duplicates")
-    gone = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "near-duplicate-ids")
-    kept = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
-    again = written(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again")), "repeated-ids")
-    if again.isEmpty():
-        return kept
-    once = kept.join(again, F.col("doc_id") == F.col("again"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, F.col("doc_id") == F.col("again"), "left_anti").unionByName(once)
+    names = docs.columns
+    rows = docs.select(*[F.col(c).alias(f"kept_{i}") for i, c in enumerate(names)])
+    id_, text = (f"kept_{names.index(c)}" for c in ("doc_id", "text"))
+    found = written(simhash.near_duplicates(rows, id_, text).where("doc_id is not null").groupBy("component", "doc_id", "digest")
+                    .agg(F.count(F.lit(1)).alias("times")), "near-duplicates")
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "digest")).alias("first"))
+    judged = found.join(first, "component").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "times",
+                                                   (F.struct("doc_id", "digest") == F.col("first")).alias("stays"))
+    gone = written(judged.where("not stays").select("_id", "_digest"), "near-duplicate-rows")
+    again = written(judged.where("stays and times > 1").select("_id", "_digest"), "repeated-rows")
+    told = (F.col(id_) == F.col("_id")) & (simhash.text_digest(F.col(text)) == F.col("_digest"))
+    kept = rows.join(gone, told, "left_anti")
+    if not again.isEmpty():
+        whole = F.struct(*rows.columns)
+        once = kept.join(again, told, "left_semi").groupBy(F.col(id_).alias("_id"), simhash.text_digest(F.col(text)).alias("_digest")) \
+            .agg(F.min_by(whole, F.to_json(whole)).alias("row")).select("row.*")
+        kept = kept.join(again, told, "left_anti").unionByName(once)
+    return kept.select(*[F.col(f"kept_{i}").alias(c) for i, c in enumerate(names)])
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
