@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from ticklake.llm import tokens
 from ticklake.llm.common import by_batch
-from ticklake.llm.tokens import Encoder
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, " \
          "padded_length bigint, ids binary"
@@ -88,13 +88,13 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def make():
-        encoder, task, state = Encoder(tokenizer), TaskContext.get().partitionId() << 32, {"next": 0, "ids": 0}
+        encoder, task, state = tokens.encoder(tokenizer), TaskContext.get().partitionId() << 32, {"next": 0, "ids": 0}
         rests: list[tuple] = []
 
         def rows(pieces: list[tuple], sequence, offset, size) -> dict:
-            doc, start, length, tokens, ids = zip(*pieces)
+            doc, start, length, counts, ids = zip(*pieces)
             return {"doc_id": pa.array(doc, type=pa.int64()), "start": np.array(start, dtype=np.int64),
-                    "length": np.array(length, dtype=np.int64), "doc_tokens": np.array(tokens, dtype=np.int64),
+                    "length": np.array(length, dtype=np.int64), "doc_tokens": np.array(counts, dtype=np.int64),
                     "sequence_id": np.array(sequence, dtype=np.int64) + task, "offset": np.array(offset, dtype=np.int64),
                     "padded_length": np.array(size, dtype=np.int64), "ids": pa.array(ids, type=pa.binary())}
 
@@ -122,18 +122,18 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
                 return
             docs, texts = columns[0].to_pylist(), columns[1].to_pylist()
             for doc, ids in zip(docs, encoder_ids(texts)):
-                tokens = len(ids) // 4
-                full = tokens // capacity
+                n_ids = len(ids) // 4
+                full = n_ids // capacity
                 if full:
                     for i in range(0, full, 1000):
-                        pieces = [(doc, k * capacity, capacity, tokens, ids[4 * k * capacity:4 * (k + 1) * capacity])
+                        pieces = [(doc, k * capacity, capacity, n_ids, ids[4 * k * capacity:4 * (k + 1) * capacity])
                                   for k in range(i, min(full, i + 1000))]
                         n = len(pieces)
                         yield rows(pieces, np.arange(state["next"], state["next"] + n), np.zeros(n), np.full(n, padded(capacity, capacity)))
                         state["next"] += n
-                if tokens % capacity:
-                    rests.append((doc, full * capacity, tokens % capacity, tokens, ids[4 * full * capacity:]))
-                    state["ids"] += tokens % capacity
+                if n_ids % capacity:
+                    rests.append((doc, full * capacity, n_ids % capacity, n_ids, ids[4 * full * capacity:]))
+                    state["ids"] += n_ids % capacity
                     if state["ids"] >= buffer_ids:
                         yield from flush()
 

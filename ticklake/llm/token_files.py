@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ticklake.llm.common import by_batch, longs, nullable, running_start, written
-from ticklake.llm.tokens import Encoder
+from ticklake.llm.tokens import Encoder, encoder
 
 MAGIC = b"TLV1"
 HEADER = np.dtype([("magic", "S4"), ("part", "<u4"), ("volume", "<u4"), ("docs", "<u4"), ("ids", "<u8"), ("controls", "<u8")])
@@ -78,13 +78,13 @@ def tokenized(df: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id:
     end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
 
     def make():
-        encoder = Encoder(tokenizer)
+        encode = encoder(tokenizer).encode
 
         def step(columns):
             docs, valid = longs(columns[0])
             texts = columns[1].to_pylist()
             for i in range(0, len(texts), 512):
-                found = [ids + end for ids in encoder.encode(texts[i:i + 512])]
+                found = [ids + end for ids in encode(texts[i:i + 512])]
                 yield {"doc_id": nullable(docs[i:i + 512], valid[i:i + 512]),
                        "crc": np.array([zlib.crc32(x) for x in found], dtype=np.int64),
                        "n": np.array([len(x) // 4 for x in found], dtype=np.int64),

@@ -4,7 +4,11 @@ A vocabulary whose file says "normalise NFC, fold white space, lower-case, split
 never lets a token cross white space, so a text's ids are those of its white-space-separated words one
 after the other.  Most words repeat, so a task keeps a bounded cache from word to id bytes.  A word of
 Latin letters and trailing punctuation is given straight to the library's model; any other word goes
-through the library's whole encoder.  Vocabularies with other rules are encoded text by text.
+through the library's whole encoder.  Texts of Latin-1 letters are lower-cased first, as the library does, so that
+a word is kept once.  Vocabularies with other rules are encoded text by text.
+
+Half of the distinct words of a corpus occur once.  So the caches have two generations: when the young one is full
+it becomes the old one, and words that are met again come back from there; what is not met again goes.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -20,7 +25,9 @@ WORD_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{|}~]*)")
-CACHED_WORDS = 300_000
+BEYOND_LATIN = re.compile("[^\x00-\xff]")
+#: Words, and parts of words, of one generation.
+CACHED_WORDS = 250_000
 
 
 def _byte_letters() -> list[str]:
@@ -30,11 +37,22 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in shown else next(rest)) for b in range(256)]
 
 
+_shared: dict[str, "Encoder"] = {}
+
+
+def encoder(path: str) -> "Encoder":
+    """The encoder of this Python worker, kept from task to task with its caches (a worker runs one task at a time)."""
+    if path not in _shared:
+        _shared.clear()  # one vocabulary's caches at a time
+        _shared[path] = Encoder(path)
+    return _shared[path]
+
+
 class Encoder:
     """Whole texts to little-endian unsigned 32-bit ids.
 
-    Null and empty texts have no ids.  The cache is emptied when it holds ``CACHED_WORDS`` words, so
-    memory stays bounded; it never changes a result.
+    Null and empty texts have no ids.  The caches hold two generations of ``CACHED_WORDS`` words and of parts, so
+    memory stays bounded; they never change a result.
     """
 
     def __init__(self, path: str):
@@ -54,33 +72,55 @@ class Encoder:
             and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", [])))
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.lowers = all(t["content"] == t["content"].lower() for t in spec.get("added_tokens", []))
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.old_words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
     def _part(self, text: str) -> bytes:
         """Ids of one lower-case run of letters or punctuation."""
         ids = self.parts.get(text)
         if ids is None:
-            spelled = text if text.isascii() else "".join([self.letters[b] for b in text.encode()])
-            ids = np.array([t.id for t in self.model.tokenize(spelled)], dtype="<u4").tobytes()
+            ids = self.old_parts.get(text)
+            if ids is None:
+                spelled = text if text.isascii() else "".join([self.letters[b] for b in text.encode()])
+                ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes() if text else b""
             if len(self.parts) >= CACHED_WORDS:
-                self.parts = {"": b""}
+                self.parts, self.old_parts = {}, self.parts
             self.parts[text] = ids
         return ids
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > CACHED_WORDS:
-            self.words = {}
-        hard = []
-        for word in words:
-            plain = PLAIN_WORD.fullmatch(word)
-            if plain:
-                self.words[word] = self._part(plain[1].lower()) + self._part(plain[2])
-            else:
-                hard.append(word)
+    def _keep(self, word: str, ids: bytes) -> None:
+        if len(self.words) >= CACHED_WORDS:
+            self.words, self.old_words = {}, self.words
+        self.words[word] = ids
+
+    def _fill(self, words: list[str], ids: list[bytes | None]) -> None:
+        """Put the ids of the words that the young generation does not hold."""
+        hard: dict[str, list[int]] = {}
+        for i in [i for i, found in enumerate(ids) if found is None]:
+            word = words[i]
+            found = self.words.get(word)
+            if found is None:
+                found = self.old_words.get(word)
+                if found is None:
+                    plain = PLAIN_WORD.fullmatch(word)
+                    if plain is None:
+                        hard.setdefault(word, []).append(i)
+                        continue
+                    letters, marks = plain.groups()
+                    found = self._part(letters.lower())
+                    if marks:
+                        found += self._part(marks)
+                self._keep(word, found)
+            ids[i] = found
         if hard:
-            for word, found in zip(hard, self.tokenizer.encode_batch(hard, add_special_tokens=False)):
-                self.words[word] = np.array(found.ids, dtype="<u4").tobytes()
+            for (word, places), whole in zip(hard.items(), self.tokenizer.encode_batch(list(hard), add_special_tokens=False)):
+                found = array("I", whole.ids).tobytes()
+                self._keep(word, found)
+                for i in places:
+                    ids[i] = found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The id bytes of each text."""
@@ -89,22 +129,12 @@ class Encoder:
             return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
         out = []
         for text in texts:
-            words = (text or "").replace("\n", " ").replace("\t", " ").split(" ")
-            try:
-                out.append(b"".join(map(self.words.__getitem__, words)))
-            except KeyError:
-                new = set(words).difference(self.words)
-                if len(new) > CACHED_WORDS // 4:  # a very long text: in parts, so that the cache stays bounded
-                    step = CACHED_WORDS // 4
-                    parts = [words[i:i + step] for i in range(0, len(words), step)]
-                else:
-                    parts = [words]
-                ids = []
-                for part in parts:
-                    new = set(part).difference(self.words)
-                    if len(self.words) + len(new) > CACHED_WORDS:
-                        self.words, new = {}, set(part)
-                    self._learn(new)
-                    ids.append(b"".join(map(self.words.__getitem__, part)))
-                out.append(b"".join(ids))
+            text = text or ""
+            if self.lowers and (text.isascii() or not BEYOND_LATIN.search(text)):
+                text = text.lower()
+            words = text.replace("\n", " ").replace("\t", " ").split(" ")
+            ids = list(map(self.words.get, words))
+            if None in ids:
+                self._fill(words, ids)
+            out.append(b"".join(ids))
         return out
