@@ -36,7 +36,10 @@ from ticklake.llm.common import by_batch
 # Fixed values of the model file format (piece types) and of its text form.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 SPACE = "▁"
-CACHED_PARTS = 300_000
+#: Parts of one generation of a cache; there are a young one and an old one.
+CACHED_PARTS = 250_000
+#: Leading bits of a hash by which its place among the sorted keys is looked up.
+LEAD = 17
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 CELLS = 400_000
 
@@ -103,7 +106,9 @@ class Model:
         self.split = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+" if not any("\n" in p for p in self.id_of) else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         self.plain = [self._plain(p, k) for p, k in zip(self.pieces, self.kinds)]
         self.cache: dict[str, bytes] = {}  # of parts
+        self.old_cache: dict[str, bytes] = {}
         self.cuts: dict[str, bytes] = {}  # of what parts are cut into
+        self.old_cuts: dict[str, bytes] = {}
 
     def _hash_pieces(self) -> None:
         power = np.ones(self.longest + 1, dtype=np.uint64)
@@ -120,6 +125,7 @@ class Model:
         self.keys, self.key_ids = np.array(keys, dtype=np.uint64)[order], np.array(ids, dtype=np.int32)[order]
         if len(np.unique(self.keys)) != len(self.keys):
             raise ValueError("two pieces have the same hash")
+        self.lead_start = np.searchsorted(self.keys >> np.uint64(64 - LEAD), np.arange((1 << LEAD) + 1, dtype=np.uint64))
         self.key_scores = np.array([self.scores[i] for i in self.key_ids])
 
     @staticmethod
@@ -161,9 +167,25 @@ class Model:
         cuts = [0, *(np.flatnonzero(self.pairs[at] != pairs) + 1).tolist(), len(part)]
         return [part[a:b] for a, b in zip(cuts, cuts[1:])]
 
+    def _probe(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash among the sorted piece keys, or -1.  Its first bits name the few keys that begin alike;
+        for most substrings there are none."""
+        lead = (hashes >> np.uint64(64 - LEAD)).astype(np.int32)
+        at = self.lead_start[lead]
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        left = np.flatnonzero(at < self.lead_start[lead + 1])
+        while len(left):
+            here = at[left]
+            equal = self.keys[here] == hashes[left]
+            out[left[equal]] = here[equal]
+            at[left] += 1
+            left = left[~equal & (here + 1 < self.lead_start[lead[left] + 1])]
+        return out
+
     def viterbi(self, parts: list[str]) -> list[bytes]:
         """Best ids of each part (little-endian); all have the same length."""
-        rows, length, most = len(parts), len(parts[0]), self.longest
+        rows, length = len(parts), len(parts[0])
+        most = min(self.longest, length)
         codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(rows, length)
         prefix = self.prefix_hashes(codes.astype(np.uint64))
         best = np.full((rows, length + 1 + most), -np.inf)  # column i + most: best score of the first i characters
@@ -179,8 +201,8 @@ class Model:
             inside = np.maximum(starts, 0)
             with np.errstate(over="ignore"):
                 hashes = prefix[:, ends][:, :, None] - prefix[:, inside] * self.power[sizes]
-            at = np.minimum(np.searchsorted(self.keys, hashes.ravel()), len(self.keys) - 1).reshape(hashes.shape)
-            found = (self.keys[at] == hashes) & (starts >= 0)
+            at = self._probe(hashes.ravel()).reshape(hashes.shape)
+            found = (at >= 0) & (starts >= 0)
             score = np.where(found, self.key_scores[at], -np.inf)
             ids = np.where(found, self.key_ids[at], -1)
             lone = ~found[:, :, -1]
@@ -226,15 +248,25 @@ class Model:
         return np.array(ids[::-1], dtype="<u4").tobytes()
 
     def _learn(self, parts: list[str]) -> None:
-        """Encode parts that are not in the cache."""
-        pieces = {part: self._cut(part) for part in parts}
+        """Encode parts that are not in the young generation of the cache."""
+        old, pieces = self.old_cache, {}
+        for part in parts:
+            found = old.get(part)
+            if found is None:
+                pieces[part] = self._cut(part)
+            else:
+                self.cache[part] = found
         wanted = {x for cut in pieces.values() for x in cut}
         if len(self.cuts) + len(wanted) > CACHED_PARTS:
-            self.cuts = {}
+            self.cuts, self.old_cuts = {}, self.cuts
         known, by_length = self.cuts, {}
         for x in wanted:
             if x not in known:
-                by_length.setdefault(len(x), []).append(x)
+                found = self.old_cuts.get(x)
+                if found is None:
+                    by_length.setdefault(len(x), []).append(x)
+                else:
+                    known[x] = found
         for length, own in by_length.items():
             step = max(1, CELLS // (length * self.longest))
             for i in range(0, len(own), step):
@@ -253,7 +285,7 @@ class Model:
 
         def settle():
             if len(self.cache) + len(new) > CACHED_PARTS:
-                self.cache = {}
+                self.cache, self.old_cache = {}, self.cache
                 new.update(*(set(p) for _, p in waiting))
             self._learn(list(new))
             for k, parts in waiting:
