@@ -4,11 +4,13 @@ nested-loop or range join; scans get filters and pruned columns."""
 import re
 from datetime import datetime as dt, timedelta
 
+import pytest
+
 from ticklake.operators.asof import asof_join
 from ticklake.operators.increment import keep_last
 from ticklake.operators.indicators import candle_indicators
 from ticklake.operators.timegrid import fill_grid
-from ticklake.plans import queries as q
+from ticklake.plans import catalog, queries as q
 
 from conftest import SF
 
@@ -75,3 +77,9 @@ def test_bars_use_hash_aggregation(spark):
     for name in ("bars_ohlc", "bars_last_state", "resample_left_last", "fill_grid"):
         p = _plan(getattr(q, name)(spark, SF))
         assert "SortAggregate" not in p and "HashAggregate" in p, name
+
+
+@pytest.mark.parametrize("name", ["level2_bar_mean", "stage_candles_json", "bid_ask_flatten", "message_rate"])
+def test_messages_are_parsed_once(spark, name):
+    plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1

@@ -4,6 +4,7 @@ import os
 from datetime import datetime as dt
 
 from ticklake.operators.metrics import ProgressCollector
+from ticklake.streaming import staging
 from ticklake.streaming.staging import start_staging
 
 MS = int(dt(2025, 6, 3, 10, 0, 30).timestamp() * 1000)
@@ -35,3 +36,24 @@ def test_every_kind_and_the_quarantine(spark, tmp_dir):
     assert {r.value for r in read("quarantine").collect()} == {"{broken", "not json at all"}
     spark.streams.removeListener(seen)
     assert max([e["observed"].get("quarantine", {}).get("rows", 0) for e in seen.events], default=0) in (0, 2)
+
+
+def test_one_parse_for_all_kinds(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/in")
+    odd = ['{"ch": "market.x.trade.detail", "ts": 5}', '{"ch": "market.x.kline.1min", "ts": 1, "tick": {"open": "no number", "close": 2.0}}', '{"ts": "no time"}', "[1]", "", "{}"]
+    with open(f"{tmp_dir}/in/a.txt", "w") as f:
+        f.write("\n".join(messages() + odd))
+    staging.register("other", lambda frames, step, lateness, seq: frames.select("msg.ch", "msg.ts"))
+    try:
+        queries = start_staging(spark.readStream.text(f"{tmp_dir}/in"), f"{tmp_dir}/out", f"{tmp_dir}/ck", kinds=("level2", "other"), trigger={"availableNow": True})
+        for q in queries:
+            q.awaitTermination()
+    finally:
+        del staging.STAGERS["other"]
+    parses = [q._jsq.streamingQuery().lastExecution().optimizedPlan().toString().count("from_json(") for q in queries]
+    assert parses == [1, 0, 0, 0]  # the source is read and parsed by the first query alone
+    read = lambda name: spark.read.parquet(f"{tmp_dir}/out/{name}")
+    assert [(r.ch, r.ts) for r in read("other").collect()] == [("market.x.trade.detail", 5)]
+    assert {r.value for r in read("quarantine").collect()} == {"{broken", "not json at all", '{"ts": "no time"}', "[1]", ""}
+    candles = read("frames").where("kind = 'candles' and msg.ts = 1").collect()
+    assert [(r.msg.tick.open, r.msg.tick.close, r.value) for r in candles] == [(None, 2.0, None)]

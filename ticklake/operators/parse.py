@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticklake import schemas
 from ticklake.functions.strings import channel_kind, channel_symbol, topic_name
 from ticklake.functions.time import col, event_time_auto, event_time_ms, ntz_from_millis
 
@@ -21,11 +22,34 @@ CORRUPT = "_corrupt_record"
 def parse_json(df: DataFrame, schema: T.StructType, value: str = "value", into: str = "msg",
                keep: Sequence[str] = ()) -> DataFrame:
     """Parse JSON text with an explicit schema (PERMISSIVE: bad text -> null
-    struct plus the text kept in ``_corrupt_record``)."""
+    struct plus the text kept in ``_corrupt_record``).
+
+    The struct leaves a generator of one row, below which no filter on its
+    fields is pushed: in a plain projection each such filter would parse the
+    text once more."""
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(col(value), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     return df.select(*keep, col(value).alias(value) if value not in keep else F.lit(None).alias("_v"),
-                     parsed.alias(into)).drop("_v")
+                     F.explode(F.array(parsed)).alias(into)).drop("_v")
+
+
+def parse_frames(df: DataFrame, value: str = "value", into: str = "msg", keep: Sequence[str] = ()) -> DataFrame:
+    """Every frame of the feed, parsed once: ``msg`` (``schemas.RAW_FRAME``), ``kind`` and ``topic``.
+
+    ``kind`` is that of the channel (``candles``, ``level2``, ``bid_ask``,
+    else ``other``), ``control`` for control frames and frames without a
+    channel (as :func:`drop_control_messages`), and ``quarantine`` for what is
+    no JSON object or has not one readable field."""
+    parsed = parse_json(df, schemas.RAW_FRAME, value, into, keep)
+    m = F.col(into)
+    nothing = F.lit(True)
+    for field in schemas.RAW_FRAME.fieldNames():
+        nothing = nothing & m[field].isNull()
+    bad = m.isNull() | (m[CORRUPT].isNotNull() & nothing)
+    control = m["ping"].isNotNull() | m["op"].isNotNull() | m["action"].isNotNull() | m["ch"].isNull()
+    ch = F.lower(m["ch"])
+    kind = F.when(bad, F.lit("quarantine")).when(control, F.lit("control")).otherwise(F.coalesce(channel_kind(ch), F.lit("other")))
+    return parsed.withColumn("kind", kind).withColumn("topic", F.when(F.col("kind").isin("quarantine", "control"), None).otherwise(topic_name(ch)))
 
 
 def split_corrupt(parsed: DataFrame, into: str = "msg") -> tuple[DataFrame, DataFrame]:

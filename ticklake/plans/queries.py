@@ -406,9 +406,8 @@ def file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticklake.operators.metrics import message_rate as mr
-    frames = parse.route_by_channel(parse.drop_control_messages(derive.raw_frames(spark, sf_dir)))
-    ts = ntz_from_millis(F.get_json_object("value", "$.ts").cast("long"))
-    out = mr(frames.withColumn("ts", ts), topic="topic", ts="ts", every=BAR)
+    frames = parse.parse_frames(derive.raw_frames(spark, sf_dir)).where(~F.col("kind").isin("control", "quarantine"))
+    out = mr(frames.withColumn("ts", ntz_from_millis("msg.ts")), topic="topic", ts="ts", every=BAR)
     return _round_all(out, {"per_sec", "per_min"})
 
 

@@ -35,6 +35,13 @@ RAW_BID_ASK = T.StructType([
     ])),
 ])
 
+#: Any frame of the market feed: control keys, and the union of the kinds' ticks.
+RAW_FRAME = T.StructType([
+    T.StructField("ping", L), T.StructField("op", S), T.StructField("action", S), T.StructField("ch", S), T.StructField("ts", L),
+    T.StructField("tick", T.StructType(list({f.name: f for kind in (RAW_LEVEL2, RAW_CANDLE, RAW_BID_ASK)
+                                             for f in kind["tick"].dataType.fields}.values()))),
+])
+
 RAW_SECOND_EXCHANGE = T.StructType([
     T.StructField("guid", S), T.StructField("httpCode", T.IntegerType()),
     T.StructField("data", T.StructType([
