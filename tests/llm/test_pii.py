@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -96,7 +97,9 @@ def test_redacted_overlaps():
     assert pii.redacted("ab12345cd", [("ip", 2, 5), ("card", 2, 7), ("phone", 6, 7)]) == "ab[CARD]cd"
 
 
-def test_patterns_find_any_spelling(spark):
+@pytest.mark.parametrize("limit", [100_000, 8])  # the patterns at once, and in several blocks
+def test_patterns_find_any_spelling(spark, monkeypatch, limit):
+    monkeypatch.setattr(pii, "PATTERNS", limit)
     phones = ["5551234567", "0301234567", "030 12345678", "(555) 1234567", "555-1234"]
     cards = ["3782 822463 10006", "5018 0000 0009"]
     ips = ["10 20 30 40", "10-20-30-41", "fe80::1"]
@@ -123,3 +126,15 @@ def test_slots_are_linear():
     known = pii.Known([("L reach me", "phone", 0.9), ("B is _ for", "card", 0.9), ("L a b", "email", 0.9), ("L a b", "ip", 0.9)])
     for text in ("1" * 100_000, "1." * 100_000, "1 " * 50_000, "12-" * 50_000, "a." * 50_000 + "@b", "(1" * 50_000, "1:" * 50_000, "a at " * 20_000):
         pii.instances(text, [], True, known)
+
+
+def test_no_word_of_a_context_is_cut():
+    long = "w" * 78
+    text = f"one {long} me 5551234567 at {long} two"
+    begin = text.index("555")
+    assert pii._context(text, begin, begin + 10) == (["me"], ["at"])
+    text = f"please reach me 5551234567 for more {long}"
+    begin = text.index("555")
+    assert pii._context(text, begin, begin + 10) == (["reach", "me"], ["for", "more"])
+    assert pii._context("a " * 60 + "7", 120, 121) == (["a", "a"], []) and pii._context("x" * 300, 150, 151) == ([], [])
+    assert pii._context("7" + " b" * 60, 0, 1) == ([], ["b", "b"])

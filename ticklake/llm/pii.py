@@ -14,7 +14,7 @@ seeds of a bootstrap:
 3.  An instance that is no base match becomes a span of its kind if its belief reaches ``accept``.  Base
     spans always stay; a new span that overlaps a base span or an earlier new one is left out.
 
-4.  The patterns that could bring an instance to ``accept`` (at most ``PATTERNS``, the most confident first) go to a second
+4.  The patterns that could bring an instance to ``accept`` (of over ``PATTERNS``, block by block) go to a second
     scan.  There whatever stands in the slot of such a pattern is an instance of its kind, however it is
     spelled: only a wide check by kind (:data:`DIGIT_COUNTS`, :data:`WIDE`) is asked for.  The graph with these instances is
     scored again, from the confidence of the first time.  Other runs of digits are looked up among the believed instances.
@@ -62,6 +62,7 @@ WIDE = {
     "ip": re.compile(r"(?<![\w.:])(?:[0-9]{1,3}(?:[ \t]?(?:[\[({<][ \t]?(?:dot|\.)[ \t]?[\])}>]|dot|[.,:/_-])[ \t]?[0-9]{1,3}|[ \t][0-9]{1,3}){3}"
                      r"|(?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}|(?:[0-9a-f]{1,4}:){1,6}(?::[0-9a-f]{1,4}){1,6})(?!\w)", re.I),
 }
+#: Patterns that one task holds; more of them are scanned for in blocks (:func:`placed`).
 PATTERNS = 100_000
 HINTS = re.compile(r"@|\((?:at|\.)|\[(?:at|dot|\.)|\{at", re.I)
 BEFORE = re.compile(r"(\S+)?[^\S\n]*(\S+)?[^\S\n]*$")
@@ -110,9 +111,16 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def _context(text: str, begin: int, end: int) -> tuple[list[str], list[str]]:
-    """Up to two lower-case words on either side, on the same line."""
-    left = text[max(0, begin - REACH):begin].rpartition("\n")[2].lower().split()[-2:]
-    right = text[end:end + REACH].partition("\n")[0].lower().split()[:2]
+    """Up to two lower-case words on either side, on the same line.  A word that does not end within ``REACH``
+    characters is none, nor is what lies behind it: no word is cut."""
+    near = text[max(0, begin - REACH):begin]
+    if begin > REACH and not text[begin - REACH - 1].isspace():
+        near = near[len(near.split(None, 1)[0]) if near[:1].strip() else 0:]
+    left = near.rpartition("\n")[2].lower().split()[-2:]
+    near = text[end:end + REACH]
+    if end + REACH < len(text) and not text[end + REACH].isspace() and near[-1:].strip():
+        near = near[:len(near) - len(near.rsplit(None, 1)[-1])]
+    right = near.partition("\n")[0].lower().split()[:2]
     return left, right
 
 
@@ -148,11 +156,15 @@ class Known:
 def slots(text: str, known: Known) -> tuple[list[tuple[float, str, int, int]], list[tuple[str, int, int]]]:
     """(strength, kind, start, end) of what stands in the slot of a known pattern, and (kind, start, end) of whole runs of digits."""
     found, runs = [], []
+    given = isinstance(known, Given)
     if known.kinds & DIGIT_COUNTS.keys():
         for m in RUN.finditer(text):
             total = sum(map(str.isdigit, m[0]))
             if total < 7:
                 continue
+            if given:
+                runs += [(k, m.start(), m.end()) for k, (low, high) in DIGIT_COUNTS.items() if low <= total <= high]
+                continue
             gaps = [(g.start() + m.start(), g.end() + m.start()) for g in GAP.finditer(m[0])]
             begins, ends = [m.start()] + [g[1] for g in gaps], [g[0] for g in gaps] + [m.end()]
             counts = [sum(map(str.isdigit, text[a:b])) for a, b in zip(begins, ends)]
@@ -174,6 +186,8 @@ def slots(text: str, known: Known) -> tuple[list[tuple[float, str, int, int]], l
                         low, high = DIGIT_COUNTS.get(kind, (1, 0))
                         if low <= n <= high:
                             found.append((strength, kind, begin, end))
+    if given:
+        return known.found, runs
     for kind, wide in WIDE.items():
         if kind in known.kinds:
             for m in wide.finditer(text):
@@ -184,13 +198,20 @@ def slots(text: str, known: Known) -> tuple[list[tuple[float, str, int, int]], l
     return found, runs
 
 
+class Given:
+    """What patterns say about the places of one text, worked out before."""
+
+    def __init__(self, found: list[tuple[float, str, int, int]], kinds: set[str]):
+        self.found, self.kinds = found, kinds
+
+
 def _normal(kind: str, found: str) -> str:
     if kind == "email" or kind == "ip" and re.search("[a-f:]", found, re.I) and not re.search("dot", found, re.I):
         return "".join(found.lower().split())
     return re.sub(r"[^0-9]", "", found)
 
 
-def instances(text: str, base: list[tuple[str, int, int]], digits: bool, known: Known | None = None) -> list[tuple[str, int, int, bool, str, list[str]]]:
+def instances(text: str, base: list[tuple[str, int, int]], digits: bool, known: Known | Given | None = None) -> list[tuple[str, int, int, bool, str, list[str]]]:
     """(kind, start, end, is base, normal form, patterns) of every identifier-like expression.
 
     With ``known`` also of what stands in the slot of a known pattern, which goes before other expressions, and, without
@@ -242,25 +263,84 @@ SEEN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int6
 DIGITS = re.compile(r"[0-9][0-9 ().-]{5}")
 
 
-def scanned(df: DataFrame, id_col: str, text_col: str, keep: list[str] | None = None, rows: list[tuple[str, str, float]] | None = None) -> DataFrame:
+PLACE = pa.struct([("strength", pa.float64()), ("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())])
+PLACES = "array<struct<strength:double,kind:string,start:bigint,stop:bigint>>"
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def placed(df: DataFrame, text_col: str, able: DataFrame, count: int) -> tuple[DataFrame, set[str]]:
+    """(digest, places) of every text that has slots of more patterns than one task should hold, and the patterns' kinds.
+
+    The patterns are dealt to blocks of about half of ``PATTERNS``; the texts are scanned once a block.  A place's strength
+    is one less the product of what each block's patterns leave open, so the blocks together say what all patterns at
+    once would.  Equal texts have equal places and are worked out once.
+    """
+    blocks = -(-2 * count // PATTERNS)
+    dealt = written(able.withColumn("block", F.pmod(F.xxhash64("pattern"), F.lit(blocks))), "pii-blocks")
+    texts = df.select(_digest(F.col(text_col)).alias("digest"), F.col(text_col).alias("text"))
+    found = []
+    for block in range(blocks):
+        rows = [tuple(r) for r in dealt.where(F.col("block") == block).select("pattern", "kind", "confidence").collect()]
+        if not rows:
+            continue
+
+        def make(rows=rows):
+            known = Known(rows)
+
+            def step(columns):
+                names = ("strength", "kind", "start", "stop")
+                return {"digest": columns[0], "places": pa.array([[dict(zip(names, x)) for x in slots(t or "", known)[0]] for t in columns[1].to_pylist()],
+                                                                 type=pa.list_(PLACE))}
+
+            return step
+
+        scan = by_batch(texts, make, f"digest binary, places {PLACES}")
+        found.append(written(scan.select("digest", F.explode("places").alias("p")).select("digest", "p.*").distinct(), "pii-block-places"))
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    strength = 1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("strength"), F.lit(1e-300)))))
+    whole = every.groupBy("digest", "kind", "start", "stop").agg(strength.alias("strength")) \
+        .groupBy("digest").agg(F.collect_list(F.struct("strength", "kind", "start", "stop")).alias("places"))
+    return written(whole, "pii-places"), {r["kind"] for r in dealt.select("kind").distinct().collect()}
+
+
+def scanned(df: DataFrame, id_col: str, text_col: str, keep: list[str] | None = None, rows: list[tuple[str, str, float]] | None = None,
+            places: tuple[DataFrame, set[str]] | None = None) -> DataFrame:
     """(doc_id, base spans, instances) of every text, and the columns ``keep`` as kept_0, kept_1, ...  No shuffle.
 
-    With ``rows`` (pattern, kind, confidence) also instances in the slots of these patterns.
+    With ``rows`` (pattern, kind, confidence) also instances in the slots of these patterns; with ``places``, those
+    of :func:`placed`, joined with the texts.
     """
     keep = keep or []
+    told = df.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)])
+    joined = places is not None
+    if joined:
+        told = told.join(places[0].select(F.col("digest").alias("_digest"), F.col("places").alias("_places")),
+                         _digest(F.col("_text")) == F.col("_digest"), "left").drop("_digest")
+        kinds_known = places[1]
+
     def make():
-        known = Known(rows) if rows else None
+        pattern_table = Known(rows) if rows else None
 
         def step(columns):
             base, seen = [], []
-            for text in columns[1].to_pylist():
+            given = columns[-1].to_pylist() if joined else None
+            for n, text in enumerate(columns[1].to_pylist()):
                 text = text or ""
                 own = base_spans(text)
+                if given is not None:
+                    known = Given([(p["strength"], p["kind"], p["start"], p["stop"]) for p in given[n] or []], kinds_known)
+                else:
+                    known = pattern_table
                 base.append([{"kind": k, "start": a, "stop": b} for k, a, b in own])
                 seen.append([dict(zip(("kind", "start", "stop", "base", "normal", "patterns"), x))
                              for x in instances(text, own, DIGITS.search(text) is not None, known)])
             return {"doc_id": columns[0], "base": pa.array(base, type=pa.list_(SPAN)), "seen": pa.array(seen, type=pa.list_(SEEN)),
-                    **{f"kept_{i}": c for i, c in enumerate(columns[2:])}}
+                    **{f"kept_{i}": columns[2 + i] for i in range(len(keep))}}
 
         return step
 
@@ -268,7 +348,7 @@ def scanned(df: DataFrame, id_col: str, text_col: str, keep: list[str] | None =
     schema = ["doc_id bigint", "base array<struct<kind:string,start:bigint,stop:bigint>>",
               "seen array<struct<kind:string,start:bigint,stop:bigint,base:boolean,normal:string,patterns:array<string>>>"]
     schema += [f"kept_{i} {kinds[c]}" for i, c in enumerate(keep)]
-    return by_batch(df.select(F.col(id_col).cast("bigint"), F.col(text_col), *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]), make, ", ".join(schema))
+    return by_batch(told, make, ", ".join(schema))
 
 
 def score(edges: DataFrame, rounds: int, support: float, prior: float, start: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -310,8 +390,8 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds:
 def with_spans(df: DataFrame, id_col: str, text_col: str, keep: list[str] | None = None, rounds: int = 3, support: float = 3.0, prior: float = 1.0,
                accept: float = 0.75) -> DataFrame:
     """The rows of :func:`scanned` with a number ``row`` and ``spans``."""
-    def scan(rows: list[tuple[str, str, float]] | None = None) -> tuple[DataFrame, DataFrame]:
-        found = written(scanned(df, id_col, text_col, keep, rows).withColumn("row", F.monotonically_increasing_id()), "pii-scan")
+    def scan(rows: list[tuple[str, str, float]] | None = None, places: tuple[DataFrame, set[str]] | None = None) -> tuple[DataFrame, DataFrame]:
+        found = written(scanned(df, id_col, text_col, keep, rows, places).withColumn("row", F.monotonically_increasing_id()), "pii-scan")
         return found, found.where(F.size("seen") > 0).select("row", F.explode("seen").alias("s")).select("row", "s.*")
 
     def edges(seen: DataFrame) -> DataFrame:
@@ -320,10 +400,13 @@ def with_spans(df: DataFrame, id_col: str, text_col: str, keep: list[str] | None
     rows, seen = scan()
     beliefs, confidence = score(edges(seen), rounds, support, prior)
     # three patterns surround an instance: if all are below this, they cannot bring it to ``accept``
-    able = confidence.where(F.col("confidence") >= 1 - (1 - accept) ** (1 / 3)).orderBy(F.desc("confidence"), "pattern", "kind").limit(PATTERNS)
-    known = [tuple(r) for r in able.select("pattern", "kind", "confidence").collect()]
-    if known:
-        rows, seen = scan(known)
+    able = confidence.where(F.col("confidence") >= 1 - (1 - accept) ** (1 / 3))
+    count = able.count()
+    if count:
+        if count <= PATTERNS:
+            rows, seen = scan([tuple(r) for r in able.select("pattern", "kind", "confidence").collect()])
+        else:
+            rows, seen = scan(places=placed(df, text_col, able, count))
         beliefs, _ = score(edges(seen), rounds, support, prior, confidence)
     new = seen.where(~F.col("base")).join(beliefs.where(F.col("belief") >= accept).select("kind", "normal", "belief"), ["kind", "normal"]) \
         .groupBy("row", "start", "stop").agg(F.max_by("kind", F.struct("belief", "kind")).alias("kind"))
