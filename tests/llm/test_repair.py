@@ -122,3 +122,13 @@ def test_colliding_hashes_change_no_solution():
     for _ in range(60):
         rows = [(rng.choice("suat"), rng.choice([0, 0, 1, 2, 3])) for _ in range(rng.randint(0, 20))]
         assert r.solve(rows, r.START) == r.solve(rows, r.START, modulus=1)
+
+
+def test_repaired_rows(spark):
+    rows = [(1, t, role, text) for t, (role, text) in enumerate([("system", "S."), ("user", "q"), ("user", "r."), ("assistant", "A."), ("tool", "x.")])]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    for chunk in (1, 2, 1024):
+        found, fixed = r.repair(df, damage=False, chunk=chunk)
+        _, _, want = cheapest([(role, text, "truncated" if text == "q" else None) for _, _, role, text in rows])
+        assert [(x.role, x.text) for x in fixed.collect()] == list(want)
+        assert found.first().audit.count("I") + 5 == len(found.first().audit)

@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import hashlib
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -303,46 +302,74 @@ def chained(ways: DataFrame) -> DataFrame:
                     f"conv {kind}, chunk bigint, entry int, audit string, cost bigint")
 
 
-def _edited(rows: list[tuple[str, str]], audit: str, state: int):
-    """The repaired rows of a chunk that is entered in ``state``."""
-    at = iter(rows)
-    for letter in audit:
-        if letter == "I":
-            role, text = ("assistant" if state == USER else "user"), ""
-        else:
-            role, text = next(at)
-            if letter == "D":
-                continue
-            if letter == "R":
-                role = "assistant" if state == USER else "user"
-        state = NEXT[state][role[:1]]
-        yield role, text
+class Editor:
+    """Applies the audits of chunks to their rows as they go by."""
+
+    def __init__(self):
+        self.audit, self.at, self.state, self.left = "", 0, START, 0
+
+    def begin(self, audit: str, state: int) -> None:
+        self.audit, self.at, self.state, self.left = audit, 0, state, len(audit) - audit.count("I")
+
+    def _out(self, role: str, text: str) -> tuple[str, str]:
+        self.state = NEXT[self.state][role[:1]]
+        return role, text
+
+    def _wanted(self) -> str:
+        return "assistant" if self.state == USER else "user"
+
+    def _inserted(self):
+        while self.audit[self.at:self.at + 1] == "I":
+            self.at += 1
+            yield self._out(self._wanted(), "")
 
+    def row(self, role: str, text: str):
+        """What comes out for a row: rows inserted before it, itself if it stays, and after a chunk's last row the inserted rest."""
+        yield from self._inserted()
+        letter = self.audit[self.at]
+        self.at += 1
+        self.left -= 1
+        if letter != "D":
+            yield self._out(role if letter == "K" else self._wanted(), text)
+        if not self.left:
+            yield from self._inserted()
 
-def repaired(rows: DataFrame, audits: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(conv, chunk, at, role, text): the repaired rows in order."""
-    cut = rows.withColumn("chunk", F.expr(f"idx div {chunk}")).groupBy(F.col("conv").alias("_conv"), F.col("chunk").alias("_chunk")) \
-        .agg(F.array_sort(F.collect_list(F.struct("idx", "role", "text"))).alias("rows"))
-    told = audits.join(cut, F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("chunk") == F.col("_chunk")))
-    kind = dict(audits.dtypes)["conv"]
+
+def repaired(rows: DataFrame, audits: DataFrame, chunk: int = CHUNK, by: tuple[str, ...] = ("conv", "chunk")) -> DataFrame:
+    """(conv, chunk, role, text): the repaired rows, in order of conversation, chunk and place within each partition.
+
+    The rows are shuffled once, by ``by``; each chunk's audit goes before its rows, which are edited one after the other.
+    """
+    kind = dict(rows.dtypes)["conv"]
+    lines = rows.select("conv", F.expr(f"idx div {chunk}").alias("chunk"), F.col("idx").alias("at"), F.lit(None).cast("int").alias("entry"),
+                        F.lit(None).cast("string").alias("audit"), "role", "text")
+    heads = audits.select("conv", "chunk", F.lit(-1).cast("bigint").alias("at"), "entry", "audit", F.lit(None).cast("string").alias("role"),
+                          F.lit(None).cast("string").alias("text"))
+    both = lines.unionByName(heads).repartition(*by).sortWithinPartitions("conv", "chunk", "at")
 
     def make():
+        editor = Editor()
+
         def step(columns):
-            for i in range(len(columns[0])):
-                rows_ = [(r["role"], r["text"]) for r in columns[4][i].as_py()]
-                new = list(_edited(rows_, columns[3][i].as_py(), columns[2][i].as_py()))
-                if new:
-                    yield {"conv": pa.array([columns[0][i].as_py()] * len(new), type=columns[0].type),
-                           "chunk": pa.array([columns[1][i].as_py()] * len(new), type=pa.int64()), "at": np.arange(len(new)),
-                           "role": pa.array([r for r, _ in new], type=pa.string()), "text": pa.array([t for _, t in new], type=pa.string())}
+            out = []
+            for conv, number, at, entry, audit, role, text in zip(*(c.to_pylist() for c in columns)):
+                if at < 0:
+                    editor.begin(audit, entry)
+                else:
+                    out += [(conv, number, *x) for x in editor.row(role, text)]
+            if out:
+                convs, numbers, roles, texts = zip(*out)
+                return {"conv": pa.array(convs, type=columns[0].type), "chunk": pa.array(numbers, type=pa.int64()),
+                        "role": pa.array(roles, type=pa.string()), "text": pa.array(texts, type=pa.string())}
 
         return step
 
-    return by_batch(told.select("conv", "chunk", "entry", "audit", "rows"), make, f"conv {kind}, chunk bigint, at bigint, role string, text string")
+    return by_batch(both, make, f"conv {kind}, chunk bigint, role string, text string")
 
 
 def digests(rows: DataFrame) -> DataFrame:
-    """(conv, sha256) of ``role:text`` lines of repaired rows; a conversation goes by in order, row by row."""
+    """(conv, sha256) of ``role:text`` lines of repaired rows, whose partitions hold whole conversations in order; a
+    conversation goes by row by row."""
     kind = dict(rows.dtypes)["conv"]
 
     def make():
@@ -366,7 +393,7 @@ def digests(rows: DataFrame) -> DataFrame:
 
         return step
 
-    return by_batch(rows.repartition("conv").sortWithinPartitions("conv", "chunk", "at").select("conv", "role", "text"), make,
+    return by_batch(rows.select("conv", "role", "text"), make,
                     f"conv {kind}, sha256 string", finish=True)
 
 
@@ -390,12 +417,12 @@ def counts(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
 def repair(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", damage: bool = True,
            chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
     """What was found and done in every conversation (conv_id, gaps .. illegal, cost, audit, repaired_sha256), and the
-    repaired rows (conv, chunk, at, role, text)."""
+    repaired rows (conv, chunk, role, text), in order within each partition."""
     plain = conversations.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit(" ")).alias("role"),
                                  F.coalesce(F.col(text), F.lit(" ")).alias("text"))
     rows = faulted(damaged(conversations, conv, turn, role, text) if damage else plain)
     parts = written(chained(written(solved(rows, chunk), "conversation-ways")), "conversation-audits")
-    fixed = repaired(rows, parts, chunk)
+    fixed = repaired(rows, parts, chunk, by=("conv",))
     whole = parts.groupBy("conv").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "audit"))), lambda p: p["audit"]), "").alias("audit"),
                                       F.max("cost").alias("cost"))
     ids = conversations.select(F.col(conv).alias("conv_id")).distinct()
