@@ -1,6 +1,6 @@
 """Parsing, event time, routing, control frames, topics, file names."""
 import json
-from datetime import date, datetime as dt
+from datetime import date, datetime as dt, timezone
 
 from pyspark.sql import functions as F
 
@@ -14,26 +14,25 @@ def _msgs(spark, values):
 
 
 def test_bid_ask_flatten(spark):
-    # A bbo message flattens to one row; {} gives none
-    m = {"ch": "market.BTC-USDT.bbo", "ts": 1750851712043,
-         "tick": {"bid": [1, 2], "ask": [3, 4], "ts": 1750851712041}}
-    p = parse.parse_json(_msgs(spark, [json.dumps(m), "{}"]), schemas.RAW_BID_ASK, keep=["msg_id"])
-    out = parse.stage_bid_ask(p).collect()
-    assert len(out) == 1
-    r = out[0]
-    assert (r.bid, r.bid_vol, r.ask, r.ask_vol) == (1.0, 2.0, 3.0, 4.0)
-    assert r.datetime == dt(2025, 6, 25, 11, 41, 52, 41000)
-    assert r.symbol == "BTC-USDT"
+    # several levels: the first two numbers are price and volume; a message without a tick gives no row
+    at = dt(2024, 2, 29, 23, 59, 58, 750000)
+    ms = int(at.replace(tzinfo=timezone.utc).timestamp() * 1000)
+    own_time = {"ch": "market.eth-usd.bbo", "ts": ms + 9, "tick": {"bid": [2950.25, 0.4, 2950.0, 7], "ask": [2950.75, 1.6, 2951.0, 3], "ts": ms}}
+    envelope_time = {"ch": "market.eth-usd.bbo", "ts": ms, "tick": {"bid": [2949.5], "ask": None}}
+    p = parse.parse_json(_msgs(spark, [json.dumps(own_time), "{}", json.dumps(envelope_time)]), schemas.RAW_BID_ASK, keep=["msg_id"])
+    out = sorted(parse.stage_bid_ask(p).collect(), key=lambda r: -r.bid)
+    assert [(r.bid, r.bid_vol, r.ask, r.ask_vol) for r in out] == [(2950.25, 0.4, 2950.75, 1.6), (2949.5, None, None, None)]
+    assert {(r.symbol, r.datetime) for r in out} == {("eth-usd", at)}
 
 
 def test_event_time_units(spark):
-    # T in seconds, tso / tst in ms, priority tso > tst > t
-    sec = 1703862267.8
+    # t in seconds, tso / tst in ms, priority tso > tst > t
+    want = dt(2031, 7, 4, 6, 30, 15, 250000)
+    sec = want.replace(tzinfo=timezone.utc).timestamp()
     vals = [{"data": {"t": sec}}, {"data": {"tso": sec * 1000}}, {"data": {"tst": sec * 1000, "t": 1.0}},
             {"data": {}}]
     p = parse.parse_json(_msgs(spark, [json.dumps(v) for v in vals]), schemas.RAW_SECOND_EXCHANGE, keep=["msg_id"])
     out = [r.datetime for r in parse.with_event_time_auto(p.select("msg_id", "msg.data")).orderBy("msg_id").collect()]
-    want = dt(2023, 12, 29, 15, 4, 27, 800000)
     assert out[:3] == [want, want, want]
     assert out[3] is None
 

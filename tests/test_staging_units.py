@@ -6,6 +6,7 @@ from datetime import datetime as dt, timedelta
 import pytest
 from pyspark.sql import types as T
 
+from ticklake.plans import staging
 from ticklake.plans.staging import read_staged, register, stage_files
 
 
@@ -88,6 +89,24 @@ def test_unreadable_manifest_raises(spark, tmp_dir):
         stage_files(spark, src, dst, "level2")
 
 
+def test_a_failed_write_leaves_the_old_rows(spark, tmp_dir, monkeypatch):
+    src, dst = f"{tmp_dir}/s", f"{tmp_dir}/d"
+    for day in (1, 2):
+        put(f"{src}/2025-01-0{day}_BTC.csv", level2_day(f"2025-01-0{day}", 100))
+    stage_files(spark, src, dst, "level2")
+    before = rows_of(spark, dst)
+    time.sleep(1.1)
+    put(f"{src}/2025-01-01_BTC.csv", "datetime,bid,bid_vol,ask,ask_vol\n")  # the new version has no rows
+    put(f"{src}/2025-01-02_BTC.csv", level2_day("2025-01-02", 300))
+    with monkeypatch.context() as m:
+        m.setattr(staging, "write_staged", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            stage_files(spark, src, dst, "level2")
+    assert rows_of(spark, dst) == before
+    assert len(stage_files(spark, src, dst, "level2")) == 2
+    assert {(r[2], r[3]) for r in rows_of(spark, dst)} == {("2025-01-02_BTC.csv", 300.0)}
+
+
 def test_registered_kind(spark, tmp_dir):
     schema = T.StructType([T.StructField("datetime", T.TimestampNTZType()), T.StructField("v", T.DoubleType())])
     register("plain", schema, "datetime", lambda raw, step: raw.select("unit", "datetime", "v"))

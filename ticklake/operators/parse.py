@@ -83,13 +83,13 @@ def candle_ticks(parsed: DataFrame, into: str = "msg") -> DataFrame:
 
 def stage_bid_ask(parsed: DataFrame, into: str = "msg") -> DataFrame:
     """Best bid/ask flatten: one row per message, no accumulation.  Messages
-    without a tick (``{}``) give no row."""
+    without a tick (``{}``) give no row; what a short list lacks is null."""
     t = f"{into}.tick"
     return (parsed.where(F.col(t).isNotNull())
             .select(channel_symbol(f"{into}.ch").alias("symbol"),
                     ntz_from_millis(F.coalesce(F.col(f"{t}.ts"), F.col(f"{into}.ts"))).alias("datetime"),
-                    F.col(f"{t}.bid")[0].alias("bid"), F.col(f"{t}.bid")[1].alias("bid_vol"),
-                    F.col(f"{t}.ask")[0].alias("ask"), F.col(f"{t}.ask")[1].alias("ask_vol")))
+                    F.get(f"{t}.bid", 0).alias("bid"), F.get(f"{t}.bid", 1).alias("bid_vol"),
+                    F.get(f"{t}.ask", 0).alias("ask"), F.get(f"{t}.ask", 1).alias("ask_vol")))
 
 
 def route_by_channel(df: DataFrame, value: str = "value") -> DataFrame:

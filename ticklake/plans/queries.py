@@ -218,9 +218,9 @@ def append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candle bars inner-joined with level2 bars on (symbol, bar time); both
-    sides come out of aggregations hash-partitioned on the same keys, so the
-    join reuses that partitioning."""
+    """Candle bars inner-joined with level2 bars on (symbol, bar time).  The
+    aggregations leave both sides partitioned by the bar's window, the join
+    is on its end: a shuffle of the bars (not of the ticks) lies between."""
     candles = _hourly(spark, sf_dir)
     l2 = book.stage_level2(_book_msgs(spark, sf_dir), BAR)
     j = candles.join(l2, ["symbol", "datetime"], "inner")

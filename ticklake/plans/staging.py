@@ -97,18 +97,32 @@ def stage_files(spark: SparkSession, src_dir: str, dst_dir: str, kind: str, *, s
     raw = read_raw(spark, [r.path for r in rows], schema).withColumn("unit", strip_zip(base_name("_file")))
     staged = stage(raw, step).withColumn("src", F.col("unit")) \
         .withColumn("symbol", symbol_from_file("src")).withColumn("date", file_date("src")).drop("unit")
-    _clear(spark, dst_dir, [r.name for r in rows])
+    # a file's partition is replaced by the write; only then goes what a new version without rows has left
+    before = {r.name: _files(spark, dst_dir, r.name) for r in rows}
     write_staged(staged, dst_dir, ts=ts, partition_by=("symbol", "date", "src"))
+    _clear(spark, dst_dir, [name for name, files in before.items() if files and _files(spark, dst_dir, name) == files])
     (spark.createDataFrame([(r.name, r.mtime) for r in rows], "name string, mtime timestamp_ntz").coalesce(1)
      .write.mode("append").parquet(f"{dst_dir}/_manifest"))
     return sorted(r.name for r in rows)
 
 
+def _partition(spark: SparkSession, dst: str, name: str):
+    """File system and path of the partition that a file is staged to."""
+    unit = name.removesuffix(".zip")
+    parts = unit.removesuffix(".csv").split("_")
+    symbol = parts[1] if len(parts) > 1 else "__HIVE_DEFAULT_PARTITION__"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{dst}/symbol={symbol}/date={parts[0]}/src={unit}")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _files(spark: SparkSession, dst: str, name: str) -> set[str]:
+    """The files of a partition; each write gives them new names."""
+    fs, p = _partition(spark, dst, name)
+    return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+
+
 def _clear(spark: SparkSession, dst: str, names: list[str]) -> None:
-    """Drop the partitions of files to be staged again: a new version may have no rows that would replace them."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    """Drop the partitions of files whose new version has no rows."""
     for name in names:
-        unit = name.removesuffix(".zip")
-        parts = unit.removesuffix(".csv").split("_")
-        p = hadoop(f"{dst}/symbol={parts[1] if len(parts) > 1 else '__HIVE_DEFAULT_PARTITION__'}/date={parts[0]}/src={unit}")
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        fs, p = _partition(spark, dst, name)
+        fs.delete(p, True)
