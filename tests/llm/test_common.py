@@ -31,3 +31,15 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         common.shared_folder(Session())
+
+
+def test_released_deletes_what_was_written_inside(spark):
+    df = spark.createDataFrame([(1,)], "a bigint")
+    before = common.written(df, "stays")
+    with pytest.raises(RuntimeError), common.released(spark):
+        inside = common.written(df, "goes")
+        kept = common.written(inside, "named", common.shared_folder(spark) + "/named-by-caller")
+        raise RuntimeError
+    assert before.count() == kept.count() == 1
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|PATH_NOT_FOUND"):
+        inside.count()

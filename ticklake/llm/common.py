@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -48,18 +49,39 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+#: Paths given out by :func:`scratch` and not deleted yet, in order.
+_scratch: list[str] = []
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back.
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder.  It stays until :func:`released` or the folder's owner deletes it."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what :func:`scratch` gave out inside.  For a step whose result is written elsewhere by then:
+    tables that read the deleted ones cannot be read any more."""
+    begun = len(_scratch)
+    try:
+        yield
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for folder in _scratch[begun:]:
+            p = path(folder)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        del _scratch[begun:]
+
+
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Cut the lineage: write ``df`` as Parquet to the shared folder (a new path, unless one is given) and read it back.
 
     Survives lost executors, keeps column statistics (so that joins can be planned by true sizes) and
     lets later steps read only the columns they use.
     """
-    path = scratch(df.sparkSession, name)
+    path = path or scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
