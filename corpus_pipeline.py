@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ticklake.llm import langid, packing, pii, simhash
-from ticklake.llm.common import written
+from ticklake.llm.common import released, scratch, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,7 +79,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage.  What a stage wrote on its way is deleted when its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        target = scratch(spark, f"pipeline-{name}")
+        with released(spark):
+            docs = written(stage(spark, docs, sf_dir), name, target)
     return docs
