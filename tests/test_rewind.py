@@ -1,9 +1,12 @@
 """A gap that only earlier offsets of the source can close."""
 import json
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from ticklake.sources import kafka
+from ticklake.sources.epochs import EpochTable
 from ticklake.streaming import features_job
 from ticklake.streaming.rewind import Rewinder, reached, starting_offsets
 from test_features_job import SCHEMA, T0, bars, batch_result, frame, job, same
@@ -73,6 +76,27 @@ def test_kafka_offsets_round_trip():
     assert reached(Query()) == {}
 
 
+def test_a_silent_key_keeps_its_mark(spark, tmp_dir):
+    table = EpochTable(spark, f"{tmp_dir}/marks", by_date=False)
+
+    def ends(*rows):
+        return spark.createDataFrame(list(rows), "symbol string, hwm timestamp_ntz")
+
+    at = [T0 + timedelta(minutes=m) for m in range(5)]
+    kafka.renew_marks(table, ends(("X", at[1]), ("Y", at[2])))
+    kafka.renew_marks(table, ends(("X", at[3])))  # Y has nothing among the last records
+    kafka.renew_marks(table, ends(("X", at[0]), ("Z", at[4])))  # an older record changes nothing
+    got = kafka.renew_marks(table, ends())
+    assert {(r.symbol, r.hwm) for r in got.collect()} == {("X", at[3]), ("Y", at[2]), ("Z", at[4])}
+    assert len(table.entries()) == 1
+
+
+def test_options_of_the_ends():
+    options = kafka.ending_options("s", "t", {0: 500, 1: 20}, 100)
+    assert json.loads(options["startingOffsets"]) == {"t": {"0": 400, "1": 0}}
+    assert json.loads(options["endingOffsets"]) == {"t": {"0": 500, "1": 20}}
+
+
 @pytest.fixture(autouse=True)
 def _no_manual_run(spark):
     yield

@@ -9,11 +9,14 @@ query checkpoint (no consumer-group commits), so a restart resumes exactly.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticklake.sources.epochs import EpochTable
+
 
 def reader_options(servers: str, topics: str | Sequence[str], *, starting: str = "latest",
                    start_time_ms: int | None = None, offsets_by_partition: Mapping | str | None = None,
@@ -97,6 +100,32 @@ def last_produced(spark: SparkSession, servers: str, topic: str, ts_field: str =
             .agg(F.max(F.to_timestamp_ntz(F.col(f"m.{ts_field}"))).alias("hwm")))
 
 
+def ending_options(servers: str, topic: str, ends: Mapping[int, int], back: int) -> dict[str, str]:
+    """Options of a batch read of the last ``back`` records of each partition, whose next offsets are ``ends``."""
+    starts = {str(p): max(0, o - back) for p, o in ends.items()}
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "failOnDataLoss": "false",  # what has expired is not at the end
+            "startingOffsets": json.dumps({topic: starts}), "endingOffsets": json.dumps({topic: {str(p): o for p, o in ends.items()}})}
+
+
+def renew_marks(table: EpochTable, recent: DataFrame, key: str = "symbol") -> DataFrame:
+    """High-water marks of all keys: those kept in ``table`` and those seen in ``recent`` (``key``, ``hwm``; from the ends
+    of the partitions), written back as one entry.
+
+    The ends are a bounded read, and a key that has been silent for longer keeps its mark, so nothing of it is
+    published again.  The new entry is listed before the old ones go: a crash in between leaves marks that are
+    merged again, and a step that is run again changes nothing, as marks only grow.
+    """
+    kept = table.read()
+    marks = recent.select(key, "hwm")
+    if kept is not None:
+        marks = marks.unionByName(kept.select(key, "hwm"))
+    marks = marks.groupBy(key).agg(F.max("hwm").alias("hwm"))
+    before = [e["name"] for e in table.entries()]
+    table.replace(marks, f"marks-{uuid.uuid4().hex}")
+    table.drop(before)
+    return table.read().select(key, "hwm")
+
+
 def publish_raw(df: DataFrame, ch: str = "ch", ts_ms: str = "ts") -> DataFrame:
     """Raw message with its event time added as a string and its topic."""
     from ticklake.functions.strings import topic_name
