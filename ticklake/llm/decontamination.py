@@ -33,7 +33,6 @@ from ticklake.llm.common import written
 # What separates words.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GRAM = 5
-NO_ITEMS = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"  # SHA-256 of nothing
 
 
 def words(text: Column) -> Column:
