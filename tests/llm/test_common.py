@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ticklake.llm import common
 
@@ -43,3 +44,17 @@ def test_released_deletes_what_was_written_inside(spark):
     assert before.count() == kept.count() == 1
     with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|PATH_NOT_FOUND"):
         inside.count()
+
+
+@pytest.mark.parametrize("most_bits", [1 << 27, 1 << 15, 8])
+def test_sifted_rows_are_all_there(spark, most_bits):
+    df = spark.range(20_000).selectExpr("if(id % 7 = 0, null, id) as k", "cast(id as string) as _page", "id")
+    marked = spark.range(0, 20_000, 40).selectExpr("id + 1 as m")
+    clear, rest = common.sifted(df, F.xxhash64("k"), marked, F.xxhash64("m"), most_bits)
+    assert clear.columns == rest.columns == df.columns
+    out, kept = ({r.id for r in x.collect()} for x in (clear, rest))
+    assert not out & kept and out | kept == set(range(20_000))
+    assert {i for i in range(1, 20_000, 40) if i % 7} <= kept
+    assert most_bits == 8 or len(kept) < 5_000
+    nothing, none = common.sifted(df, F.xxhash64("k"), marked.limit(0), F.xxhash64("m"), most_bits)
+    assert nothing.count() == 20_000 and none.count() == 0

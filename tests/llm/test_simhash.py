@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
@@ -107,6 +108,46 @@ def test_large_bucket_is_not_expanded(spark):
     assert components(found).count() == len(fps) - 1
 
 
+@pytest.mark.parametrize("crowded", [1, 3, 40])
+def test_crowded_buckets_are_linked_by_variants(spark, crowded):
+    rng = random.Random(crowded)
+    fps = {0}
+    for _ in range(8):
+        base = rng.getrandbits(64)
+        fps.add(base)
+        for _ in range(rng.randrange(1, 40)):
+            base = flipped(base, rng.sample(range(64), rng.randrange(1, 5)))
+            fps.add(base)
+    fps = sorted(fps)
+    df = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp bigint").repartition(3)
+    roots = {r.a & MASK: r.b & MASK for r in components(simhash.links(df, crowded)).collect()}
+    classes = {}
+    for f, i in zip(fps, naive_components(fps)):
+        classes.setdefault(i, set()).add(roots.get(f, f))
+    assert all(len(x) == 1 for x in classes.values()) and len({min(x) for x in classes.values()}) == len(classes)
+
+
+def test_few_rows_a_class(spark):
+    fps = np.random.default_rng(3).integers(0, 1 << 63, 500)
+    keys = simhash._keys()([pa.array(fps)])
+    assert len(keys["key"]) == len(keys["fp"]) == 20 * len(fps)
+    assert len(set(keys["key"].tolist())) > 19.9 * len(fps)
+
+
+def test_rows_of_a_crowded_bucket_pass_by_in_any_batches():
+    fp = np.arange(50, dtype=np.int64)
+    key = np.sort(np.where(fp < 9, fp // 3, 7))
+    for size in (1, 4, 7, 50):
+        step, got = simhash._meet(5), []
+        for i in range(0, 50, size):
+            got += step([pa.array(key[i:i + size]), pa.array(fp[i:i + size])])
+        got += step(None)
+        pairs = {p for x in got for p in zip(x["a"].tolist(), x["b"].tolist())}
+        assert {a for a, b in pairs if a == b} == set(range(9, 50))
+        assert {(a, b) for a, b in pairs if a != b} == {(a, b) for a in range(9) for b in range(a + 1, 9)
+                                                          if a // 3 == b // 3 and (a ^ b).bit_count() <= 3}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150), (7, 7)] + [(1000, i) for i in range(1001, 1100)]
     got = {r.a: r.b for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

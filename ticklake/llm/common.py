@@ -11,7 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -139,3 +139,22 @@ def running_start(totals: DataFrame, group: str, order: str, amount: str, name:
     inner = totals.withColumn("_before", F.coalesce(F.sum(amount).over(within), F.lit(0)))
     return inner.join(groups, F.col(group).eqNullSafe(F.col("_group"))) \
         .withColumn(name, F.col("_base") + F.col("_before")).drop("_group", "_base", "_before")
+
+
+def sifted(df: DataFrame, key: Column, marked: DataFrame, marked_key: Column, most_bits: int = 1 << 27) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose key (a bigint hash) is surely none of those of ``marked``, and all others.
+
+    For joins of long rows with a table that meets few of them: only the second part has to be shuffled.  A bitmap of 16
+    bits a marked row, ``most_bits`` at most (16 MB), is broadcast; it lets about one in 16 of the other rows, or more if
+    it is full, into the second part, so that part is still to be joined.
+    """
+    bits = min(most_bits, 1 << max(15, (16 * marked.count()).bit_length()))
+    slots = marked.select(F.pmod(marked_key, F.lit(bits)).alias("_slot"))
+    pages = written(slots.groupBy(F.expr("_slot div 32768").alias("_page")).agg(F.bitmap_construct_agg(F.expr("_slot % 32768")).alias("_bitmap")),
+                    "marked-bitmap")
+    slotted = df.select(*[F.col(c).alias(f"row_{i}") for i, c in enumerate(df.columns)], F.pmod(key, F.lit(bits)).alias("_slot")) \
+        .join(F.broadcast(pages), F.expr("_slot div 32768 = _page"), "left")
+    byte = F.expr("cast(conv(hex(substring(_bitmap, cast(_slot % 32768 div 8 as int) + 1, 1)), 16, 10) as int)")
+    met = F.col("_page").isNotNull() & (F.getbit(byte, F.expr("cast(_slot % 8 as int)")) == 1)
+    columns = [F.col(f"row_{i}").alias(c) for i, c in enumerate(df.columns)]
+    return slotted.where(~met).select(columns), slotted.where(met).select(columns)

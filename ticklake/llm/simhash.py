@@ -3,7 +3,12 @@
 Fingerprints are 64 bits: a bit is 1 if it is set in over half of the hashes of a text's word shingles.
 Two fingerprints link if at most three bits differ.  Equal fingerprints are one class from the start.
 
-Every class emits all variants within half the radius (3 / 2, rounded down: one flipped bit).  As the
+Six blocks (of 11 or 10 bits): three differing bits lie in three of them at most, so a linked pair agrees in
+at least three others.  Every class emits one row for each three blocks, 20 in all, keyed by their bits.
+Members of a small bucket (equal key) are compared with each other.  Whoever meets over ``CROWDED`` others
+in a bucket, and only they, are linked among themselves by variants instead:
+
+Every crowded class emits all variants within half the radius (3 / 2, rounded down: one flipped bit).  As the
 radius is odd, one of four 16-bit blocks is erased from fingerprint and variants, for each block in
 turn: of three differing bits at least one lies in some block, so that the other two, outside it, are met
 by one flip on either side.  That is 4 x 49 rows a class; flipping two bits on one side instead would be
@@ -15,9 +20,10 @@ Members of a bucket (equal variant) differ in two bits outside the block at most
 *   one bit apart in the block: all link; the first members of the two sets are linked;
 *   three bits apart in the block and equal outside it: probed among the members that are unflipped.
 
-Every set of at most three differing bits is one of these in some bucket.  So no bucket is expanded into
-pairs, and a bucket of any size is linked by about as many edges as it has members.  A bucket has at most
-2**16 x 49 members, as classes are distinct; that bounds what one task holds at a time.
+Every set of at most three differing bits is one of these in some bucket.  So no crowded bucket is expanded into
+pairs, and a bucket of any size is linked by about as many edges as it has members.  A bucket of variants has at
+most 2**16 x 49 members, as classes are distinct; that bounds what one task holds at a time.  Crowded buckets of
+three blocks are passed on as they go by.
 
 Defined cases: null and empty texts and texts of white space have the fingerprint zero and link like any
 other; rows that repeat an id are rows of their own; a null id is never a component's id unless all its
@@ -44,6 +50,11 @@ BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.
 LANES = (np.arange(8) * 256)[None, :]
 TRIPLES = np.array([1 << a | 1 << b | 1 << c for a, b, c in itertools.combinations(range(BLOCK), 3)], dtype=np.int64)
 SHINGLES_AT_ONCE = 100_000
+#: First bit and width of six blocks; any three of them make a key.
+SIXTHS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
+THREES = list(itertools.combinations(SIXTHS, 3))
+#: Members up to which a bucket of three blocks is compared pair by pair.
+CROWDED = 32
 
 
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
@@ -175,12 +186,75 @@ def _scan():
     return step
 
 
-def links(classes: DataFrame) -> DataFrame:
-    """(a, b): links between distinct fingerprints (column fp), enough of them to connect all that link."""
+def ball_links(classes: DataFrame) -> DataFrame:
+    """(a, b): links between distinct fingerprints (column fp) by variants, about as many as members of buckets."""
     variants = by_batch(classes.select("fp"), _variants, "key bigint, fp bigint")
     return by_batch(variants.repartition("key").sortWithinPartitions("key"), _scan, "a bigint, b bigint", finish=True).distinct()
 
 
+def _keys():
+    def step(columns):
+        fp = columns[0].to_numpy(zero_copy_only=False).view(np.uint64)
+        keys = []
+        for n, three in enumerate(THREES):
+            key = np.full(len(fp), n, dtype=np.uint64)
+            for first, width in three:
+                key = key << np.uint64(width) | fp >> np.uint64(first) & np.uint64((1 << width) - 1)
+            keys.append(key)
+        return {"key": np.concatenate(keys).view(np.int64), "fp": np.tile(fp, len(THREES)).view(np.int64)}
+
+    return step
+
+
+def shared_links(key: np.ndarray, fp: np.ndarray, crowded: int) -> np.ndarray:
+    """Edges of whole buckets of three blocks; ``key`` is sorted, ``fp`` unsigned.  Members of crowded buckets get a loop each."""
+    run = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
+    size = np.bincount(run)[run]
+    many, few = fp[size > crowded], (size > 1) & (size <= crowded)
+    edges = [np.stack([many, many], axis=1)]
+    run, fp = run[few], fp[few]
+    for gap in range(1, crowded):
+        same = run[gap:] == run[:-gap]
+        if not same.any():
+            break
+        near = same & (np.bitwise_count(fp[gap:] ^ fp[:-gap]) <= RADIUS)
+        edges.append(np.stack([fp[:-gap][near], fp[gap:][near]], axis=1))
+    return np.concatenate(edges)
+
+
+def _meet(crowded: int):
+    """Buckets of three blocks from rows sorted by key.  Of the last one ``crowded`` + 1 rows wait for the next batch."""
+    key, fp = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def out(found):
+        return {"a": found[:, 0].view(np.int64), "b": found[:, 1].view(np.int64)}
+
+    def step(columns):
+        nonlocal key, fp
+        if columns is not None:
+            key, fp = (np.concatenate([x, c.to_numpy(zero_copy_only=False)]) for x, c in zip((key, fp), columns))
+        cut = len(key) if columns is None else int(np.searchsorted(key, key[-1]))
+        if cut:
+            yield out(shared_links(key[:cut], fp[:cut].view(np.uint64), crowded))
+        rest = fp[cut + crowded + 1:]
+        if len(rest):  # more of a crowded bucket
+            yield {"a": rest, "b": rest}
+        key, fp = key[cut:cut + crowded + 1], fp[cut:cut + crowded + 1]
+
+    return step
+
+
+def links(classes: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """(a, b): links between distinct fingerprints (column fp), enough of them to connect all that link."""
+    keyed = by_batch(classes.select("fp"), _keys, "key bigint, fp bigint")
+    found = written(by_batch(keyed.repartition("key").sortWithinPartitions("key"), lambda: _meet(crowded), "a bigint, b bigint", finish=True)
+                    .distinct(), "fingerprint-links")
+    many = found.where("a = b").select(F.col("a").alias("fp"))
+    if many.isEmpty():
+        return found
+    return found.where("a <> b").unionByName(ball_links(many))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp, component_id, digest, component) of every row; component_id is the smallest id reachable over links.
     Where ids repeat, several components may have the same smallest id: ``component`` tells them apart."""
