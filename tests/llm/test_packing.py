@@ -41,6 +41,22 @@ def test_cache_bound(monkeypatch, library):
         assert len(encoder.words) <= 8 + 4
 
 
+def test_words_are_kept_without_the_marks_after_them(library):
+    encoder = tokens.Encoder(WORDS)
+    texts = ["Alpha, alpha. alpha; (alpha) alpha).\nalpha", "é. 5, a_ b' x's. a-\x1c b-", "x<|endoftext|> y.", "x<|ENDOFTEXT|>. y,", "Д<|ENDOFTEXT|> d. д."]
+    for text, found in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(found, "<u4").tolist() == ids(library, text), text
+    assert {w for w in encoder.words if "alpha" in w} == {"alpha", "(alpha"}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.sampled_from("aZé5.,'s-)<\u0338\u0301 \n\t\x1c—Д"), max_size=40))
+def test_marks_after_words(text):
+    if not hasattr(test_marks_after_words, "lib"):
+        test_marks_after_words.lib, test_marks_after_words.enc = Tokenizer.from_file(WORDS), tokens.Encoder(WORDS)
+    assert np.frombuffer(test_marks_after_words.enc.encode([text])[0], "<u4").tolist() == ids(test_marks_after_words.lib, text)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(st.characters(exclude_categories=["Cs"]), max_size=60))
 def test_cached_encoder_on_any_text(text):

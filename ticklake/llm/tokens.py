@@ -25,9 +25,11 @@ WORD_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{|}~]*)")
+#: Punctuation between a letter or digit and white space: a piece of its own under ``WORD_PATTERN``.
+TRAILING_MARKS = re.compile(r"[!\"#$%&()*+,\-./:;=?@\[\\\]^_`{|}~](?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ].)[!\"#$%&()*+,\-./:;=?@\[\\\]^_`{|}~]*(?![^ \n\t])")
 BEYOND_LATIN = re.compile("[^\x00-\xff]")
-#: Words, and parts of words, of one generation.
-CACHED_WORDS = 250_000
+#: Words of one generation.
+CACHED_WORDS = 400_000
 
 
 def _byte_letters() -> list[str]:
@@ -72,29 +74,28 @@ class Encoder:
             and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", [])))
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.lowers = all(t["content"] == t["content"].lower() for t in spec.get("added_tokens", []))
+        self.added = sorted({t["content"].lower() for t in spec.get("added_tokens", [])})
         self.words: dict[str, bytes] = {}
         self.old_words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.old_parts: dict[str, bytes] = {}
 
-    def _part(self, text: str) -> bytes:
+    def _ids(self, text: str) -> bytes:
         """Ids of one lower-case run of letters or punctuation."""
-        ids = self.parts.get(text)
-        if ids is None:
-            ids = self.old_parts.get(text)
-            if ids is None:
-                spelled = text if text.isascii() else "".join([self.letters[b] for b in text.encode()])
-                ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes() if text else b""
-            if len(self.parts) >= CACHED_WORDS:
-                self.parts, self.old_parts = {}, self.parts
-            self.parts[text] = ids
-        return ids
+        spelled = text if text.isascii() else "".join([self.letters[b] for b in text.encode()])
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
-    def _keep(self, word: str, ids: bytes) -> None:
+    def _keep(self, word: str, ids: bytes) -> bytes:
         if len(self.words) >= CACHED_WORDS:
             self.words, self.old_words = {}, self.words
         self.words[word] = ids
+        return ids
+
+    def _run(self, text: str) -> bytes:
+        """Ids of one lower-case run that stands beside another one, which is a word too."""
+        found = self.words.get(text)
+        if found is None:
+            found = self.old_words.get(text)
+            found = self._keep(text, self._ids(text) if found is None else found)
+        return found
 
     def _fill(self, words: list[str], ids: list[bytes | None]) -> None:
         """Put the ids of the words that the young generation does not hold."""
@@ -110,15 +111,15 @@ class Encoder:
                         hard.setdefault(word, []).append(i)
                         continue
                     letters, marks = plain.groups()
-                    found = self._part(letters.lower())
-                    if marks:
-                        found += self._part(marks)
+                    if not marks:
+                        found = self._ids(letters.lower()) if letters else b""
+                    else:
+                        found = self._run(letters.lower()) + self._run(marks) if letters else self._ids(marks)
                 self._keep(word, found)
             ids[i] = found
         if hard:
             for (word, places), whole in zip(hard.items(), self.tokenizer.encode_batch(list(hard), add_special_tokens=False)):
-                found = array("I", whole.ids).tobytes()
-                self._keep(word, found)
+                found = self._keep(word, array("I", whole.ids).tobytes())
                 for i in places:
                     ids[i] = found
 
@@ -130,8 +131,9 @@ class Encoder:
         out = []
         for text in texts:
             text = text or ""
-            if self.lowers and (text.isascii() or not BEYOND_LATIN.search(text)):
-                text = text.lower()
+            lowered = text.lower()
+            if not any(token in lowered for token in self.added):
+                text = TRAILING_MARKS.sub(r" \g<0>", lowered if text.isascii() or not BEYOND_LATIN.search(text) else text)
             words = text.replace("\n", " ").replace("\t", " ").split(" ")
             ids = list(map(self.words.get, words))
             if None in ids:
