@@ -70,6 +70,22 @@ def test_near_duplicates_are_told_apart_by_id_and_text(spark):
         (1, "A", "1"), (2, "B", "2"), (3, "C", "3"), (3, "D", "3")}
 
 
+def test_near_duplicates_shuffle_only_sifted_texts(spark):
+    text = " ".join(f"A{i}" for i in range(40))
+    df = spark.createDataFrame([(i, text, "en", "s", 1) for i in (1, 1, 2)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = corpus_pipeline.near_duplicates(spark, df, SF)
+        plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [(r.doc_id, r.text) for r in out.collect()] == [(1, text)]
+    joins = [i for i, line in enumerate(plan) if "Join " in line and "_digest" in line]
+    sifts = [i for i, line in enumerate(plan) if "getbit" in line]
+    assert len(joins) == 2 and all(any(i < k < i + 4 for k in sifts) for i in joins), "\n".join(plan)
+
+
 FINNISH = ("Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
            "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.")
 POLISH = ("Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem "
